@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from inkwell.llm import exact, licenses, mixing
+from inkwell.llm import bpe, exact, langid, licenses, mixing, quality, secrets
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
+    "op2_language_id": langid.op2_language_id,
     "op3_mix_sources": mixing.op3_mix_sources,
+    "op4_secret_scan": secrets.op4_secret_scan,
+    "op5_bpe_round_trip": bpe.op5_bpe_round_trip,
+    "op9_quality_score": quality.op9_quality_score,
     "op10_exact_dedup": exact.op10_exact_dedup,
 }
 ORACLES = {
