@@ -22,6 +22,9 @@ WORD_TABLE = bytes(
 LOWER_TABLE = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Longest run of rows that a Python worker holds as objects at once.
 ROWS = 512
+#: 64-bit words of a Bloom filter at most (1 MB), and the seeds of its two hashes.
+MAX_WORDS = 1 << 17
+SEEDS = (7, 11)
 
 
 def only(df: DataFrame, **columns: str) -> DataFrame:
@@ -44,3 +47,34 @@ def texts(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[t
 
 def out(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name] for f in schema], schema=schema)
+
+
+def filter_of(keys: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """A Bloom filter of a column: one row with an array of 64-bit words.
+
+    16 bits a key, MAX_WORDS words (1 MB) at most: the bound holds at any
+    input. A full filter lets more rows pass, never fewer.
+    """
+    n = keys.count()
+    words = 64
+    while words < MAX_WORDS and words * 4 < n:
+        words *= 2
+    spots = keys.select(F.explode(F.array(*[_spot(F.col(column), seed, words) for seed in SEEDS])).alias("spot")).groupBy("spot.word").agg(F.bit_or("spot.bit").alias("bits"))
+    dense = keys.sparkSession.range(words).withColumnRenamed("id", "word").join(spots, "word", "left")
+    rows = F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits"))))
+    return dense.agg(F.transform(rows, lambda x: x["bits"]).alias("words")), words
+
+
+def _spot(key: Column, seed: int, words: int) -> Column:
+    h = F.xxhash64(key, F.lit(seed))
+    return F.struct(F.pmod(h, F.lit(words)).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h, 40), F.lit(64)).cast("int")).alias("bit"))
+
+
+def may_hold(key: Column, held: DataFrame, words: int) -> Column:
+    """False only where the filter tells that the key isn't in it."""
+    array = held.scalar()
+    tests = []
+    for seed in SEEDS:
+        spot = _spot(key, seed, words)
+        tests.append(F.get(array, spot["word"].cast("int")).bitwiseAND(spot["bit"]) != 0)
+    return tests[0] & tests[1]
