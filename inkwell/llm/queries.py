@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from inkwell.llm import bpe, exact, langid, licenses, mixing, ngrams, quality, secrets
+from inkwell.llm import bpe, exact, langid, licenses, mixing, ngrams, quality, rules, secrets
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -10,12 +10,14 @@ QUERIES = {
     "op3_mix_sources": mixing.op3_mix_sources,
     "op4_secret_scan": secrets.op4_secret_scan,
     "op5_bpe_round_trip": bpe.op5_bpe_round_trip,
+    "op6_quality_rules": rules.op6_quality_rules,
     "op8_ngram_jaccard_join": ngrams.op8_ngram_jaccard_join,
     "op9_quality_score": quality.op9_quality_score,
     "op10_exact_dedup": exact.op10_exact_dedup,
 }
 ORACLES = {
     "op3_mix_sources": mixing.OP3_SQL,
+    "op6_quality_rules": rules.OP6_SQL,
     "op8_ngram_jaccard_join": ngrams.OP8_SQL,
     "op10_exact_dedup": exact.OP10_SQL,
 }
