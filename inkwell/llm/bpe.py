@@ -219,37 +219,28 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 
 _ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+_WITH_IDS = _ARROW.append(pa.field("ids", pa.list_(pa.int32())))
+_DDL = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def tokenize(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids: the token ids of every document."""
+def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Encode every text, decode the ids: doc_id, n_tokens, both hashes and perhaps the ids."""
     ship(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    schema, ddl = (_WITH_IDS, _DDL + ", ids array<int>") if with_ids else (_ARROW, _DDL)
 
     def run(batches):
         e = encoder(path, pattern)
         for part, all_texts in texts(batches):
-            ids = [pa.array(x, pa.int32()) for x in e.encode_batch([(t or b"").decode("utf-8", "replace") for t in all_texts])]
-            yield out(schema, {"doc_id": part.column(0), "ids": ids})
-
-    return only(docs, doc_id=id_col, text=text_col).mapInArrow(run, "doc_id long, ids array<int>")
-
-
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every text, decode the ids: doc_id, n_tokens and both hashes."""
-    ship(docs.sparkSession)
-
-    def run(batches):
-        e = encoder(path, pattern)
-        for part, all_texts in texts(batches):
-            n, ids_hash, text_hash = [], [], []
+            n, ids_hash, text_hash, all_ids = [], [], [], []
             for ids in e.encode_batch([(t or b"").decode("utf-8", "replace") for t in all_texts]):
                 n.append(len(ids))
                 ids_hash.append(hashlib.sha256(" ".join(map(e.decimal.__getitem__, ids)).encode()).hexdigest())
                 text_hash.append(hashlib.sha256(e.decode(ids)).hexdigest())
-            yield out(_ARROW, {"doc_id": part.column(0), "n_tokens": n, "ids_sha256": ids_hash, "decoded_sha256": text_hash})
+                if with_ids:
+                    all_ids.append(pa.array(ids, pa.int32()))
+            yield out(schema, {"doc_id": part.column(0), "n_tokens": n, "ids_sha256": ids_hash, "decoded_sha256": text_hash, "ids": all_ids})
 
-    return only(docs, doc_id=id_col, text=text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return only(docs, doc_id=id_col, text=text_col).mapInArrow(run, ddl)
 
 
 def op5_bpe_round_trip(spark, sf_dir: str) -> DataFrame:

@@ -362,7 +362,7 @@ def keep_one_of_each(docs: DataFrame, n: int = WORDS, num: int = NUM, den: int =
     """
     found = jaccard_components(docs, n, num, den)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 def op8_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
