@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from inkwell.llm import bpe, exact, langid, licenses, mixing, ngrams, quality, rules, secrets
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": ngrams.op8_ngram_jaccard_join,
     "op9_quality_score": quality.op9_quality_score,
     "op10_exact_dedup": exact.op10_exact_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op3_mix_sources": mixing.OP3_SQL,
