@@ -42,6 +42,15 @@ _LATIN = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 _BEYOND = re.compile("[\x1c-\x1f\x85²³¹¼-¾Ā-\U0010ffff]")
 
 
+_BLANK = r"[ \t-\r\xa0]"
+#: The pattern's matches in Latin text.
+split_latin = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^ \t-\r\xa0{_LATIN}0-9]+|{_BLANK}+(?![^ \t-\r\xa0])|{_BLANK}+").findall
+
+
+def latin_only(text: str) -> bool:
+    return not _BEYOND.search(text)
+
+
 class RankQueue:
     """Buckets of positions by rank under three levels of bitmaps of 64 bits."""
 
@@ -107,14 +116,12 @@ class Encoder:
                 if left is not None and right is not None:
                     self.pairs[left * (self.size + 1) + right] = i
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-        blank = r"[ \t-\r\xa0]"
-        self.fast = re.compile(rf" ?[{_LATIN}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^ \t-\r\xa0{_LATIN}0-9]+|{blank}+(?![^ \t-\r\xa0])|{blank}+")
         self.decimal = [str(i) for i in range(self.size)]
         self.cache: dict[str, tuple[int, ...]] = {}
 
     def split(self, text: str) -> list[str]:
         """The matches of the pattern; Latin text takes an equal, faster one."""
-        return (self.pattern if _BEYOND.search(text) else self.fast).findall(text)
+        return self.pattern.findall(text) if _BEYOND.search(text) else split_latin(text)
 
     def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of every piece, by one queue over all of them."""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from inkwell.llm import bpe, exact, langid, licenses, mixing, ngrams, quality, rules, secrets
+from inkwell.llm import bpe, exact, idfiles, langid, licenses, mixing, ngrams, quality, rules, secrets
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -12,6 +12,7 @@ QUERIES = {
     "op4_secret_scan": secrets.op4_secret_scan,
     "op5_bpe_round_trip": bpe.op5_bpe_round_trip,
     "op6_quality_rules": rules.op6_quality_rules,
+    "op7_token_id_files": idfiles.op7_token_id_files,
     "op8_ngram_jaccard_join": ngrams.op8_ngram_jaccard_join,
     "op9_quality_score": quality.op9_quality_score,
     "op10_exact_dedup": exact.op10_exact_dedup,
