@@ -135,11 +135,15 @@ def access_class(status: Column) -> Column:
 # Elements that hold no article text, and elements that hold blocks of it.
 _ASIDE = {"script", "style", "noscript", "nav", "header", "footer", "aside", "form", "table", "figure", "button", "template", "svg", "title"}
 _BLOCKS = {"p", "h2", "h3", "h4", "li", "blockquote", "pre"}
+_ENDS_P = _BLOCKS | {"div", "ul", "ol", "dl", "table", "section", "article", "aside", "header", "footer", "nav", "form", "h1", "h5", "h6", "hr", "main"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
 class _Outline(HTMLParser):
-    """Elements as (tag, parent, first text, end of text) with the page's texts in order."""
+    """Elements as (tag, parent, first text, end of text) with the page's texts in order.
+
+    A block ends an open paragraph, an item the open item before it.
+    """
 
     def __init__(self, page: str):
         super().__init__(convert_charrefs=True)
@@ -152,6 +156,10 @@ class _Outline(HTMLParser):
             self.spans[k][1] = len(self.texts)
 
     def handle_starttag(self, tag, attrs):
+        if tag in _ENDS_P:
+            self.handle_endtag("p")
+        if tag == "li" and self.tags[self.open[-1]] == "li":
+            self.handle_endtag("li")
         self.tags.append(tag)
         self.parents.append(self.open[-1])
         self.spans.append([len(self.texts)] * 2)

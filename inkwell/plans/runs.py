@@ -36,7 +36,7 @@ def run_status_join(spark, sf_dir):
     statuses = n.where("n_nationkey % 4 <> 1").select(
         F.col("n_name").alias("source_key"), F.when(k % 3 == 0, "old").otherwise("run-1").alias("run_id"), F.lit("SUCCESS").alias("execution_status"), F.lit("HEALTHY").alias("health_status"), F.lit("NO_NEW_ARTICLES").alias("content_status")
     )
-    return rollup.run_statuses(rollup.active(registry), collectors, statuses, "run-1")
+    return rollup.run_statuses(rollup.active(registry), collectors, statuses, "run-1").withColumn("return_code", F.col("return_code").cast("string"))
 
 
 def access_class(spark, sf_dir):
@@ -99,7 +99,7 @@ WITH k AS (
   FROM nation WHERE n_nationkey % 11 <> 10),
 f AS (
   SELECT *, CASE WHEN NOT has THEN 'NO_COLLECTOR_IMPLEMENTED' WHEN return_code IS NULL THEN 'EXECUTION_ERROR' WHEN run IS NULL THEN 'STATUS_FILE_MISSING' WHEN run <> 'run-1' THEN 'STATUS_RUN_ID_MISMATCH' END AS failure FROM k)
-SELECT source_key, return_code, CASE WHEN failure IS NOT NULL OR return_code <> 0 THEN 'FAILED' ELSE 'SUCCESS' END AS execution_status,
+SELECT source_key, return_code::VARCHAR AS return_code, CASE WHEN failure IS NOT NULL OR return_code <> 0 THEN 'FAILED' ELSE 'SUCCESS' END AS execution_status,
        CASE WHEN failure IS NOT NULL OR return_code <> 0 THEN 'FAILED' ELSE 'HEALTHY' END AS health_status, coalesce(failure, 'NO_NEW_ARTICLES') AS content_status
 FROM f""",
     "access_class": """
