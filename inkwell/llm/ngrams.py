@@ -49,7 +49,7 @@ GROUPS, FAN = 24, 16
 #: Points and hashes of a leaf of a large family, at most (one set may be larger).
 LEAF_POINTS, LEAF_HASHES = 512, 1 << 20
 #: Rows of parts that a task folds at once, and words whose hashes it remembers.
-FOLD, WORDS_HELD = 1 << 19, 1_000_000
+FOLD, WORDS_HELD = 1 << 18, 150_000
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S31, _S29 = np.uint64(31), np.uint64(29)
