@@ -25,7 +25,6 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -39,112 +38,106 @@ from inkwell.llm.common import only, out, texts
 from inkwell.session import ship, shared_dir, table
 
 #: Ids of a block at most and, where a segment is small, at least; lanes that a small segment aims at.
-BLOCK, SHORT_BLOCK, LANES = 8192, 1024, 256
+BLOCK, SHORT_BLOCK, LANES = 4096, 1024, 256
 #: Ids after which a segment ends with its document.
 SEGMENT = 1 << 22
 #: Pre-tokens that a worker remembers, and the longest of them in characters.
 CACHE, LONGEST = 400_000, 64
+#: Pre-tokens of one call of the library.
+TOGETHER = 4096
 END = 2
 
 # The format's mark and header (mark, ids, checksum, distinct ids, bytes of their list).
-MAGIC, HEADER = b"IDC1", struct.Struct("<4sIIII")
+MAGIC, HEADER = b"IDC2", struct.Struct("<4sIIII")
 
-_TOTAL_BITS, _LEAST_REST = 24, 1 << 18
-_SPAN = (1 << _TOTAL_BITS) - _LEAST_REST
-_TABLE_BITS, _STATES = 12, 32
-_REFRESH, _GAIN = 128, 24
-_TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
-#: Next confidence by (matched, confidence): a match raises it to 3, a miss lowers it, and from 1 or 0 replaces the prediction.
-_NEXT = np.array([1, 1, 1, 2, 1, 2, 3, 3], np.uint8)
+# Bits of an interval's and of the frequencies' total, of a context table's places; states of confidence.
+_BITS, _COUNT_BITS, _TABLE_BITS, _STATES = 24, 18, 11, 32
+_REST = 1 << _COUNT_BITS  # least share of order 0, so that every id has a place
+_GAIN = 24
+#: Steps at which frequencies and trust are taken over: each doubling, then every so many.
+_REFRESH = 256
+_NOTHING = 0x3FFF << 2  # a table's place without a prediction
 
 
 class Mixer:
-    """The models of all lanes: order-2 and order-1 tables, frequencies, trust."""
+    """The models of all lanes: order-2 and order-1 tables, frequencies, trust.
+
+    A place of a table holds a predicted id (14 bits) and a confidence (2).
+    Frequencies and trust are counted at each step and used from the next
+    refresh on.
+    """
 
     def __init__(self, sizes: np.ndarray):
-        lanes, width = len(sizes), int(sizes.max())
-        self.lane = np.arange(lanes)
-        self.tables = [np.zeros(lanes << _TABLE_BITS, np.int32) for _ in range(2)]
-        self.trust = [np.zeros(lanes << _TABLE_BITS, np.uint8) for _ in range(2)]
-        self.hits = [np.ones(lanes * _STATES, np.int64) for _ in range(2)]
-        self.seen = np.full(lanes * _STATES, 4, np.int64)
-        self.count = (np.arange(width) < sizes[:, None]).astype(np.int64)
-        self.width, self.steps = width, 0
+        lanes, self.width = len(sizes), int(sizes.max())
+        lane = np.arange(lanes)
+        self.sizes, self.steps, self.due = sizes, 0, 0
+        self.tables = [np.full(lanes << _TABLE_BITS, _NOTHING, np.uint16) for _ in range(2)]
+        self.rows, self.states, self.places = lane << _TABLE_BITS, lane * _STATES, lane * (self.width + 1)
+        self.outcomes = np.tile(np.array([1, 1, 2, 0], np.int64), lanes * _STATES)
+        self.count = np.zeros((lanes, self.width + 1), np.int64)
+        self.count[:, :-1] = np.arange(self.width) < sizes[:, None]
+        self.offset = (lane << 20).astype(np.int64)
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
+    def _refresh(self) -> None:
+        below = np.zeros(self.count.shape, np.int64)
+        np.cumsum(self.count[:, :-1], 1, out=below[:, 1:])
+        spread = (1 << _COUNT_BITS) - self.sizes[:, None]
+        self.below = (below * spread // below[:, -1:] + np.minimum(np.arange(self.width + 1), self.sizes[:, None])).ravel()
+        self.sorted = self.below + np.repeat(self.offset, self.width + 1)
+        n = self.outcomes.reshape(-1, 4)
+        total = n.sum(1)
+        self.two = n[:, 0] * ((1 << _BITS) - _REST) // total
+        self.known = self.two + n[:, 1] * ((1 << _BITS) - _REST) // total
+        n[total > 2048] = n[total > 2048] + 1 >> 1
+        self.due = min(max(16, 2 * self.steps), self.steps + _REFRESH)
+
     def predict(self, n: int) -> None:
         """Predictions and shares of the first n lanes."""
-        if self.steps % _REFRESH == 0:
-            self.below = np.zeros((len(self.lane), self.width + 1), np.int64)
-            np.cumsum(self.count, 1, out=self.below[:, 1:])
-            self.total = self.below[:, -1].copy()
-            self.flat = (self.below + self.lane[:, None] * (1 << 32)).ravel()
+        if self.steps == self.due:
+            self._refresh()
         self.steps += 1
-        lane, last, mask = self.lane[:n], self.last[:n], (1 << _TABLE_BITS) - 1
-        base = lane << _TABLE_BITS
-        self.at = [base + ((last * 0x9E3779B1 ^ self.before[:n] * 0x85EBCA6B) >> 7 & mask), base + (last * 0x9E3779B1 >> 5 & mask)]
-        self.guess = [t[a] for t, a in zip(self.tables, self.at, strict=True)]
-        self.sure = [t[a] for t, a in zip(self.trust, self.at, strict=True)]
-        self.state = lane * _STATES + self.sure[0] * 8 + self.sure[1] * 2 + (self.guess[0] == self.guess[1])
-        seen = self.seen[self.state]
-        self.share = [h[self.state] * _SPAN // seen for h in self.hits]
-        self.base = self.share[0] + self.share[1]
-        self.rest = (1 << _TOTAL_BITS) - self.base
+        mask, h = (1 << _TABLE_BITS) - 1, self.last[:n] * 0x9E3779B1
+        self.at = [self.rows[:n] + ((h ^ self.before[:n] * 0x85EBCA6B) >> 7 & mask), self.rows[:n] + (h >> 5 & mask)]
+        self.held = [t[a] for t, a in zip(self.tables, self.at, strict=True)]
+        (self.guess2, self.guess1), (sure2, sure1) = [x >> 2 for x in self.held], [x & 3 for x in self.held]
+        self.state = self.states[:n] + (sure2 * 8 + sure1 * 2 + (self.guess2 == self.guess1))
+        self.share2, self.base = self.two[self.state], self.known[self.state]
+        self.rest = (1 << _BITS) - self.base
 
     def interval(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width of ids x, of 2 ** _TOTAL_BITS."""
+        """Start and width of ids x, of 2 ** _BITS."""
         n = len(x)
-        at = self.lane[:n] * (self.width + 1) + x
-        flat, total = self.below.ravel(), self.total[:n]
-        low = self.rest * flat[at] // total
-        high = self.rest * flat[at + 1] // total
-        two, one = self._hits(x)
-        start = np.where(two, 0, np.where(one, self.share[0], self.base + low))
-        return start, np.where(two, self.share[0], np.where(one, self.share[1], high - low))
+        self.small = x.astype(np.uint16)
+        self.hit2, self.hit1 = self.guess2 == self.small, self.guess1 == self.small
+        at = self.places[:n] + x
+        low = self.rest * self.below[at] >> _COUNT_BITS
+        high = self.rest * self.below[at + 1] >> _COUNT_BITS
+        start = np.where(self.hit2, 0, np.where(self.hit1, self.share2, self.base + low))
+        return start, np.where(self.hit2, self.share2, np.where(self.hit1, self.base - self.share2, high - low))
 
     def find(self, v: np.ndarray) -> np.ndarray:
         """The ids in whose intervals the values v lie."""
         n = len(v)
-        q = ((v - self.base + 1) * self.total[:n] - 1) // self.rest
-        lane = self.lane[:n]
-        zero = np.searchsorted(self.flat, np.maximum(q, 0) + lane * (1 << 32), "right") - 1 - lane * (self.width + 1)
-        return np.where(v < self.share[0], self.guess[0], np.where(v < self.base, self.guess[1], zero))
-
-    def _hits(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        two = (self.guess[0] == x) & (self.sure[0] > 0)
-        return two, (self.guess[1] == x) & (self.sure[1] > 0) & ~two
+        q = (np.maximum((v - self.base + 1 << _COUNT_BITS) - 1, 0) / self.rest).astype(np.int64)
+        zero = np.searchsorted(self.sorted, q + self.offset[:n], "right") - 1 - self.places[:n]
+        return np.where(v < self.share2, self.guess2, np.where(v < self.base, self.guess1, zero))
 
     def learn(self, x: np.ndarray) -> None:
+        """Take over the ids that interval() was asked for: a hit raises a confidence, a miss lowers it or replaces the prediction."""
         n = len(x)
-        state, seen = self.state, self.seen[self.state] + 1
-        old = seen > 510
-        for h, hit in zip(self.hits, self._hits(x), strict=True):
-            k = h[state] + hit
-            h[state] = np.where(old, k + 1 >> 1, k)
-        self.seen[state] = np.where(old, seen + 4 >> 1, seen)
-        for t, s, at, guess, sure in zip(self.tables, self.trust, self.at, self.guess, self.sure, strict=True):
-            match = (guess == x) & (sure > 0)
-            t[at] = np.where(match | (sure > 1), guess, x)
-            s[at] = _NEXT[match * 4 + sure]
-        self.count.ravel()[self.lane[:n] * self.width + x] += _GAIN
+        new = self.small << 2 | 1
+        for t, at, held, hit in zip(self.tables, self.at, self.held, (self.hit2, self.hit1), strict=True):
+            sure = held & 3
+            t[at] = np.where(hit, held + (sure < 3), np.where(sure > 1, held - 1, new))
+        self.outcomes[self.state * 4 + np.where(self.hit2, 0, 2 - self.hit1)] += 1
+        self.count.ravel()[self.places[:n] + x] += _GAIN
         self.before[:n] = self.last[:n]
         self.last[:n] = x
 
 
-def _renormalised(low: np.ndarray, span: np.ndarray) -> Iterable[np.ndarray]:
-    """Lanes that shift 16 bits out, until none has to; changes low and span."""
-    todo = np.arange(len(low))
-    while True:
-        a, s = low[todo], span[todo]
-        settled = (a ^ (a + s)) < _TOP
-        small = ~settled & (s < _BOTTOM)
-        span[todo[small]] = (np.uint64(0) - a[small]) & (_BOTTOM - np.uint64(1))
-        todo = todo[settled | small]
-        if not len(todo):
-            return
-        yield todo
-        low[todo] <<= np.uint64(16)
-        span[todo] <<= np.uint64(16)
+# The range coder: 48 bits, of which 16 leave at once when the span falls under 32.
+_FULL, _FLOOR, _LOW = 1 << 48, 1 << 32, (1 << 32) - 1
 
 
 def _listed(ids: np.ndarray) -> bytes:
@@ -171,8 +164,8 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     known, coded = zip(*[np.unique(p, return_inverse=True) for p in parts], strict=True)
     lengths = np.array([len(p) for p in parts])
     m = Mixer(np.array([len(k) for k in known]))
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    held, at = np.zeros((lanes, 2 * int(lengths[0]) + 16), np.uint16), np.zeros(lanes, np.int64)
+    low, span = np.zeros(lanes, np.int64), np.full(lanes, _FULL, np.int64)
+    held, at = np.zeros((lanes, 2 * int(lengths[0]) + 16), np.int32), np.ones(lanes, np.int64)  # a carry may go to place 0
     steps = np.zeros((int(lengths[0]), lanes), np.int64)
     for k, c in enumerate(coded):
         steps[: len(c), k] = c
@@ -181,23 +174,28 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
         x = steps[t, :n]
         m.predict(n)
         start, width = m.interval(x)
-        lo, sp = low[:n], span[:n]
-        sp >>= np.uint64(_TOTAL_BITS)
-        lo += sp * start.view(np.uint64)
-        sp *= width.view(np.uint64)
-        for now in _renormalised(lo, sp):
-            held[now, at[now]] = lo[now] >> np.uint64(48)
+        unit = span[:n] >> _BITS
+        low[:n] += unit * start
+        span[:n] = unit * width
+        while len(now := np.flatnonzero(span[:n] < _FLOOR)):
+            lo = low[now]
+            held[now, at[now]] = lo >> 32
             at[now] += 1
+            low[now] = (lo & _LOW) << 16
+            span[now] <<= 16
         m.learn(x)
-    for _ in range(4):
-        held[np.arange(lanes), at] = low >> np.uint64(48)
-        low <<= np.uint64(16)
+    for _ in range(3):
+        held[np.arange(lanes), at] = low >> 32
+        low = (low & _LOW) << 16
         at += 1
+    while (over := held >> 16).any():  # carries go left
+        held &= 0xFFFF
+        held[:, :-1] += over[:, 1:]
     done = []
     for k, part in enumerate(parts):
         names = _listed(known[k])
         check = zlib.crc32(part.astype("<u4").tobytes())
-        done.append(HEADER.pack(MAGIC, len(part), check, len(known[k]), len(names)) + names + held[k, : at[k]].astype("<u2").tobytes())
+        done.append(HEADER.pack(MAGIC, len(part), check, len(known[k]), len(names)) + names + held[k, 1 : at[k]].astype("<u2").tobytes())
     return done
 
 
@@ -216,26 +214,24 @@ def decode_blocks(blocks: list[bytes]) -> np.ndarray:
         known.append(_unlisted(blocks[k][HEADER.size : cut]))
         codes.append(np.frombuffer(blocks[k], "<u2", offset=cut))
     lanes, most = len(order), max(map(len, codes))
-    words = np.zeros((lanes, most + 8), np.uint64)
+    words = np.zeros((lanes, most + 8), np.int64)
     for k, c in enumerate(codes):
         words[k, : len(c)] = c
     m = Mixer(np.array([len(k) for k in known]))
-    low, span, value = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64), np.zeros(lanes, np.uint64)
-    for k in range(4):
-        value = value << np.uint64(16) | words[:, k]
-    at = np.full(lanes, 4)
+    span, at = np.full(lanes, _FULL, np.int64), np.full(lanes, 3)
+    value = words[:, 0] << 32 | words[:, 1] << 16 | words[:, 2]
     steps = np.zeros((int(lengths[0]), lanes), np.int64)
     for t in range(int(lengths[0])):
         n = lanes if t < lengths[-1] else int((lengths > t).sum())
         m.predict(n)
-        lo, sp, va = low[:n], span[:n], value[:n]
-        sp >>= np.uint64(_TOTAL_BITS)
-        x = m.find(np.minimum((va - lo) // sp, np.uint64((1 << _TOTAL_BITS) - 1)).view(np.int64))
+        unit = span[:n] >> _BITS
+        x = m.find(np.minimum((value[:n] / unit).astype(np.int64), (1 << _BITS) - 1))
         start, width = m.interval(x)
-        lo += sp * start.view(np.uint64)
-        sp *= width.view(np.uint64)
-        for now in _renormalised(lo, sp):
-            va[now] = va[now] << np.uint64(16) | words[now, at[now]]
+        value[:n] -= unit * start
+        span[:n] = unit * width
+        while len(now := np.flatnonzero(span[:n] < _FLOOR)):
+            value[now] = value[now] << 16 | words[now, at[now]]
+            span[now] <<= 16
             at[now] += 1
         steps[t, :n] = x
         m.learn(x)
@@ -266,10 +262,18 @@ class Tokenizer:
         self.cache.update((w, b) for w, b in found.items() if len(w) <= LONGEST)
         get = lambda w: self.cache.get(w) or found[w]
         find = self.cache.__getitem__ if all(len(w) <= LONGEST for w in new) else get
-        return [np.frombuffer(b"".join(map(find, words)) if words is not None else self._ids([t])[0], "<u4") for t, words in zip(many, latin, strict=True)]
-
-    def _ids(self, many: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(many, add_special_tokens=False)] if many else []
+        return [np.frombuffer(b"".join(map(find, words)) if words is not None else np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), "<u4") for t, words in zip(many, latin, strict=True)]
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each pre-token; they merge apart, so one call takes many of them."""
+        done: list[bytes] = []
+        for at in range(0, len(words), TOGETHER):
+            part = words[at : at + TOGETHER]
+            e = self.library.encode(part, is_pretokenized=True, add_special_tokens=False)
+            held = np.array(e.ids, "<u4").tobytes()
+            cut = (np.searchsorted(np.array(e.word_ids), np.arange(len(part) + 1)) * 4).tolist()
+            done += [held[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        return done
 
 
 _TOKENIZERS: dict[str, Tokenizer] = {}
