@@ -8,8 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space in the wide sense; Java's \s alone is ASCII.
-SPACE = r"[\s\x1c-\x1f\x85   -     　]"
-LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
+SPACE = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 # Publishers whose name may end a headline, and the marks before it, in order of trial.
 PUBLISHERS = ["Daily FT", "Ceylon Today", "Daily Mirror", "Daily News", "The Island"]

@@ -14,7 +14,7 @@ def values(spark, rows, expr, schema="s string"):
     return [r[0] for r in spark.createDataFrame([(x,) if not isinstance(x, tuple) else x for x in rows], schema).select(expr).collect()]
 
 
-SPACED = ["", "  a  b ", "a b\x1cc\x85d", " x　", "one\ntwo\r\nthree", None]
+SPACED = ["", "  a  b ", "a\u00a0b\x1cc\x85d", "\u2003x\u3000", "one\ntwo\r\nthree", None]
 
 
 def test_collapse_and_hashes(spark):

@@ -100,7 +100,7 @@ def test_reasons_have_a_default(spark):
 
 def test_files_of_rules_and_sources(spark, tmp_path):
     held = {"version": 2, "financial_relevance": {"g": {"weight": 1, "max_score": 2, "terms": ["a"]}}}
-    (tmp_path / "r.json").write_text("﻿" + json.dumps(held), encoding="utf-8")
+    (tmp_path / "r.json").write_text("\ufeff" + json.dumps(held), encoding="utf-8")
     rules = load_rules(tmp_path / "r.json")
     assert (rules.version, rules.financial[0].terms, rules.pr) == ("2", ("a",), ())
     assert rules.terms_table(spark).count() == 1
