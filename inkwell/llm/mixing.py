@@ -136,7 +136,10 @@ def mixed_rows(docs: DataFrame, weights: DataFrame | None = None, seed: str = SE
     m = mix(docs, weights, seed).groupBy("doc_id", "size").agg(F.max("copies").alias("copies")).where("copies > 0")
     m = m.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.array_repeat(F.lit(0), F.col("copies").cast("int")).alias("_copies"))
     joined = docs.join(m, docs["doc_id"].eqNullSafe(m["_id"]) & (n_words(docs["text"]) == m["_size"]))
-    return joined.select(*[docs[f"`{c}`"] for c in docs.columns], F.explode(m["_copies"]).alias("_copy")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    copy = "_copy"
+    while copy in docs.columns:
+        copy += "_"
+    return joined.select(*[docs[f"`{c}`"] for c in docs.columns], F.explode(m["_copies"]).alias(copy)).drop(copy)
 
 
 def op3_mix_sources(spark, sf_dir: str) -> DataFrame:
@@ -146,8 +149,7 @@ def op3_mix_sources(spark, sf_dir: str) -> DataFrame:
 OP3_SQL = r"""
 WITH q AS (SELECT doc_id, 0.5::DOUBLE + avg(quality) * 1.5::DOUBLE AS weight FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
 d AS (
-  SELECT d.doc_id, source, coalesce(len(regexp_extract_all(text, '[^ 	-
-]+')), 0)::BIGINT AS size,
+  SELECT d.doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
          -ln((('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, '') || 'mix'), 1, 12))::BIGINT::DOUBLE + 0.5::DOUBLE) / 281474976710656.0::DOUBLE)
            / coalesce(weight, 1.0::DOUBLE) AS key
   FROM documents d LEFT JOIN q ON d.doc_id = q.doc_id),

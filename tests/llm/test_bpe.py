@@ -27,7 +27,7 @@ def own():
 
 def texts(n=600):
     rng = random.Random(8)
-    bits = ["the", " The", "ing", "'s", "'LL", "'re", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "　", "1", "²", "½", "½9", "é", "ß", "ñandú", "Дом", "日本語", "🙂", "👩‍👧", "é", "ʼ", "_", "--", "<|endoftext|>", "#$%", "x" * 40, "\x00", "İ", "ﬁ", "ª", "µ", "÷"]
+    bits = ["the", " The", "ing", "'s", "'LL", "'re", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u3000", "1", "²", "½", "½9", "é", "ß", "ñandú", "Дом", "日本語", "🙂", "👩‍👧", "é", "ʼ", "_", "--", "<|endoftext|>", "#$%", "x" * 40, "\x00", "İ", "ﬁ", "ª", "µ", "÷"]
     return ["".join(rng.choice(bits) for _ in range(rng.randrange(25))) for _ in range(n)]
 
 
