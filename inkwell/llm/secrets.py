@@ -1,12 +1,12 @@
 """Secret scans: fixed patterns, and a character network over further candidates.
 
 Base patterns always report. Beside them every run of at least MIN_LEN
-characters of secret-like alphabets is a candidate; a small convolutional
-network in numpy reads it with its surrounding characters and says how likely
-it is a secret. The network is trained on labelled findings that a seeded
-generator makes (the tables hold none): random keys in several alphabets
-against words, names, paths, numbers and repeated characters, both in contexts
-of either kind. The reporting threshold is calibrated on a part that training
+characters of secret-like alphabets is a candidate. A small convolutional
+network in numpy reads every candidate, base ones too, with its surrounding
+characters and says how likely it is a secret. The network is trained on
+labelled findings that a seeded generator makes (the tables hold none): random
+keys in several alphabets against words, names, paths, numbers and repeated
+characters, both in contexts of either kind. The reporting threshold is calibrated on a part that training
 doesn't see: the largest that keeps RECALL of its secrets.
 
 Candidates longer than the window are read in overlapping windows, and the
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import re
 import string
 
@@ -150,9 +151,9 @@ class Network:
         return cls(p[0], p[1], p[2], float(p[3][0]))
 
     def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float = RECALL) -> Network:
-        """The largest threshold that keeps `recall` of the secrets, 0.5 at least."""
+        """The largest threshold that keeps `recall` of the secrets; 0.5 where there are none."""
         found = np.sort(self.scores(x)[y == 1])
-        self.threshold = max(0.5, float(found[int((1 - recall) * len(found))])) if len(found) else 0.5
+        self.threshold = float(found[int((1 - recall) * len(found))]) if len(found) else 0.5
         return self
 
 
@@ -208,30 +209,47 @@ def trained() -> Network:
     return Network.train(x[:cut], y[:cut]).calibrate(x[cut:], y[cut:])
 
 
-def scan(text: str, net: Network) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """Base spans and all spans of one text."""
+def values(text: str, spans: list[tuple[int, int]], net: Network) -> list[float]:
+    """The network's value of each span: the largest over its windows."""
+    best = np.zeros(len(spans))
+    ws = ((i, w) for i, span in enumerate(spans) for w in windows(text, *span))
+    while part := list(itertools.islice(ws, 1024)):
+        np.maximum.at(best, [i for i, _ in part], net.scores(encode([w for _, w in part])))
+    return best.tolist()
+
+
+def scan(text: str, net: Network) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], list[float]]:
+    """Base spans, all spans of one text, and the network's value of each of these."""
     base = base_spans(text)
-    open_ = [c for c in candidates(text) if not any(s < c[1] and c[0] < e for s, _, e in base)]
-    more = []
-    for at in range(0, len(open_), 256):
-        part = open_[at : at + 256]
-        ws = [(i, w) for i, c in enumerate(part) for w in windows(text, *c)]
-        best = np.zeros(len(part))
-        for k in range(0, len(ws), 1024):
-            np.maximum.at(best, [i for i, _ in ws[k : k + 1024]], net.scores(encode([w for _, w in ws[k : k + 1024]])))
-        more += [(c[0], 3, c[1]) for c, p in zip(part, best, strict=True) if p >= net.threshold]
-    return base, sorted(base + more)
+    more = apart(candidates(text), base)
+    valued = values(text, [(s, e) for s, _, e in base] + more, net)
+    kept = [(c[0], 3, c[1]) for c, p in zip(more, valued[len(base) :], strict=True) if p >= net.threshold]
+    by_span = dict(zip([*base, *[(s, 3, e) for s, e in more]], valued, strict=True))
+    spans = sorted(base + kept)
+    return base, spans, [by_span[x] for x in spans]
+
+
+def apart(found: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The candidates that overlap no base span; both are in order of start."""
+    kept, at, reach = [], 0, -1
+    for start, end in found:
+        while at < len(base) and base[at][0] < end:
+            reach = max(reach, base[at][2])
+            at += 1
+        if start >= reach:
+            kept.append((start, end))
+    return kept
 
 
 def said(spans) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-_ARROW = pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()), ("base_sha256", pa.string()), ("spans", pa.string())])
+_ARROW = pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()), ("base_sha256", pa.string()), ("spans", pa.string()), ("scores", pa.string())])
 
 
 def scan_secrets(docs: DataFrame, net: Network | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans: one row a document."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, scores (of the spans, in their order): one row a document."""
     spark = docs.sparkSession
     ship(spark)
     held = spark.sparkContext.broadcast(net or trained())
@@ -241,16 +259,17 @@ def scan_secrets(docs: DataFrame, net: Network | None = None, id_col: str = "doc
         for part, all_texts in texts(batches):
             got: dict[str, list] = {f.name: [] for f in _ARROW}
             for t in all_texts:
-                base, spans = scan((t or b"").decode("utf-8", "replace"), network)
+                base, spans, scores = scan((t or b"").decode("utf-8", "replace"), network)
                 kinds = [k for _, k, _ in base]
                 for i, name in enumerate(("n_assign", "n_access", "n_hex")):
                     got[name].append(kinds.count(i))
                 got["base_sha256"].append(hashlib.sha256(said(base).encode()).hexdigest())
                 got["spans"].append(said(spans))
+                got["scores"].append(",".join(f"{x:.3f}" for x in scores))
             got["doc_id"] = part.column(0)
             yield out(_ARROW, got)
 
-    return only(docs, doc_id=id_col, text=text_col).mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return only(docs, doc_id=id_col, text=text_col).mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, scores string")
 
 
 def op4_secret_scan(spark, sf_dir: str) -> DataFrame:
