@@ -8,10 +8,11 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions import dates, text, urls
+from inkwell.session import ship
 
 # The metadata that may hold a publication date, in order of trial.
 DATE_PROPERTIES = ["article:published_time", "og:published_time", "article:published"]
@@ -196,13 +197,19 @@ def _body(page: str | None) -> str:
     return "\n\n".join(x for x in lines if x)
 
 
+def _by_batch(f, kind: str, html: Column) -> Column:
+    """f over batches of pages; the workers get this package first."""
+    ship(SparkSession.active())
+    return F.pandas_udf(f, kind)(html)
+
+
 def _bodies(pages: pd.Series) -> pd.Series:
     return pages.map(_body)
 
 
 def article_text(html: Column) -> Column:
     """Blocks of text outside navigation, forms, tables and figures, a blank line between them."""
-    return F.pandas_udf(_bodies, "string")(html)
+    return _by_batch(_bodies, "string", html)
 
 
 def _near(page: str | None, levels: int, most: int, pattern: re.Pattern | None, shortest: int) -> list[dict]:
@@ -248,14 +255,14 @@ def _carded(pages: pd.Series) -> pd.Series:
 
 def links_with_dates(html: Column) -> Column:
     """Links with the weekday date of the nearest of six ancestors (1,800 characters at most) that shows one."""
-    return F.pandas_udf(_dated, _LINKS)(html)
+    return _by_batch(_dated, _LINKS, html)
 
 
 def links_with_excerpts(html: Column) -> Column:
     """Links with the first paragraph of 40 characters in the nearest of six ancestors (2,500 at most)."""
-    return F.pandas_udf(_excerpted, _LINKS)(html)
+    return _by_batch(_excerpted, _LINKS, html)
 
 
 def links_with_cards(html: Column) -> Column:
     """Links with date and paragraph of the nearest of seven ancestors (2,200 at most) that shows a date."""
-    return F.pandas_udf(_carded, _LINKS)(html)
+    return _by_batch(_carded, _LINKS, html)

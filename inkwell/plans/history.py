@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions import dates, text
 from inkwell.operators import selection, validation, versions
-from inkwell.session import table
+from inkwell.session import shared_dir, table
+from inkwell.streaming import sightings
 
 NOW = "2024-01-31 00:00:00"
 
@@ -66,6 +69,17 @@ def recheck_chain(spark, sf_dir):
     return chain.groupBy("user_id").agg(F.count_if("fetched").alias("fetches"), F.count(F.lit(1)).alias("sightings"), F.max(F.when(F.col("fetched"), F.col("ts"))).cast("timestamp_ntz").alias("last_fetch"))
 
 
+def stream_fetch_gate(spark, sf_dir):
+    """The re-fetch chain as a stream: all events that are there, state by user."""
+    schema = table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    to = f"{shared_dir(spark)}/inkwell/gate-{uuid.uuid4().hex}"
+    gate = sightings.fetch_gate(events, "user_id", "ts", 6.0)
+    gate.writeStream.format("parquet").option("path", f"{to}/out").option("checkpointLocation", f"{to}/state").trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.schema(sightings.FETCHED).parquet(f"{to}/out")
+    return out.groupBy(F.col("key").cast("long").alias("user_id")).agg(F.count_if("fetched").alias("fetches"), F.count(F.lit(1)).alias("sightings"))
+
+
 def _staged(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
     k = F.col("conv_id")
@@ -96,7 +110,7 @@ def article_identities(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        change_detection, version_counter, intake_status, latest_version, state_snapshot, state_merge, recheck_gate_stateless, recheck_chain, target_date_match, match_method_counts, article_identities,
+        change_detection, version_counter, intake_status, latest_version, state_snapshot, state_merge, recheck_gate_stateless, recheck_chain, stream_fetch_gate, target_date_match, match_method_counts, article_identities,
     )
 }
 
@@ -105,6 +119,13 @@ _FETCHES = """f AS (
 l AS (SELECT *, lag(h) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM f),
 s AS (SELECT *, CASE WHEN before IS NULL THEN 'NEW' WHEN before <> h THEN 'CHANGED' ELSE 'UNCHANGED' END AS status FROM l)"""
 _SEEN = "SELECT user_id, min(ts) AS first_seen_at, max(ts) AS last_seen_at, arg_max(event_type, ts) FILTER (event_type <> 'error') AS headline, count(*) AS sightings FROM events GROUP BY user_id"
+_CHAIN = """
+WITH RECURSIVE f AS (
+  SELECT user_id, min(ts) AS ts FROM events GROUP BY user_id
+  UNION ALL
+  SELECT f.user_id, min(e.ts) AS ts FROM f JOIN events e ON e.user_id = f.user_id AND e.ts >= f.ts + INTERVAL 6 HOUR GROUP BY f.user_id),
+n AS (SELECT user_id, count(*) AS fetches, max(ts) AS last_fetch FROM f GROUP BY user_id),
+s AS (SELECT user_id, count(*) AS sightings FROM events GROUP BY user_id)"""
 _METHOD = """m AS (
   SELECT conv_id, turn, role, CASE WHEN conv_id % 4 = 0 THEN CASE WHEN turn % 5 = 4 THEN 'published_at' END
          WHEN conv_id % 4 <> 3 AND turn % 2 = 0 THEN 'collection_run_date_fallback' ELSE 'path_date_fallback' END AS method
@@ -128,13 +149,8 @@ WITH u AS (SELECT DISTINCT user_id FROM events), c AS (SELECT user_id, max(ts) A
 SELECT u.user_id, CASE WHEN c.ts IS NULL THEN 'NEW' WHEN u.user_id % 10 = 3 THEN 'NEVER_FETCHED' WHEN u.user_id % 10 = 4 THEN 'INVALID_FETCH_TIME'
        WHEN epoch_us(TIMESTAMP '2024-01-30 12:00:00') - epoch_us(c.ts) >= 21600000000 THEN 'RECHECK' ELSE 'RECENTLY_FETCHED' END AS reason
 FROM u LEFT JOIN c ON u.user_id = c.user_id""",
-    "recheck_chain": """
-WITH RECURSIVE f AS (
-  SELECT user_id, min(ts) AS ts FROM events GROUP BY user_id
-  UNION ALL
-  SELECT f.user_id, min(e.ts) AS ts FROM f JOIN events e ON e.user_id = f.user_id AND e.ts >= f.ts + INTERVAL 6 HOUR GROUP BY f.user_id),
-n AS (SELECT user_id, count(*) AS fetches, max(ts) AS last_fetch FROM f GROUP BY user_id)
-SELECT n.user_id, fetches, s.sightings, last_fetch FROM n JOIN (SELECT user_id, count(*) AS sightings FROM events GROUP BY user_id) s ON n.user_id = s.user_id""",
+    "recheck_chain": _CHAIN + " SELECT n.user_id, fetches, s.sightings, last_fetch FROM n JOIN s ON n.user_id = s.user_id",
+    "stream_fetch_gate": _CHAIN + " SELECT n.user_id, fetches, s.sightings FROM n JOIN s ON n.user_id = s.user_id",
     "target_date_match": f"WITH {_METHOD} SELECT conv_id, turn, method FROM m",
     "match_method_counts": f"""
 WITH {_METHOD} SELECT role, count(*) AS scanned, count(method) AS matched, count(*) FILTER (method = 'published_at') AS published_at,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from inkwell.functions import text
+from inkwell.session import ship
 
 STAGED = (
     "source_name string, section_name string, source_url string, final_url string, canonical_url string, headline string, subheadline string, author string, "
@@ -134,3 +135,9 @@ class WebPages(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options)
+
+
+def register_web_pages(spark: SparkSession) -> None:
+    """Make the web_pages format known to a session and its workers."""
+    ship(spark)
+    spark.dataSource.register(WebPages)

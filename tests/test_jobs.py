@@ -133,7 +133,7 @@ def test_web_pages(spark):
 
     server = HTTPServer(("127.0.0.1", 0), Handler)
     threading.Thread(target=server.serve_forever, daemon=True).start()
-    spark.dataSource.register(readers.WebPages)
+    readers.register_web_pages(spark)
     root = f"http://127.0.0.1:{server.server_port}"
     got = spark.read.format("web_pages").option("urls", "\n".join(root + p for p in ("/ok", "/once", "/gone", "/busy"))).option("delay", "0.01").option("partitions", "2").load().collect()
     server.shutdown()
