@@ -47,7 +47,7 @@ WORDS, NUM, DEN = 5, 80, 100
 #: Coordinates of a point, and children of a node of the tree.
 GROUPS, FAN = 24, 16
 #: Points and hashes of a leaf of a large family, at most (one set may be larger).
-LEAF_POINTS, LEAF_HASHES = 512, 1 << 20
+LEAF_POINTS, LEAF_HASHES = 256, 1 << 19
 #: Rows of parts that a task folds at once, and words whose hashes it remembers.
 FOLD, WORDS_HELD = 1 << 18, 150_000
 
@@ -336,8 +336,10 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, num: int = NUM, den: int
     d = only(docs, doc_id=id_col, text=text_col)
     plain = materialize(_nodes(d, n), "nodes")
     named = plain.where("n_ngrams > 0 and doc_id is not null")
-    first = named.groupBy("digest").agg(F.min("doc_id").alias("node"))
-    nodes = materialize(plain.join(first, "digest", "left").select("doc_id", "n_ngrams", F.when(F.col("n_ngrams") > 0, F.col("node")).otherwise(F.col("doc_id")).alias("node")), "nodes")
+    # written, so that the join's sides are plain exchanges and Spark may split a group of copies
+    first = materialize(named.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "equal")
+    copied = F.when((F.col("n_ngrams") > 0) & F.col("doc_id").isNotNull(), F.col("node"))
+    nodes = materialize(plain.join(first, "digest", "left").select("doc_id", "n_ngrams", F.coalesce(copied, "doc_id").alias("node")), "nodes")
     by_id = nodes.where("n_ngrams > 0 and doc_id is not null").select("doc_id", "node").distinct()
 
     stars = materialize(_stars(_parts(d, n, num, den)), "stars").distinct()
