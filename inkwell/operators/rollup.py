@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.operators import validation
+
 #: Counter by outcome of a candidate.
 OUTCOMES = {
     "new_articles": "NEW",
@@ -92,16 +94,27 @@ def run_summary(statuses: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
-def job_outcome(collection_code: Column, any_stage_failed: Column) -> Column:
-    """Result of a scheduled run; the collection's code is null where it could not be started."""
+def job_outcome(collection_code: Column, any_stage_failed: Column, there: Column | None = None) -> Column:
+    """Result of a scheduled run; the collection's code is null where it could not be started.
+
+    there: whether the collection exists at all.
+    """
+    exists = F.lit(True) if there is None else there
     return (
-        F.when(collection_code.isNull(), "EXECUTION_ERROR")
+        F.when(~exists, "COLLECTION_SCRIPT_MISSING")
+        .when(collection_code.isNull(), "EXECUTION_ERROR")
         .when(collection_code != 0, "FAILED")
         .when(F.coalesce(any_stage_failed, F.lit(False)), "COLLECTION_SUCCESS_INTELLIGENCE_FAILED")
         .otherwise("SUCCESS")
     )
 
 
+def scoring_outcome(code: Column, there: Column | None = None) -> Column:
+    """Result of one date's scoring; the code is null where it could not be started."""
+    exists = F.lit(True) if there is None else there
+    return F.when(~exists, "INTELLIGENCE_SCRIPT_MISSING").when(code.isNull(), "EXECUTION_ERROR").when(code == 0, "SUCCESS").otherwise("FAILED")
+
+
 def gate_counts(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     g = F.col("gate_decision")
     return scored.groupBy(*(by or [])).agg(
@@ -109,6 +122,10 @@ def gate_counts(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
+def diagnostic_verdict(section_fetched: Column, successful: Column) -> Column:
+    return F.when(section_fetched & (successful > 0), "PASS").when(section_fetched, "SECTION OK / ARTICLE EXTRACTION NEEDS WORK").otherwise("FAILED")
+
+
 def diagnostic_rollup(tests: DataFrame, by: list[str]) -> DataFrame:
     """Tested articles of each source: how many are valid, whether a browser helped, notes, verdict."""
     missing, n = F.count_if(F.coalesce("published_at", F.lit("")) == ""), F.count(F.lit(1))
@@ -119,5 +136,34 @@ def diagnostic_rollup(tests: DataFrame, by: list[str]) -> DataFrame:
         valid.alias("successful_articles"),
         F.bool_or("used_browser").alias("browser_fallback_used"),
         F.array_compact(F.array(F.when(F.bool_or("used_browser"), "BROWSER_FALLBACK_REQUIRED_OR_USED"), F.when(missing > 0, ratio))).alias("notes"),
-        F.when(valid > 0, "PASS").otherwise("SECTION OK / ARTICLE EXTRACTION NEEDS WORK").alias("verdict"),
+        diagnostic_verdict(F.lit(True), valid).alias("verdict"),
     )
+
+
+def diagnose(sections: DataFrame, candidates: DataFrame, tests: DataFrame, by: str = "source_code") -> DataFrame:
+    """Every section with its candidate links and tested articles; sections without either keep their row.
+
+    sections: by, section_fetched. candidates: by, url. tests: as in diagnostic_rollup.
+    """
+    links = candidates.groupBy(by).agg(F.count(F.lit(1)).alias("candidate_links_found"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    joined = sections.join(links, by, "left").join(diagnostic_rollup(tests, [by]).drop("verdict"), by, "left")
+    none = F.when(F.col("section_fetched") & (F.coalesce("candidate_links_found", F.lit(0)) == 0), F.array(F.lit("NO_ARTICLE_LINKS_DISCOVERED")))
+    failed = F.when(~F.col("section_fetched"), F.array(F.lit("SECTION_FETCH_FAILED")))
+    return joined.select(
+        by,
+        "section_fetched",
+        zero("candidate_links_found"),
+        zero("tested_articles"),
+        zero("successful_articles"),
+        F.coalesce("browser_fallback_used", F.lit(False)).alias("browser_fallback_used"),
+        F.coalesce(failed, none, F.col("notes"), F.array().cast("array<string>")).alias("notes"),
+        diagnostic_verdict(F.col("section_fetched"), F.coalesce("successful_articles", F.lit(0))).alias("verdict"),
+    )
+
+
+def page_test_counts(pages: DataFrame, status: str = "status_code", valid: str = "valid") -> DataFrame:
+    """How many tested pages are valid, blocked, or neither."""
+    blocked = F.coalesce(validation.is_blocked(F.col(status)), F.lit(False))
+    good = ~blocked & F.coalesce(valid, F.lit(False))
+    return pages.agg(F.count_if(good).alias("valid"), F.count_if(blocked).alias("blocked"), F.count_if(~good & ~blocked).alias("invalid"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -103,3 +104,21 @@ def status(outcomes: DataFrame, source_key: str, run_id: str) -> DataFrame:
     """The status row of a source's run."""
     counted = rollup.with_statuses(rollup.source_counters(outcomes.withColumn("source_key", F.lit(source_key)), ["source_key"]))
     return counted.withColumns({"run_id": F.lit(run_id), "execution_status": F.lit("SUCCESS")})
+
+
+def run_sources(spark, jobs: dict[str, Callable[[], DataFrame]], run_id: str) -> DataFrame:
+    """The status rows of all sources; one that raises is a FAILED row and the others still run.
+
+    jobs: by source_key, a function that runs the source and returns its status row.
+    """
+    rows = []
+    for key, job in jobs.items():
+        try:
+            rows.append(materialize(job(), "status"))
+        except Exception as e:  # noqa: BLE001  whatever a source fails with is its status
+            failed = (run_id, key, "FAILED", "FAILED", "SOURCE_FETCH_FAILED", type(e).__name__, str(e)[:2000])
+            rows.append(spark.createDataFrame([failed], "run_id string, source_key string, execution_status string, health_status string, content_status string, error_type string, error_message string"))
+    whole = rows[0]
+    for r in rows[1:]:
+        whole = whole.unionByName(r, allowMissingColumns=True)
+    return whole

@@ -102,6 +102,16 @@ def test_collection_run(spark, tmp_path):
     assert {r.url[-1]: r.version_number for r in after.collect()} == {"1": 2, "2": 1, "5": 0}
 
 
+def test_one_failing_source_leaves_the_others(spark):
+    good = lambda: spark.createDataFrame([("a", "r", "SUCCESS", "HEALTHY", "NO_NEW_ARTICLES", 3)], "source_key string, run_id string, execution_status string, health_status string, content_status string, new_articles int")
+
+    def bad():
+        raise RuntimeError("page 2")
+
+    got = {r.source_key: (r.execution_status, r.content_status, r.error_message) for r in collection.run_sources(spark, {"b": bad, "a": good}, "r").collect()}
+    assert got == {"a": ("SUCCESS", "NO_NEW_ARTICLES", None), "b": ("FAILED", "SOURCE_FETCH_FAILED", "page 2")}
+
+
 def test_statuses(spark, tmp_path):
     path = str(tmp_path / "statuses")
     for run in ("r1", "r2"):

@@ -146,3 +146,20 @@ def test_rollup_labels(spark):
     ]
     outcome = lambda code, failed: one(spark, rollup.job_outcome(F.lit(code).cast("int"), F.lit(failed).cast("boolean")))[0]
     assert [outcome(None, None), outcome(2, None), outcome(0, True), outcome(0, False)] == ["EXECUTION_ERROR", "FAILED", "COLLECTION_SUCCESS_INTELLIGENCE_FAILED", "SUCCESS"]
+    assert [one(spark, rollup.scoring_outcome(F.lit(c).cast("int")))[0] for c in (0, 1, None)] == ["SUCCESS", "FAILED", "EXECUTION_ERROR"]
+    assert one(spark, rollup.job_outcome(F.lit(0), F.lit(False), F.lit(False)), rollup.scoring_outcome(F.lit(0), F.lit(False))) == ("COLLECTION_SCRIPT_MISSING", "INTELLIGENCE_SCRIPT_MISSING")
+
+
+def test_diagnosis(spark):
+    sections = spark.createDataFrame([("a", True), ("b", True), ("c", False), ("d", True)], "source_code string, section_fetched boolean")
+    links = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "3")], "source_code string, url string")
+    tests = spark.createDataFrame([("a", None, True, True), ("a", "2026-09-14", False, False), ("b", "2026-09-14", False, False)], "source_code string, published_at string, valid boolean, used_browser boolean")
+    got = {r.source_code: (r.candidate_links_found, r.tested_articles, r.successful_articles, r.notes, r.verdict) for r in rollup.diagnose(sections, links, tests).collect()}
+    assert got == {
+        "a": (2, 2, 1, ["BROWSER_FALLBACK_REQUIRED_OR_USED", "MISSING_PUBLICATION_DATE:1/2"], "PASS"),
+        "b": (1, 1, 0, [], "SECTION OK / ARTICLE EXTRACTION NEEDS WORK"),
+        "c": (0, 0, 0, ["SECTION_FETCH_FAILED"], "FAILED"),
+        "d": (0, 0, 0, ["NO_ARTICLE_LINKS_DISCOVERED"], "SECTION OK / ARTICLE EXTRACTION NEEDS WORK"),
+    }
+    pages = spark.createDataFrame([(200, True), (403, True), (200, False), (None, None)], "status_code int, valid boolean")
+    assert tuple(rollup.page_test_counts(pages).first()) == (1, 1, 2)
