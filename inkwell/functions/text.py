@@ -69,14 +69,29 @@ def literals(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
 
-def matching_terms(text: Column, terms: list[str]) -> Column:
-    """The terms that stand in the text, in the order of the list."""
-    if not terms:
+def word_set(form: Column) -> Column:
+    """The distinct runs of letters and digits of a text in matching form."""
+    return F.array_distinct(F.split(F.translate(form, "%+-'.", "     "), " +"))
+
+
+def matching_terms(form: Column, terms: list[str], words: Column | None = None) -> Column:
+    """The terms that stand in a text in matching form, in the order of the list.
+
+    A term of one word is looked up in the text's word set (pass it where it is
+    at hand); only others are searched for, each with a pattern of its own.
+    """
+    forms = {t: matching_form_of(t) for t in terms if matching_form_of(t)}
+    one = {t: f for t, f in forms.items() if re.fullmatch("[a-z0-9]+", f)}
+    found = [F.array_compact(F.array(*[F.when(F.contains(form, F.lit(f)) & form.rlike(rf"(?<![a-z0-9])\Q{f}\E(?![a-z0-9])"), F.lit(t)) for t, f in forms.items() if t not in one]))] if len(one) < len(forms) else []
+    if one:
+        held = F.array_intersect(literals(list(one.values())), word_set(form) if words is None else words)
+        if any(t != f for t, f in one.items()):
+            named = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(f).alias("f")) for t, f in one.items()])
+            held = F.transform(F.filter(named, lambda x: F.array_contains(held, x["f"])), lambda x: x["t"])
+        found.append(held)
+    if not found:
         return literals([])
-    if all(matching_form_of(t) == t for t in terms):
-        return F.filter(literals(terms), lambda t: contains_term(text, t))
-    formed = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(matching_form_of(t)).alias("form")) for t in terms])
-    return F.transform(F.filter(formed, lambda t: contains_term(text, t["form"])), lambda t: t["term"])
+    return found[0] if len(found) == 1 else F.array_intersect(literals(list(forms)), F.concat(*found))
 
 
 def clean_headline(s: Column) -> Column:

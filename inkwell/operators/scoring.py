@@ -15,26 +15,26 @@ _GROUPS = "array<struct<name:string,terms:array<string>,score:double>>"
 HIGH, MEDIUM, LIKELY_PR, POSSIBLE_PR, PR_BAR, STRONG_FINANCIAL, SUPERVISORY = 60, 35, 70, 40, 75, 70, 50
 
 
-def matched_group(headline: Column, body: Column, g: Group, boost: float) -> Column:
-    """struct(name, terms, score): sorted distinct matches and their capped sum."""
-    in_headline, in_body = text.matching_terms(headline, list(g.terms)), text.matching_terms(body, list(g.terms))
+def matched_group(headline: Column, body: Column, g: Group, boost: float, words: tuple[Column | None, Column | None] = (None, None)) -> Column:
+    """struct(name, terms, score): sorted distinct matches and their capped sum; words: the texts' word sets."""
+    in_headline, in_body = (text.matching_terms(t, list(g.terms), w) for t, w in zip((headline, body), words, strict=True))
     both = F.struct(in_headline.alias("h"), F.array_sort(F.array_union(in_headline, in_body)).alias("all"))
     total = lambda m: F.aggregate(m["all"], F.lit(0.0), lambda s, t: s + F.lit(g.weight) * F.when(F.array_contains(m["h"], t), F.lit(boost)).otherwise(1.0))
     return F.element_at(F.transform(F.array(both), lambda m: F.struct(F.lit(g.name).alias("name"), m["all"].alias("terms"), F.least(total(m), F.lit(g.max_score)).alias("score"))), 1)
 
 
-def matched_groups(headline: Column, body: Column, groups: tuple[Group, ...], boost: float) -> Column:
+def matched_groups(headline: Column, body: Column, groups: tuple[Group, ...], boost: float, words: tuple[Column | None, Column | None] = (None, None)) -> Column:
     """The groups with a match, in the rules' order."""
     if not groups:
         return F.array().cast(_GROUPS)
-    return F.filter(F.array(*[matched_group(headline, body, g, boost) for g in groups]), lambda g: F.size(g["terms"]) > 0)
+    return F.filter(F.array(*[matched_group(headline, body, g, boost, words) for g in groups]), lambda g: F.size(g["terms"]) > 0)
 
 
-def institutions(combined: Column, rules: Rules) -> Column:
+def institutions(combined: Column, rules: Rules, words: Column | None = None) -> Column:
     """Sorted names of which an alias stands in the text."""
     if not rules.institutions:
         return text.literals([])
-    named = [F.when(F.size(text.matching_terms(combined, list(aliases))) > 0, F.lit(name)) for name, aliases in rules.institutions]
+    named = [F.when(F.size(text.matching_terms(combined, list(aliases), words)) > 0, F.lit(name)) for name, aliases in rules.institutions]
     return F.array_sort(F.array_distinct(F.array_compact(F.array(*named))))
 
 
@@ -92,13 +92,15 @@ def score(articles: DataFrame, rules: Rules, headline: str = "headline", body: s
     """
     normed = articles.withColumns({"_h": text.matching_form(F.col(headline)), "_b": text.matching_form(F.col(body))})
     total = lambda groups: F.aggregate(groups, F.lit(0.0), lambda s, g: s + g["score"])
-    combined = F.concat("_h", F.lit(" "), "_b")
+    normed = normed.withColumns({"_hw": text.word_set(F.col("_h")), "_bw": text.word_set(F.col("_b")), "_c": F.concat("_h", F.lit(" "), "_b")})
+    normed = normed.withColumn("_cw", F.array_union("_hw", "_bw"))
+    h, b, words = F.col("_h"), F.col("_b"), (F.col("_hw"), F.col("_bw"))
     matched = normed.withColumns(
         {
-            "_f": matched_groups(F.col("_h"), F.col("_b"), rules.financial, HEADLINE_FINANCIAL),
-            "_p": matched_groups(F.col("_h"), F.col("_b"), rules.pr, HEADLINE_PR),
-            "institutions": institutions(combined, rules),
-            "pr_counter_signals": text.matching_terms(combined, list(rules.counter)),
+            "_f": matched_groups(h, b, rules.financial, HEADLINE_FINANCIAL, words),
+            "_p": matched_groups(h, b, rules.pr, HEADLINE_PR, words),
+            "institutions": institutions(F.col("_c"), rules, F.col("_cw")),
+            "pr_counter_signals": text.matching_terms(F.col("_c"), list(rules.counter), F.col("_cw")),
         }
     )
     n_counter = F.size("pr_counter_signals")
@@ -117,7 +119,7 @@ def score(articles: DataFrame, rules: Rules, headline: str = "headline", body: s
             "matched_pr_terms": named(F.col("_p")),
             "reasons": reasons(F.col("institutions"), F.col("_f"), F.col("_p"), F.col("pr_counter_signals")),
         }
-    ).drop("_h", "_b", "_f", "_p")
+    ).drop("_h", "_b", "_c", "_hw", "_bw", "_cw", "_f", "_p")
 
 
 def required_fields_failure(headline: Column, body: Column, url: Column) -> Column:
