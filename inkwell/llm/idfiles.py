@@ -11,8 +11,9 @@ segment advance together, one id a step, as numpy lanes.
 A file is a Parquet table in the shared folder, one row a segment: whole
 documents in order, the number of ids of each, and the blocks. Spark's
 committer makes the write whole when executors are lost. Documents are dealt
-and sorted by id, so partitions, segments and documents follow each other;
-places in the whole stream are prefix sums of partition and segment totals.
+and sorted by id, so partitions, segments and documents follow each other; a
+segment knows the ids before it in its partition, and prefix sums over the
+partitions' totals give places in the whole stream.
 
 Defined cases: a null text is empty and has the end id alone; rows that repeat
 an id stand in the order of their texts; null ids come first; strings of
@@ -286,8 +287,8 @@ def tokenizer(path: str) -> Tokenizer:
     return _TOKENIZERS[path]
 
 
-_FILE = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("n_ids", pa.int64()), ("blocks", pa.list_(pa.binary()))])
-_FILE_DDL = "part int, segment int, doc_ids array<long>, lengths array<long>, n_ids long, blocks array<binary>"
+_FILE = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("n_ids", pa.int64()), ("blocks", pa.list_(pa.binary()))])
+_FILE_DDL = "part int, segment int, before long, doc_ids array<long>, lengths array<long>, n_ids long, blocks array<binary>"
 
 
 def write_ids(docs: DataFrame, path: str, to: str, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -295,13 +296,13 @@ def write_ids(docs: DataFrame, path: str, to: str, end: int = END, id_col: str =
     ship(docs.sparkSession)
 
     def run(batches):
-        t, part, segment = tokenizer(path), TaskContext.get().partitionId(), 0
+        t, part, segment, before = tokenizer(path), TaskContext.get().partitionId(), 0, 0
         doc_ids, ids, total = [], [], 0
 
         def row():
             block = min(BLOCK, max(SHORT_BLOCK, -(-total // LANES)))
             coded = encode_blocks(np.concatenate(ids), block)
-            return out(_FILE, {"part": [part], "segment": [segment], "doc_ids": [doc_ids], "lengths": [[len(x) for x in ids]], "n_ids": [total], "blocks": [coded]})
+            return out(_FILE, {"part": [part], "segment": [segment], "before": [before], "doc_ids": [doc_ids], "lengths": [[len(x) for x in ids]], "n_ids": [total], "blocks": [coded]})
 
         for batch, all_texts in texts(batches):
             coded = t.encode_batch([(x or b"").decode("utf-8", "replace") for x in all_texts])
@@ -311,7 +312,7 @@ def write_ids(docs: DataFrame, path: str, to: str, end: int = END, id_col: str =
                 total += len(x) + 1
                 if total >= SEGMENT:
                     yield row()
-                    doc_ids, ids, total, segment = [], [], 0, segment + 1
+                    doc_ids, ids, total, segment, before = [], [], 0, segment + 1, before + total
         if doc_ids:
             yield row()
 
@@ -326,11 +327,11 @@ _READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", p
 def read_checks(spark, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document in the files."""
     files = spark.read.schema(_FILE_DDL).parquet(path)
-    totals = files.groupBy("part").agg(F.sum("n_ids").alias("n"))  # one row a file
-    earlier = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    parts = totals.select("part", earlier(W.orderBy("part")).alias("of_part"))
-    segments = files.select("part", "segment", F.col("n_ids").alias("n")).select("part", "segment", earlier(W.partitionBy("part").orderBy("segment")).alias("of_segment"))
-    starts = segments.join(parts, "part").select("part", "segment", (F.col("of_part") + F.col("of_segment")).alias("start"))
+    # one row a partition of the write: as many as its shuffle had, whatever the input
+    totals = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    earlier = F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
+    parts = totals.select("part", F.coalesce(earlier, F.lit(0)).alias("of_part"))
+    placed = files.join(F.broadcast(parts), "part").select("doc_ids", "lengths", (F.col("of_part") + F.col("before")).alias("start"), "blocks")
 
     def run(batches):
         for batch in batches:
@@ -343,7 +344,7 @@ def read_checks(spark, path: str) -> DataFrame:
                 checks = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
                 yield out(_READ, {"doc_id": doc_ids, "start": start + cut[:-1], "n_tokens": lengths, "ids_crc32": checks})
 
-    return files.join(starts, ["part", "segment"]).select("doc_ids", "lengths", "start", "blocks").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op7_token_id_files(spark, sf_dir: str) -> DataFrame:
