@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: White space in the wide sense; Java's \s alone is ASCII.
 SPACE = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: The same characters, for trimming.
+BLANK_CHARS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 # Publishers whose name may end a headline, and the marks before it, in order of trial.
@@ -43,10 +45,18 @@ def url_hash(url: Column, length: int = 16) -> Column:
     return F.substring(sha256_text(url), 1, length)
 
 
+_KEPT = set("abcdefghijklmnopqrstuvwxyz0123456789%+-'. ")
+_DROPPED = "".join(c for c in map(chr, range(1, 128)) if c not in _KEPT)
+
+
 def matching_form(s: Column) -> Column:
-    """Lower case, plain quotes and dashes, all but letters, digits and %+-'. as blanks."""
-    plain = F.translate(F.lower(F.coalesce(s, F.lit(""))), "’‘–—", "''--")
-    return F.trim(F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9%+\\-'. ]+", " "), " +", " "))
+    """Lower case, plain quotes and dashes, all but letters, digits and %+-'. as blanks.
+
+    ASCII goes by one table; a pattern is needed only where other characters are.
+    """
+    plain = F.translate(F.lower(F.coalesce(s, F.lit(""))), "’‘–—" + _DROPPED, "''--" + " " * len(_DROPPED))
+    ascii_only = F.element_at(F.transform(F.array(plain), lambda x: F.when((F.octet_length(x) == F.length(x)) & ~F.contains(x, F.lit("\0")), x).otherwise(F.regexp_replace(x, "[^\\x01-\\x7f]+", " "))), 1)
+    return F.trim(F.regexp_replace(ascii_only, " {2,}", " "))
 
 
 def matching_form_of(term: str) -> str:
@@ -69,22 +79,28 @@ def literals(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
 
-def word_set(form: Column) -> Column:
-    """The distinct runs of letters and digits of a text in matching form."""
-    return F.array_distinct(F.split(F.translate(form, "%+-'.", "     "), " +"))
+def is_word(form: str) -> bool:
+    return bool(re.fullmatch("[a-z0-9]+", form))
+
+
+def word_set(form: Column, terms: list[str]) -> Column:
+    """The one-word terms that are among the runs of letters and digits of a text in matching form."""
+    vocabulary = sorted({f for f in map(matching_form_of, terms) if is_word(f)})
+    return F.array_intersect(F.split(F.translate(form, "%+-'.", "     "), " "), literals(vocabulary))
 
 
 def matching_terms(form: Column, terms: list[str], words: Column | None = None) -> Column:
     """The terms that stand in a text in matching form, in the order of the list.
 
     A term of one word is looked up in the text's word set (pass it where it is
-    at hand); only others are searched for, each with a pattern of its own.
+    at hand, taken with these terms or more); only others are searched for,
+    each with a pattern of its own.
     """
     forms = {t: matching_form_of(t) for t in terms if matching_form_of(t)}
-    one = {t: f for t, f in forms.items() if re.fullmatch("[a-z0-9]+", f)}
+    one = {t: f for t, f in forms.items() if is_word(f)}
     found = [F.array_compact(F.array(*[F.when(F.contains(form, F.lit(f)) & form.rlike(rf"(?<![a-z0-9])\Q{f}\E(?![a-z0-9])"), F.lit(t)) for t, f in forms.items() if t not in one]))] if len(one) < len(forms) else []
     if one:
-        held = F.array_intersect(literals(list(one.values())), word_set(form) if words is None else words)
+        held = F.array_intersect(literals(list(one.values())), word_set(form, terms) if words is None else words)
         if any(t != f for t, f in one.items()):
             named = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(f).alias("f")) for t, f in one.items()])
             held = F.transform(F.filter(named, lambda x: F.array_contains(held, x["f"])), lambda x: x["t"])
@@ -113,7 +129,12 @@ def source_slug(name: Column) -> Column:
 
 def stripped(s: Column) -> Column:
     """Null as the empty string, no white space at the ends."""
-    return F.regexp_replace(F.coalesce(s, F.lit("")), f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(F.coalesce(s, F.lit("")), F.lit(BLANK_CHARS))
+
+
+def is_blank(s: Column) -> Column:
+    """Null, empty or white space alone; a long text is told by its first characters."""
+    return ~F.coalesce(s, F.lit("")).rlike(f"[^{SPACE[1:-1]}]")
 
 
 def path_parts(path: Column) -> Column:

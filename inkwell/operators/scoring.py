@@ -92,7 +92,7 @@ def score(articles: DataFrame, rules: Rules, headline: str = "headline", body: s
     """
     normed = articles.withColumns({"_h": text.matching_form(F.col(headline)), "_b": text.matching_form(F.col(body))})
     total = lambda groups: F.aggregate(groups, F.lit(0.0), lambda s, g: s + g["score"])
-    normed = normed.withColumns({"_hw": text.word_set(F.col("_h")), "_bw": text.word_set(F.col("_b")), "_c": F.concat("_h", F.lit(" "), "_b")})
+    normed = normed.withColumns({"_hw": text.word_set(F.col("_h"), rules.terms()), "_bw": text.word_set(F.col("_b"), rules.terms()), "_c": F.concat("_h", F.lit(" "), "_b")})
     normed = normed.withColumn("_cw", F.array_union("_hw", "_bw"))
     h, b, words = F.col("_h"), F.col("_b"), (F.col("_hw"), F.col("_bw"))
     matched = normed.withColumns(
@@ -124,5 +124,4 @@ def score(articles: DataFrame, rules: Rules, headline: str = "headline", body: s
 
 def required_fields_failure(headline: Column, body: Column, url: Column) -> Column:
     """The first required field that is empty, or null."""
-    empty = lambda c: text.stripped(c) == ""
-    return F.when(empty(headline), "HEADLINE_MISSING").when(empty(body), "ARTICLE_TEXT_MISSING").when(empty(url), "SOURCE_URL_MISSING")
+    return F.when(text.is_blank(headline), "HEADLINE_MISSING").when(text.is_blank(body), "ARTICLE_TEXT_MISSING").when(text.is_blank(url), "SOURCE_URL_MISSING")

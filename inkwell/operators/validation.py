@@ -33,7 +33,7 @@ def errors(a: dict[str, Column]) -> Column:
             _bad_url(a["canonical_url"], "CANONICAL_URL"),
             F.when(_missing(a["headline"]), "HEADLINE_MISSING"),
             F.when(_missing(body), "ARTICLE_TEXT_MISSING").when(n < SHORT, F.concat(F.lit("ARTICLE_TOO_SHORT:"), n.cast("string"))),
-            F.when(text.stripped(F.lower(body)).isin(CONTROL_TEXTS), "PAGE_UI_EXTRACTED_INSTEAD_OF_ARTICLE"),
+            F.when(body.rlike(f"(?i)^{text.SPACE}*({'|'.join(CONTROL_TEXTS)}){text.SPACE}*$"), "PAGE_UI_EXTRACTED_INSTEAD_OF_ARTICLE"),
         )
     )
 

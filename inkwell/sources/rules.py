@@ -40,6 +40,10 @@ class Rules:
         names = tuple((k, tuple(d.get("aliases", ()))) for k, d in (held.get("institutions") or {}).items())
         return cls(str(held.get("version", "UNKNOWN")), groups(held["financial_relevance"]), groups(held.get("pr_noise")), tuple(held.get("pr_counter_signals") or ()), names)
 
+    def terms(self) -> list[str]:
+        """All terms, signals and aliases."""
+        return [t for g in self.financial + self.pr for t in g.terms] + list(self.counter) + [a for _, held in self.institutions for a in held]
+
     def terms_table(self, spark: SparkSession) -> DataFrame:
         """One row a term: kind, group, their order, weight and cap."""
         rows = [(kind, g.name, i, j, t, g.weight, g.max_score) for kind, part in (("financial", self.financial), ("pr", self.pr)) for i, g in enumerate(part) for j, t in enumerate(g.terms)]

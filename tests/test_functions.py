@@ -29,7 +29,7 @@ def test_body_keeps_lines_with_text(spark):
 
 
 def test_matching_form(spark):
-    assert values(spark, ["Bank’s “Loan” – 5%!", None, "A&B  C"], text.matching_form(F.col("s"))) == ["bank's loan - 5%", "", "a b c"]
+    assert values(spark, ["Bank’s “Loan” – 5%!", None, "A&B  C", "a\0b", "\té\0 É x"], text.matching_form(F.col("s"))) == ["bank's loan - 5%", "", "a b c", "a b", "x"]
 
 
 @pytest.mark.parametrize("form, found", [("a bank.", True), ("non-bank", True), ("bank's", True), ("banks", False), ("ebank", False), ("2bank", False), ("bank", True), ("", False)])
