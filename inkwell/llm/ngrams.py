@@ -47,7 +47,7 @@ WORDS, NUM, DEN = 5, 80, 100
 #: Coordinates of a point, and children of a node of the tree.
 GROUPS, FAN = 24, 16
 #: Points and hashes of a leaf of a large family, at most (one set may be larger).
-LEAF_POINTS, LEAF_HASHES = 256, 1 << 19
+LEAF_POINTS, LEAF_HASHES = 100, 1 << 18
 #: Rows of parts that a task folds at once, and words whose hashes it remembers.
 FOLD, WORDS_HELD = 1 << 18, 150_000
 
