@@ -50,6 +50,12 @@ def materialize(df: DataFrame, name: str, *bucket_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_shared(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this package; DataFrames that read them end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/inkwell")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package.
 
