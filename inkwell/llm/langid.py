@@ -8,7 +8,8 @@ training. Where the second best is nearly as good, the text is ambiguous.
 
 Learning reads a bounded sample: about PER_LANG documents a language, chosen by
 a hash of the id among those with text and language outside the held-out fifth,
-and a window from each. The weights, CODES x DIM floats, are the broadcast.
+SAMPLE_CHARS characters of each at most. The weights, bits x DIM floats, are
+the broadcast.
 
 Defined cases: a null text, an empty one or one without letters is `und` with
 score 0; without any labelled language every text is `und`; with one language
@@ -32,6 +33,8 @@ from inkwell.session import ship, table
 
 #: Expected documents of a language in the training sample, and rows of it at most.
 PER_LANG, MAX_SAMPLE = 500, 20_000
+#: Characters of a training text at most; prediction reads whole texts.
+SAMPLE_CHARS = 50_000
 DIM = 1 << 12
 #: Bytes of a long text that are turned to trigrams at once.
 PIECE = 1 << 20
@@ -160,7 +163,7 @@ def training_sample(d: DataFrame, per_lang: int = PER_LANG) -> list[tuple[bytes,
         return []
     spot = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("langid")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chance = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_lang / r["n"]))) for r in each])
-    chosen = known.select("doc_id", "lang", "text").where(spot < chance).limit(MAX_SAMPLE)
+    chosen = known.where(spot < chance).select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).limit(MAX_SAMPLE)
     rows = sorted(((r["doc_id"], r["text"], r["lang"]) for r in chosen.collect()), key=lambda r: (str(r[0]), r[1], r[2]))
     return [(text.encode(), lang) for _, text, lang in rows]
 
