@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from inkwell.llm.common import held_out, only, out, texts
 from inkwell.session import ship, table
 
-#: Expected documents of a language in the training sample, and rows of it at most.
-PER_LANG, MAX_SAMPLE = 500, 20_000
+#: Expected documents of a language in the training sample at most, of all languages, and languages (the most frequent).
+PER_LANG, MAX_SAMPLE, MAX_LANGS = 500, 8_000, 400
 #: Characters of a training text at most; prediction reads whole texts.
 SAMPLE_CHARS = 50_000
 DIM = 1 << 12
@@ -65,7 +65,7 @@ def counts(text: bytes) -> np.ndarray:
     total = np.zeros(DIM)
     for at in range(0, len(text), PIECE):
         total += np.bincount(trigrams(text[at : at + PIECE + 2]), minlength=DIM)
-    return total / max(1.0, total.sum())
+    return (total / max(1.0, total.sum())).astype(np.float32)
 
 
 def codewords(n: int, seed: int = 5) -> np.ndarray:
@@ -111,7 +111,7 @@ class Codes:
                 at = (k * 7919) % (len(text) - 100)
                 x.append(counts(text[at : at + 100]))
                 y.append(where[lang])
-        x, y = np.array(x, np.float32) * 30, np.array(y)
+        x, y = np.array(x) * np.float32(30), np.array(y)
         share = np.bincount(y, minlength=len(langs))
         weigh = (len(y) / (len(langs) * share[y])).astype(np.float32)
         bits = words[y].astype(np.float32)
@@ -156,14 +156,18 @@ class Codes:
 
 
 def training_sample(d: DataFrame, per_lang: int = PER_LANG) -> list[tuple[bytes, str]]:
-    """A bounded sample of labelled texts, about per_lang of each language."""
+    """A bounded sample of labelled texts, about per_lang of each language.
+
+    Many languages share MAX_SAMPLE; never are more than twice as many rows taken.
+    """
     known = d.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    each = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_SAMPLE // per_lang).collect()
+    each = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
     if not each:
         return []
+    per_lang = min(per_lang, MAX_SAMPLE // len(each))
     spot = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("langid")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chance = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_lang / r["n"]))) for r in each])
-    chosen = known.where(spot < chance).select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).limit(MAX_SAMPLE)
+    chosen = known.where(spot < chance).select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).limit(2 * MAX_SAMPLE)
     rows = sorted(((r["doc_id"], r["text"], r["lang"]) for r in chosen.collect()), key=lambda r: (str(r[0]), r[1], r[2]))
     return [(text.encode(), lang) for _, text, lang in rows]
 
