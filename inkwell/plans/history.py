@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions import dates, text
 from inkwell.operators import selection, validation, versions
-from inkwell.session import shared_dir, table
+from inkwell.session import shared_dir, stream, table
 from inkwell.streaming import sightings
 
 NOW = "2024-01-31 00:00:00"
@@ -71,8 +71,7 @@ def recheck_chain(spark, sf_dir):
 
 def stream_fetch_gate(spark, sf_dir):
     """The re-fetch chain as a stream: all events that are there, state by user."""
-    schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    events = stream(spark, sf_dir, "events")
     to = f"{shared_dir(spark)}/inkwell/gate-{uuid.uuid4().hex}"
     gate = sightings.fetch_gate(events, "user_id", "ts", 6.0)
     gate.writeStream.format("parquet").option("path", f"{to}/out").option("checkpointLocation", f"{to}/state").trigger(availableNow=True).start().awaitTermination()

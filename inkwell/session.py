@@ -18,6 +18,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a stream of its files.
+
+    A stream reads folders: of a table in one file, its folder with the file's
+    name as the filter. (That filter tests leaf names, so it hides the part
+    files of a table that is a folder itself.)
+    """
+    reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return reader.parquet(f"{sf_dir}/{name}.parquet")
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkwell.operators import rollup
-from inkwell.plans import collection, stage1
+from inkwell.plans import collection, history, stage1
 from inkwell.sources import readers, sinks
 from inkwell.sources.rules import DEMO
 from inkwell.streaming import sightings
@@ -171,3 +171,12 @@ def test_streams(spark, tmp_path):
     assert sorted((r["at"].hour, r.fetched) for r in gate) == [(0, True), (3, False), (6, True), (8, False), (13, True)]
     numbers = drain(lambda s: sightings.versions(s, "k", "t"), "versions")
     assert sorted((r["at"].hour, r.status, r.version_number) for r in numbers) == [(0, "NEW", 1), (3, "UNCHANGED", 1), (6, "CHANGED", 2), (8, "UNCHANGED", 2), (13, "CHANGED", 3)]
+
+
+def test_stream_of_a_table_in_several_files(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    assert len(list((tmp_path / "events.parquet").glob("part-*.parquet"))) == 5
+    got = sorted(tuple(r) for r in history.stream_fetch_gate(spark, str(tmp_path)).collect())
+    want = history.recheck_chain(spark, str(tmp_path)).select("user_id", "fetches", "sightings")
+    assert got and got == sorted(tuple(r) for r in want.collect())
