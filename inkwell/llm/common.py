@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.session import materialize
+
 #: White space of the contracts: blank, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
 NOT_BLANKS = r"[^\x20\x09-\x0D]+"
@@ -32,6 +34,19 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """df with a number for each row, and the number's column; written, so that it stays the same."""
+    name, taken = "_row", {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return materialize(df.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
+def place(doc_id: Column, row: Column) -> Column:
+    """What decides which of several copies stays: the smallest id, nulls last, then the row's number."""
+    return F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("id"), row.alias("row"))
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of the documents from which nothing is learned."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import LOWER_TABLE, filter_of, may_hold, only, out, texts
+from inkwell.llm.common import LOWER_TABLE, filter_of, may_hold, numbered, only, out, place, texts
 from inkwell.llm.graph import components
 from inkwell.session import materialize, ship, table
 
@@ -358,13 +358,21 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, num: int = NUM, den: int
 
 
 def keep_one_of_each(docs: DataFrame, n: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
-    """The rows of docs with the smallest id of their component, with docs' columns.
+    """One row of each component, with docs' columns: the smallest id, ids that are null last.
 
-    Rows whose id is null stay.
+    The components are those of rows, so rows under one id stay or go by their
+    own texts; of equal ids in a component one row stays. Rows without words
+    stay.
     """
-    found = jaccard_components(docs, n, num, den)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    rows, row = numbered(docs)
+    found = jaccard_components(rows, n, num, den, id_col=row).where("n_ngrams > 0")
+    linked = found.where("doc_id <> component_id").select("doc_id", "component_id")
+    several = linked.select(F.col("component_id").alias("doc_id"), "component_id").distinct()
+    ids = rows.select(F.col(row).alias("doc_id"), place(F.col("doc_id"), F.col(row)).alias("place"))
+    placed = materialize(linked.unionByName(several).join(ids, "doc_id"), "placed")
+    first = materialize(placed.groupBy("component_id").agg(F.min("place").alias("first")), "first")
+    gone = placed.join(first, "component_id").where(F.col("place.row") != F.col("first.row")).select(F.col("doc_id").alias(row))
+    return rows.join(gone, row, "left_anti").drop(row)
 
 
 def op8_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

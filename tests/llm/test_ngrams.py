@@ -118,3 +118,11 @@ def test_components_of_paths_stars_and_rings(spark):
     got = dict(tuple(r) for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {k: 0 for k in range(31)} | {k: 100 for k in range(100, 140)} | {k: 200 for k in (200, 201, 202)}
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_one_of_each_group_stays_under_repeated_and_null_ids(spark):
+    x, own = "one two three four five six", "quite another text with words of its own"
+    rows = [(5, x), (5, own), (3, x), (3, x), (None, x), (None, "alone " * 9), (None, "alone " * 9), (4, None), (4, ""), (None, None)]
+    kept = ngrams.keep_one_of_each(documents(spark, rows, ("_row", "place")).repartition(3))
+    want = [(3, x), (5, own), (None, "alone " * 9), (4, None), (4, ""), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
