@@ -1,12 +1,4 @@
-"""Token-id files: an adaptive context-mixing range coder over blocks of ids.
-
-A block codes up to BLOCK ids and can be read alone: it starts from a reset
-model, lists the ids that occur in it, and carries a checksum of its ids. Three
-predictions are mixed for every id: the one that followed the last two ids
-(order 2), the one that followed the last (order 1), and the ids' adaptive
-frequencies (order 0). How far each is trusted is learned for every state of
-their confidence; the mixture is one interval of a range coder. All blocks of a
-segment advance together, one id a step, as numpy lanes.
+"""Token-id files: documents' ids in blocks of an adaptive range coder (`idcoder`).
 
 A file is a Parquet table in the shared folder, one row a segment: whole
 documents in order, the number of ids of each, and the blocks. Spark's
@@ -15,17 +7,23 @@ and sorted by id, so partitions, segments and documents follow each other; a
 segment knows the ids before it in its partition, and prefix sums over the
 partitions' totals give places in the whole stream.
 
+A long text is turned to ids piece by piece, cut where the tokenizer's pattern
+begins a match whatever stands around, and its ids are coded as they come; a
+long segment is read a group of blocks at a time.
+
 Defined cases: a null text is empty and has the end id alone; rows that repeat
-an id stand in the order of their texts; null ids come first; strings of
-special tokens are ordinary text; a document longer than a segment is a segment
-of its own; an empty table gives no rows; extra columns are ignored.
+an id stand in an order that a hash of their texts decides, then the texts; null
+ids come first; an added token in a text is what the library, as it is loaded,
+makes of it; a document longer than a segment ends a segment; an empty table
+gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import struct
+import re
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,247 +32,139 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from inkwell.llm.bpe import latin_only, split_latin
 from inkwell.llm.common import only, out, texts
+from inkwell.llm.idcoder import decoded_groups, encode_blocks
 from inkwell.session import ship, shared_dir, table
 
-#: Ids of a block at most and, where a segment is small, at least; lanes that a small segment aims at.
-BLOCK, SHORT_BLOCK, LANES = 4096, 1024, 256
 #: Ids after which a segment ends with its document.
 SEGMENT = 1 << 22
-#: Pre-tokens that a worker remembers, and the longest of them in characters.
+#: Bytes of a long text that are turned to ids at once.
+PIECE = 1 << 22
+#: Pre-tokens that a worker remembers in each of two generations, and the longest of them in bytes.
 CACHE, LONGEST = 400_000, 64
-#: Pre-tokens of one call of the library.
-TOGETHER = 4096
 END = 2
 
-# The format's mark and header (mark, ids, checksum, distinct ids, bytes of their list).
-MAGIC, HEADER = b"IDC2", struct.Struct("<4sIIII")
-
-# Bits of an interval's and of the frequencies' total, of a context table's places; states of confidence.
-_BITS, _COUNT_BITS, _TABLE_BITS, _STATES = 24, 18, 11, 32
-_REST = 1 << _COUNT_BITS  # least share of order 0, so that every id has a place
-_GAIN = 24
-#: Steps at which frequencies and trust are taken over: each doubling, then every so many.
-_REFRESH = 256
-_NOTHING = 0x3FFF << 2  # a table's place without a prediction
+# Classes of Latin-1 characters in the tokenizer's pattern: others, letters, numbers, blanks.
+_OTHER, _LETTER, _NUMBER, _BLANK, _WALL = range(5)
+_CLASS = np.array([_LETTER if (c := chr(k)).isalpha() else _NUMBER if c.isnumeric() else _BLANK if k in (*range(9, 14), 32, 133, 160) else _OTHER for k in range(256)], np.uint8)
+#: Before the blank between two letters a match begins, whatever stands around.
+_SAFE = re.compile(rb"[A-Za-z](?= [A-Za-z])")
+# The endings that the pattern keeps with their apostrophe.
+_ENDINGS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
 
 
-class Mixer:
-    """The models of all lanes: order-2 and order-1 tables, frequencies, trust.
+def split_latin(text: np.ndarray, walls: np.ndarray) -> np.ndarray:
+    """Where the pattern's matches begin in Latin-1 texts that stand one behind the other.
 
-    A place of a table holds a predicted id (14 bits) and a confidence (2).
-    Frequencies and trust are counted at each step and used from the next
-    refresh on.
+    walls: the place behind each text, where any character stands; it counts
+    as a match of its own. The pattern in words: runs of letters, of numbers
+    or of other marks take one blank before them; an apostrophe that begins a
+    match takes an ending; blanks are a match but for the last before a match.
     """
-
-    def __init__(self, sizes: np.ndarray):
-        lanes, self.width = len(sizes), int(sizes.max())
-        lane = np.arange(lanes)
-        self.sizes, self.steps, self.due = sizes, 0, 0
-        self.tables = [np.full(lanes << _TABLE_BITS, _NOTHING, np.uint16) for _ in range(2)]
-        self.rows, self.states, self.places = lane << _TABLE_BITS, lane * _STATES, lane * (self.width + 1)
-        self.outcomes = np.tile(np.array([1, 1, 2, 0], np.int64), lanes * _STATES)
-        self.count = np.zeros((lanes, self.width + 1), np.int64)
-        self.count[:, :-1] = np.arange(self.width) < sizes[:, None]
-        self.offset = (lane << 20).astype(np.int64)
-        self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-
-    def _refresh(self) -> None:
-        below = np.zeros(self.count.shape, np.int64)
-        np.cumsum(self.count[:, :-1], 1, out=below[:, 1:])
-        spread = (1 << _COUNT_BITS) - self.sizes[:, None]
-        self.below = (below * spread // below[:, -1:] + np.minimum(np.arange(self.width + 1), self.sizes[:, None])).ravel()
-        self.sorted = self.below + np.repeat(self.offset, self.width + 1)
-        n = self.outcomes.reshape(-1, 4)
-        total = n.sum(1)
-        self.two = n[:, 0] * ((1 << _BITS) - _REST) // total
-        self.known = self.two + n[:, 1] * ((1 << _BITS) - _REST) // total
-        n[total > 2048] = n[total > 2048] + 1 >> 1
-        self.due = min(max(16, 2 * self.steps), self.steps + _REFRESH)
-
-    def predict(self, n: int) -> None:
-        """Predictions and shares of the first n lanes."""
-        if self.steps == self.due:
-            self._refresh()
-        self.steps += 1
-        mask, h = (1 << _TABLE_BITS) - 1, self.last[:n] * 0x9E3779B1
-        self.at = [self.rows[:n] + ((h ^ self.before[:n] * 0x85EBCA6B) >> 7 & mask), self.rows[:n] + (h >> 5 & mask)]
-        self.held = [t[a] for t, a in zip(self.tables, self.at, strict=True)]
-        (self.guess2, self.guess1), (sure2, sure1) = [x >> 2 for x in self.held], [x & 3 for x in self.held]
-        self.state = self.states[:n] + (sure2 * 8 + sure1 * 2 + (self.guess2 == self.guess1))
-        self.share2, self.base = self.two[self.state], self.known[self.state]
-        self.rest = (1 << _BITS) - self.base
-
-    def interval(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width of ids x, of 2 ** _BITS."""
-        n = len(x)
-        self.small = x.astype(np.uint16)
-        self.hit2, self.hit1 = self.guess2 == self.small, self.guess1 == self.small
-        at = self.places[:n] + x
-        low = self.rest * self.below[at] >> _COUNT_BITS
-        high = self.rest * self.below[at + 1] >> _COUNT_BITS
-        start = np.where(self.hit2, 0, np.where(self.hit1, self.share2, self.base + low))
-        return start, np.where(self.hit2, self.share2, np.where(self.hit1, self.base - self.share2, high - low))
-
-    def find(self, v: np.ndarray) -> np.ndarray:
-        """The ids in whose intervals the values v lie."""
-        n = len(v)
-        q = (np.maximum((v - self.base + 1 << _COUNT_BITS) - 1, 0) / self.rest).astype(np.int64)
-        zero = np.searchsorted(self.sorted, q + self.offset[:n], "right") - 1 - self.places[:n]
-        return np.where(v < self.share2, self.guess2, np.where(v < self.base, self.guess1, zero))
-
-    def learn(self, x: np.ndarray) -> None:
-        """Take over the ids that interval() was asked for: a hit raises a confidence, a miss lowers it or replaces the prediction."""
-        n = len(x)
-        new = self.small << 2 | 1
-        for t, at, held, hit in zip(self.tables, self.at, self.held, (self.hit2, self.hit1), strict=True):
-            sure = held & 3
-            t[at] = np.where(hit, held + (sure < 3), np.where(sure > 1, held - 1, new))
-        self.outcomes[self.state * 4 + np.where(self.hit2, 0, 2 - self.hit1)] += 1
-        self.count.ravel()[self.places[:n] + x] += _GAIN
-        self.before[:n] = self.last[:n]
-        self.last[:n] = x
-
-
-# The range coder: 48 bits, of which 16 leave at once when the span falls under 32.
-_FULL, _FLOOR, _LOW = 1 << 48, 1 << 32, (1 << 32) - 1
-
-
-def _listed(ids: np.ndarray) -> bytes:
-    """Ascending ids as steps, each byte 255 adding to the next."""
-    steps = np.diff(ids, prepend=0)
-    many = steps // 255
-    where = np.cumsum(many + 1) - 1
-    b = np.full(int(where[-1]) + 1, 255, np.uint8)
-    b[where] = steps % 255
-    return zlib.compress(b.tobytes(), 6)
-
-
-def _unlisted(packed: bytes) -> np.ndarray:
-    b = np.frombuffer(zlib.decompress(packed), np.uint8).astype(np.int64)
-    return np.cumsum(b)[b != 255]
-
-
-def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
-    """Ids (below 2 ** 31) as independent blocks of nearly equal length."""
-    if not len(ids):
-        return []
-    lanes = -(-len(ids) // block)
-    parts = np.array_split(ids.astype(np.int64), lanes)  # the first ones are longer by one
-    known, coded = zip(*[np.unique(p, return_inverse=True) for p in parts], strict=True)
-    lengths = np.array([len(p) for p in parts])
-    m = Mixer(np.array([len(k) for k in known]))
-    low, span = np.zeros(lanes, np.int64), np.full(lanes, _FULL, np.int64)
-    held, at = np.zeros((lanes, 2 * int(lengths[0]) + 16), np.int32), np.ones(lanes, np.int64)  # a carry may go to place 0
-    steps = np.zeros((int(lengths[0]), lanes), np.int64)
-    for k, c in enumerate(coded):
-        steps[: len(c), k] = c
-    for t in range(int(lengths[0])):
-        n = lanes if t < lengths[-1] else int((lengths > t).sum())
-        x = steps[t, :n]
-        m.predict(n)
-        start, width = m.interval(x)
-        unit = span[:n] >> _BITS
-        low[:n] += unit * start
-        span[:n] = unit * width
-        while len(now := np.flatnonzero(span[:n] < _FLOOR)):
-            lo = low[now]
-            held[now, at[now]] = lo >> 32
-            at[now] += 1
-            low[now] = (lo & _LOW) << 16
-            span[now] <<= 16
-        m.learn(x)
-    for _ in range(3):
-        held[np.arange(lanes), at] = low >> 32
-        low = (low & _LOW) << 16
-        at += 1
-    while (over := held >> 16).any():  # carries go left
-        held &= 0xFFFF
-        held[:, :-1] += over[:, 1:]
-    done = []
-    for k, part in enumerate(parts):
-        names = _listed(known[k])
-        check = zlib.crc32(part.astype("<u4").tobytes())
-        done.append(HEADER.pack(MAGIC, len(part), check, len(known[k]), len(names)) + names + held[k, 1 : at[k]].astype("<u2").tobytes())
-    return done
-
-
-def decode_blocks(blocks: list[bytes]) -> np.ndarray:
-    """The ids of blocks in order; a block that fails its checksum raises ValueError."""
-    if not blocks:
-        return np.empty(0, np.int64)
-    heads = [HEADER.unpack_from(b) for b in blocks]
-    if any(h[0] != MAGIC for h in heads):
-        raise ValueError("not a block of ids")
-    order = sorted(range(len(blocks)), key=lambda k: -heads[k][1])  # longer blocks are the first lanes
-    lengths = np.array([heads[k][1] for k in order])
-    known, codes = [], []
-    for k in order:
-        cut = HEADER.size + heads[k][4]
-        known.append(_unlisted(blocks[k][HEADER.size : cut]))
-        codes.append(np.frombuffer(blocks[k], "<u2", offset=cut))
-    lanes, most = len(order), max(map(len, codes))
-    words = np.zeros((lanes, most + 8), np.int64)
-    for k, c in enumerate(codes):
-        words[k, : len(c)] = c
-    m = Mixer(np.array([len(k) for k in known]))
-    span, at = np.full(lanes, _FULL, np.int64), np.full(lanes, 3)
-    value = words[:, 0] << 32 | words[:, 1] << 16 | words[:, 2]
-    steps = np.zeros((int(lengths[0]), lanes), np.int64)
-    for t in range(int(lengths[0])):
-        n = lanes if t < lengths[-1] else int((lengths > t).sum())
-        m.predict(n)
-        unit = span[:n] >> _BITS
-        x = m.find(np.minimum((value[:n] / unit).astype(np.int64), (1 << _BITS) - 1))
-        start, width = m.interval(x)
-        value[:n] -= unit * start
-        span[:n] = unit * width
-        while len(now := np.flatnonzero(span[:n] < _FLOOR)):
-            value[now] = value[now] << 16 | words[now, at[now]]
-            span[now] <<= 16
-            at[now] += 1
-        steps[t, :n] = x
-        m.learn(x)
-    parts: list[np.ndarray] = [np.empty(0, np.int64)] * lanes
-    for lane, k in enumerate(order):
-        parts[k] = known[lane][steps[: lengths[lane], lane]]
-        if zlib.crc32(parts[k].astype("<u4").tobytes()) != heads[k][2]:
-            raise ValueError(f"block {k} fails its checksum")
-    return np.concatenate(parts)
+    kind = _CLASS[text]
+    kind[walls] = _WALL
+    starts = np.ones(len(text), bool)
+    np.not_equal(kind[1:], kind[:-1], out=starts[1:])
+    blank = kind == _BLANK
+    # the last blank before something of a text is a match of its own, or, if a space, part of the next
+    last = np.flatnonzero(blank[:-1] & ~blank[1:] & (kind[1:] != _WALL))
+    starts[last] = True
+    starts[last[text[last] == 32] + 1] = False
+    marks = np.flatnonzero(text == 39)
+    marks = marks[starts[marks]]
+    if len(marks):
+        padded = np.append(text, np.zeros(2, np.uint8))
+        for ending in _ENDINGS:
+            found = marks
+            for k, c in enumerate(ending, 1):
+                found = found[padded[found + k] == c]
+            if len(found):
+                starts[found + 1] = False
+                ends = found + len(ending) + 1
+                starts[ends] = True
+    starts[walls] = True
+    return np.flatnonzero(starts)
+
+
+def pieces(text: bytes, size: int = PIECE) -> Iterator[bytes]:
+    """A long text in pieces whose ids, one behind the other, are those of the text."""
+    at = 0
+    while len(text) - at > size and (m := _SAFE.search(text, at + size)):
+        yield text[at : m.end()]
+        at = m.end()
+    yield text[at:]
 
 
 class Tokenizer:
-    """Ids by the tokenizers library; Latin text asks it for each distinct pre-token once."""
+    """Ids by the tokenizers library, as it is loaded.
+
+    Texts in Latin-1 that hold no added token are split here, all texts of a
+    batch at once; each distinct pre-token then asks the library's model once
+    for a while. Any other text goes to the library whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer as Library
 
         self.library = Library.from_file(path)
-        self.library.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
-
-    def encode_batch(self, many: list[str]) -> list[np.ndarray]:
-        latin = [split_latin(t) if latin_only(t) else None for t in many]
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        new = list({w for words in latin if words for w in words if w not in self.cache})
-        found = dict(zip(new, self._ids(new), strict=True))
-        self.cache.update((w, b) for w, b in found.items() if len(w) <= LONGEST)
-        get = lambda w: self.cache.get(w) or found[w]
-        find = self.cache.__getitem__ if all(len(w) <= LONGEST for w in new) else get
-        return [np.frombuffer(b"".join(map(find, words)) if words is not None else np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), "<u4") for t, words in zip(many, latin, strict=True)]
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        """Ids of each pre-token; they merge apart, so one call takes many of them."""
-        done: list[bytes] = []
-        for at in range(0, len(words), TOGETHER):
-            part = words[at : at + TOGETHER]
-            e = self.library.encode(part, is_pretokenized=True, add_special_tokens=False)
-            held = np.array(e.ids, "<u4").tobytes()
-            cut = (np.searchsorted(np.array(e.word_ids), np.arange(len(part) + 1)) * 4).tolist()
-            done += [held[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
-        return done
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        # byte-level alphabet: bytes that print stand for themselves, the others for code points from 256 on
+        prints = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        others = [b for b in range(256) if b not in set(prints)]
+        self.alphabet = {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+    def _ids(self, word: bytes) -> bytes:
+        """The ids of one pre-token in Latin-1."""
+        ids = self.young.get(word)
+        if ids is None:
+            ids = self.old.get(word)
+            if ids is None:
+                mapped = word.decode("latin-1").encode().decode("latin-1").translate(self.alphabet)
+                ids = np.array([t.id for t in self.library.model.tokenize(mapped)], "<u4").tobytes()
+            if len(word) <= LONGEST:
+                if len(self.young) >= CACHE:
+                    self.old, self.young = self.young, {}
+                self.young[word] = ids
+        return ids
+
+    def encode_batch(self, many: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one behind the other, each with the end id, and how many each has."""
+        tail = np.array([] if end is None else [end], "<u4")
+        plain: dict[int, bytes] = {}
+        for k, t in enumerate(many):
+            if not any(a in t for a in self.added):
+                try:
+                    plain[k] = t.encode("latin-1")
+                except UnicodeEncodeError:
+                    continue
+        ids, lengths = self._plain(list(plain.values()), tail)
+        if len(plain) == len(many):
+            return ids, lengths
+        cut = dict(zip(plain, np.split(ids, np.cumsum(lengths)[:-1]), strict=True)) if plain else {}
+        each = [cut[k] if k in cut else np.concatenate([np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4"), tail]) for k, t in enumerate(many)]
+        return np.concatenate(each), np.array([len(x) for x in each], np.int64)
+
+    def _plain(self, many: list[bytes], tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not many:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        joined = b"\n".join(many) + b"\n"
+        walls = np.cumsum([len(t) + 1 for t in many]) - 1
+        starts = split_latin(np.frombuffer(joined, np.uint8), walls)
+        offsets = np.append(starts, len(joined)).astype(np.int32)
+        words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]).dictionary_encode()
+        known = [self._ids(w) for w in words.dictionary.to_pylist()]
+        at_wall = np.searchsorted(starts, walls)
+        which = words.indices.to_numpy().astype(np.int64)
+        which[at_wall] = len(known)
+        pool = np.frombuffer(b"".join(known) + tail.tobytes(), "<u4")
+        counts = np.array([len(x) >> 2 for x in known] + [len(tail)])
+        first = np.cumsum(counts) - counts
+        n = counts[which]
+        ends = np.cumsum(n)
+        ids = pool[np.arange(ends[-1]) + np.repeat(first[which] - (ends - n), n)]
+        return ids, np.diff(ends[at_wall], prepend=0)
 
 
 _TOKENIZERS: dict[str, Tokenizer] = {}
@@ -291,36 +181,88 @@ _FILE = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("before", pa.
 _FILE_DDL = "part int, segment int, before long, doc_ids array<long>, lengths array<long>, n_ids long, blocks array<binary>"
 
 
+class _Segment:
+    """The row under way: documents that ended, their blocks, and ids that wait to be coded."""
+
+    def __init__(self, part: int):
+        self.part, self.number, self.before = part, 0, 0
+        self._begin()
+
+    def _begin(self) -> None:
+        self.doc_ids, self.lengths, self.blocks, self.held, self.waiting, self.total = [], [], [], [], 0, 0
+
+    def add(self, ids: np.ndarray) -> None:
+        self.held.append(ids)
+        self.waiting += len(ids)
+        self.total += len(ids)
+        if self.waiting >= SEGMENT:
+            self._code()
+
+    def _code(self) -> None:
+        if self.waiting:
+            self.blocks += encode_blocks(np.concatenate(self.held))
+            self.held, self.waiting = [], 0
+
+    def end(self, doc_id: int | None, length: int) -> bool:
+        """A document ends; whether the segment does too."""
+        self.doc_ids.append(doc_id)
+        self.lengths.append(length)
+        return self.total >= SEGMENT
+
+    def row(self) -> pa.RecordBatch:
+        self._code()
+        done = {"part": [self.part], "segment": [self.number], "before": [self.before], "doc_ids": [self.doc_ids], "lengths": [self.lengths], "n_ids": [self.total], "blocks": [self.blocks]}
+        self.number, self.before = self.number + 1, self.before + self.total
+        self._begin()
+        return out(_FILE, done)
+
+
 def write_ids(docs: DataFrame, path: str, to: str, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write every document's ids, with the end id, in ascending order of doc_id."""
     ship(docs.sparkSession)
 
     def run(batches):
-        t, part, segment, before = tokenizer(path), TaskContext.get().partitionId(), 0, 0
-        doc_ids, ids, total = [], [], 0
-
-        def row():
-            block = min(BLOCK, max(SHORT_BLOCK, -(-total // LANES)))
-            coded = encode_blocks(np.concatenate(ids), block)
-            return out(_FILE, {"part": [part], "segment": [segment], "before": [before], "doc_ids": [doc_ids], "lengths": [[len(x) for x in ids]], "n_ids": [total], "blocks": [coded]})
-
+        t, segment = tokenizer(path), _Segment(TaskContext.get().partitionId())
         for batch, all_texts in texts(batches):
-            coded = t.encode_batch([(x or b"").decode("utf-8", "replace") for x in all_texts])
-            for doc_id, x in zip(batch.column(0).to_pylist(), coded, strict=True):
-                doc_ids.append(doc_id)
-                ids.append(np.append(x, np.uint32(end)))
-                total += len(x) + 1
-                if total >= SEGMENT:
-                    yield row()
-                    doc_ids, ids, total, segment, before = [], [], 0, segment + 1, before + total
-        if doc_ids:
-            yield row()
+            doc_ids = batch.column(0).to_pylist()
+            for a, z in _runs([len(x or b"") for x in all_texts]):
+                if z - a == 1:
+                    n = 0
+                    for piece in pieces(all_texts[a] or b""):
+                        ids, _ = t.encode_batch([piece.decode("utf-8", "replace")])
+                        n += len(ids)
+                        segment.add(ids)
+                    segment.add(np.array([end], np.uint32))
+                    if segment.end(doc_ids[a], n + 1):
+                        yield segment.row()
+                    continue
+                ids, lengths = t.encode_batch([(x or b"").decode("utf-8", "replace") for x in all_texts[a:z]], end)
+                at = 0
+                for doc_id, n in zip(doc_ids[a:z], lengths.tolist(), strict=True):
+                    segment.add(ids[at : at + n])
+                    at += n
+                    if segment.end(doc_id, n):
+                        yield segment.row()
+        if segment.doc_ids:
+            yield segment.row()
 
     d = only(docs, doc_id=id_col, text=text_col)
     dealt = d.repartitionByRange(F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     dealt.mapInArrow(run, _FILE_DDL).write.parquet(to)
 
 
+def _runs(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Runs of texts of PIECE bytes at most, or one longer text."""
+    a, total = 0, 0
+    for k, n in enumerate(sizes):
+        if k > a and total + n > PIECE:
+            yield a, k
+            a, total = k, 0
+        total += n
+    if sizes:
+        yield a, len(sizes)
+
+
 _READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
 
@@ -337,12 +279,19 @@ def read_checks(spark, path: str) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 doc_ids, lengths, start = (batch.column(c)[k].as_py() for c in range(3))
-                ids = decode_blocks(batch.column(3)[k].as_py()).astype("<u4")
-                cut = np.cumsum([0, *lengths])
-                if cut[-1] != len(ids):
+                ends, checks, d, seen = np.cumsum(lengths), [0] * len(lengths), 0, 0
+                for ids in decoded_groups(batch.column(3)[k].as_py()):
+                    ids, at = ids.astype("<u4"), 0
+                    while at < len(ids) and d < len(lengths):
+                        n = min(len(ids) - at, int(ends[d]) - seen)
+                        checks[d] = zlib.crc32(ids[at : at + n], checks[d])
+                        at, seen = at + n, seen + n
+                        d += seen == ends[d]
+                    if at < len(ids):
+                        break
+                if d < len(lengths) or at < len(ids):
                     raise ValueError("a segment has other ids than its documents")
-                checks = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-                yield out(_READ, {"doc_id": doc_ids, "start": start + cut[:-1], "n_tokens": lengths, "ids_crc32": checks})
+                yield out(_READ, {"doc_id": doc_ids, "start": start + ends - lengths, "n_tokens": lengths, "ids_crc32": checks})
 
     return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
