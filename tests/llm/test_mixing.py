@@ -27,16 +27,17 @@ def plain_targets(sizes):
 
 def plain(rows, weights):
     size = lambda t: len(re.findall("[^\x20\x09-\x0d]+", t or ""))
+    text_hash = lambda t: hashlib.md5((t or "").encode()).hexdigest()
     by = defaultdict(list)
     for i, t, _, s in rows:
-        u = (int(hashlib.md5(f"{'' if i is None else i}mix".encode()).hexdigest()[:12], 16) + 0.5) / (1 << 48)
-        by[s].append((-math.log(u) / weights.get(i, 1.0), i, size(t)))
+        u = (int(hashlib.md5(f"{'' if i is None else i}{text_hash(t)}mix".encode()).hexdigest()[:12], 16) + 0.5) / (1 << 48)
+        by[s].append((-math.log(u) / weights.get(i, 1.0), i, size(t), int(text_hash(t)[:15], 16)))
     sizes = {s: sum(x[2] for x in held) for s, held in by.items()}
     goals, out = plain_targets(sizes), []
     for s, held in by.items():
         epochs = math.floor(goals[s] / sizes[s] + 1e-9) if sizes[s] else 0
         at = 0
-        for _, i, n in sorted(held):
+        for _, i, n, _ in sorted(held, key=lambda x: (x[0], -(10**9) if x[1] is None else x[1], *x[2:])):
             extra = n > 0 and 2 * at + n <= 2 * (goals[s] - epochs * sizes[s]) + 1e-6
             out.append((i, n, sizes[s], round(goals[s], 6), (epochs + extra) * n))
             at += n
@@ -94,3 +95,29 @@ def test_weights_draw_documents_of_quality_first(spark):
     share = sum(got[i] for i in range(800, 1000)) / 200
     rest = sum(got[i] for i in range(1000, 3000)) / 2000
     assert share > rest
+
+
+def test_reruns_agree_where_ids_repeat_or_lack(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([7, 7, None, k]), f"{k % 60} " * rng.randrange(1, 9), "en", "s" if k % 3 else "t") for k in range(400)]
+    want = plain(rows, {})
+    for parts in (1, 3, 8):
+        rng.shuffle(rows)
+        assert found(mixing.mix(documents(spark, rows).repartition(parts))) == want
+    mixed = mixing.mixed_rows(documents(spark, rows, ("row", "_taken")))
+    assert sum(len(r.text.split()) for r in mixed.collect()) == sum(w[-1] for w in want)
+
+
+def test_buckets_are_even_whatever_the_weights(spark):
+    rows = [(k, f"word {k}", "en", "s") for k in range(20_000)]
+    weights = {k: (0.25, 1.0, 4.0)[k % 3] for k in range(20_000)}
+    d = documents(spark, rows)
+    w = spark.createDataFrame(list(weights.items()), "doc_id long, weight double")
+    assert found(mixing.mix(d, w)) == plain(rows, weights)
+    u = [(int(hashlib.md5(f"{k}{hashlib.md5(t.encode()).hexdigest()}mix".encode()).hexdigest()[:12], 16) + 0.5) / (1 << 48) for k, t, *_ in rows]
+    above = [sum(math.exp(-w * -math.log(x) / weights[k]) for w in (0.25, 1.0, 4.0)) / 3 for k, x in enumerate(u)]
+    n = -(-20_000 // mixing.BUCKET)
+    in_bucket = defaultdict(int)
+    for a in above:
+        in_bucket[min(n - 1, int((1 - a) * n))] += 1
+    assert max(in_bucket.values()) < 2 * mixing.BUCKET
