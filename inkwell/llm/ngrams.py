@@ -10,7 +10,8 @@ link when their sets' Jaccard similarity reaches num / den.
    longest parts (as many as the most that can differ, and one), and texts that
    name the same part are joined, by a star, to one family. No link leaves a
    family, and a family holds hardly more than near copies. A task folds
-   repeated parts before the shuffle.
+   repeated parts before the shuffle: of a part it sends its first text, and
+   writes the links of the others to that one as they are.
 3. R-tree: in a family, the hashes of a set fall into GROUPS groups; the counts
    by group are its point. The points are packed into a tree whose nodes hold
    the largest counts and the range of sizes below. Two nodes, or two points,
@@ -22,9 +23,8 @@ link when their sets' Jaccard similarity reaches num / den.
 
 Defined cases: a text without words, or null, has an empty set and is linked
 with nothing; a text with fewer than n words has its whole sequence as one
-n-gram; rows that repeat an id are one node, with the links of each; a null id
-is linked with nothing and has no component; an empty table gives no rows;
-extra columns are ignored; long texts are read whole.
+n-gram; rows that repeat an id are one node, with the links of each, whichever
+of its texts are equal to another id's; a null id linked with nothing and has no component; an empty table gives no rows; columns are ignored; long texts are read whole.
 """
 
 from __future__ import annotations
@@ -278,27 +278,29 @@ def _stars(parts: DataFrame) -> DataFrame:
     def run(batches):
         last = centre = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            linked = batch.filter(batch.column(2).is_valid())
+            if linked.num_rows:
+                yield out(schema, {"a": linked.column(1), "b": linked.column(2)})
+            batch = batch.filter(batch.column(2).is_null())
             if not batch.num_rows:
                 continue
             part, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            other = batch.column(2).to_numpy(zero_copy_only=False)
             new = np.ones(len(part), bool)
             new[1:] = part[1:] != part[:-1]
-            start = np.flatnonzero(new)
-            centres = doc[start]
+            centres = doc[np.flatnonzero(new)].copy()
             if last is not None and part[0] == last:
-                centres = centres.copy()
                 centres[0] = centre
             mine = centres[np.cumsum(new) - 1]
             last, centre = part[-1], mine[-1]
             far = mine != doc
-            paired = ~np.isnan(other)
-            a, b = np.concatenate([doc[far], doc[paired]]), np.concatenate([mine[far], batch.column(2).filter(pa.array(paired)).to_numpy()])
-            if len(a):
-                once = np.unique(np.stack([a, b], 1), axis=0)
+            if far.any():
+                once = np.unique(np.stack([doc[far], mine[far]], 1), axis=0)
                 yield out(schema, {"a": once[:, 0], "b": once[:, 1]})
 
-    return parts.repartition("part").sortWithinPartitions("part", "doc_id").mapInArrow(run, "a long, b long")
+    dealt_by = F.when(F.col("other").isNull(), F.col("part")).otherwise(F.col("doc_id"))
+    return parts.repartition(dealt_by).sortWithinPartitions("part", "doc_id").mapInArrow(run, "a long, b long")
 
 
 def _sets(members: DataFrame, n: int) -> DataFrame:
@@ -330,6 +332,12 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
     return keyed.groupBy("family", "i", "j").applyInArrow(run, "a long, b long")
 
 
+def _of_one_id(by_id: DataFrame) -> DataFrame:
+    """a, b: links between the nodes of the texts under one id."""
+    ends = by_id.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a <> most").drop("most")
+    return by_id.join(ends, "doc_id").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+
+
 def jaccard_components(docs: DataFrame, n: int = WORDS, num: int = NUM, den: int = DEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_ngrams, component_id (the smallest id that links reach)."""
     ship(docs.sparkSession)
@@ -353,7 +361,8 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, num: int = NUM, den: int
     members = materialize(members.join(cut, "label").select(F.col("node").alias("doc_id"), F.col("label").alias("family"), "leaves"), "members")
     held, words = filter_of(members, "doc_id")
     their_texts = d.where(may_hold(F.col("doc_id"), held, words)).join(members, "doc_id")
-    labels = components(materialize(_links(_sets(their_texts, n), num, den), "verified")).withColumnRenamed("label", "component")
+    found = _links(_sets(their_texts, n), num, den).unionByName(_of_one_id(by_id))
+    labels = components(materialize(found, "verified")).withColumnRenamed("label", "component")
     return nodes.join(labels, "node", "left").select("doc_id", "n_ngrams", F.coalesce("component", "node").alias("component_id"))
 
 

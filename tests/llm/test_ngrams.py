@@ -74,6 +74,15 @@ def test_repeated_and_null_ids(spark):
     assert sorted(got, key=str) == sorted([(1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (None, 2, None), (None, 0, None)], key=str)
 
 
+def test_an_id_that_repeats_joins_its_texts(spark):
+    a, b, c = "one two three four", "five six seven eight", "nine ten eleven twelve"
+    for rows in ([(2, a), (3, b), (5, a), (5, b)], [(4, a), (9, a), (9, b), (7, b), (9, c), (8, c), (1, "x y z"), (1, c + " x")], [(6, a), (6, b), (6, c), (9, a + " more " * 3), (2, b)]):
+        assert found(ngrams.jaccard_components(documents(spark, rows).repartition(3), 3, 90, 100)) == plain(rows, 3, 90, 100)
+    rng = random.Random(4)
+    rows = [(rng.randrange(40), t) for _, t in near_copies(11, families=10, size=6, words=(20, 60))]
+    assert found(ngrams.jaccard_components(documents(spark, rows).repartition(3), 3, 90, 100)) == plain(rows, 3, 90, 100)
+
+
 def test_large_families_are_cut_into_leaves(spark, monkeypatch):
     monkeypatch.setattr(ngrams, "LEAF_POINTS", 4)
     rows = near_copies(7, families=2, size=30, words=(150, 160)) + [(500 + k, f"copy of one text {k % 2} " * 3) for k in range(40)]
