@@ -1,20 +1,26 @@
 """Jobs from the command line.
 
 python -m inkwell stage1 --date 2026-09-14 --staged DIR --sources a,b --rules FILE --analyses DIR --review DIR
+python -m inkwell collect --day 2026-09-14 --source daily_ft --sections DIR --state DIR --raw DIR --staged DIR --statuses DIR [--pages DIR]
 python -m inkwell window --day 2026-09-14
+
+collect: --sections holds section pages (page, html) as Parquet; --pages, where
+it is given, fetched articles (url, final_url, html), else they are fetched.
 """
 
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+import uuid
+from datetime import UTC, datetime
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import SparkSession
 
 from inkwell.functions.dates import LOCAL
-from inkwell.plans import stage1
-from inkwell.sources.readers import read_staged
+from inkwell.plans import collection, stage1
+from inkwell.sources import sinks
+from inkwell.sources.readers import STATE, read_staged
 from inkwell.sources.rules import load_rules
 
 
@@ -26,6 +32,12 @@ def main() -> None:
     score.add_argument("--date", default=today)
     for name in ("--staged", "--sources", "--rules", "--analyses", "--review"):
         score.add_argument(name, required=True)
+    score.add_argument("--lines", action="store_true", help="staged files hold an article a line, as collect leaves them")
+    gather = jobs.add_parser("collect", help="run one source from its section pages to stored articles")
+    gather.add_argument("--day", default=today)
+    gather.add_argument("--pages")
+    for name in ("--source", "--sections", "--state", "--raw", "--staged", "--statuses"):
+        gather.add_argument(name, required=True)
     window = jobs.add_parser("window", help="the publication dates that a run on a day scores")
     window.add_argument("--day", default=today)
     a = parser.parse_args()
@@ -33,11 +45,32 @@ def main() -> None:
         print(*stage1.window_dates_of(a.day), sep="\n")
         return
     spark = SparkSession.builder.appName("inkwell").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if a.job == "collect":
+        collect(spark, a)
+        return
     sources = a.sources.split(",")
-    counts = stage1.run(spark, a.staged, sources, a.date, load_rules(a.rules), a.analyses, a.review).first().asDict()
+    counts = stage1.run(spark, a.staged, sources, a.date, load_rules(a.rules), a.analyses, a.review, not a.lines).first().asDict()
     print(counts)
     if not any(counts.values()):
-        stage1.available_dates(read_staged(spark, a.staged, sources)).orderBy("source", "date").show(1000, truncate=False)
+        stage1.available_dates(read_staged(spark, a.staged, sources, not a.lines)).orderBy("source", "date").show(1000, truncate=False)
+
+
+def collect(spark: SparkSession, a: argparse.Namespace) -> None:
+    """A failing source leaves its status; the state moves only after a run that ended."""
+    now = datetime.now(UTC)
+    run_id = f"{now.astimezone(ZoneInfo(LOCAL)):%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
+    held = sinks.current_snapshot(spark, a.state)
+    state = spark.read.schema(STATE).parquet(held) if held else spark.createDataFrame([], STATE)
+    pages = spark.read.parquet(a.pages) if a.pages else None
+
+    def job():
+        row, after = collection.run(spark, a.source, spark.read.parquet(a.sections), state, a.day, now.isoformat(timespec="seconds"), run_id, a.raw, a.staged, pages)
+        sinks.write_snapshot(after, a.state, run_id)
+        return row
+
+    statuses = collection.run_sources(spark, {a.source: job}, run_id)
+    sinks.write_statuses(statuses, a.statuses)
+    statuses.show(truncate=False, vertical=True)
 
 
 if __name__ == "__main__":

@@ -4,8 +4,11 @@ parser of the standard library, batch by batch, where nesting matters."""
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import accumulate, islice
 
 import pandas as pd
 from pyspark.sql import Column, SparkSession
@@ -129,6 +132,12 @@ def page_title(html: Column) -> Column:
     return F.nullif(visible(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title>", 1)), F.lit(""))
 
 
+def probe_words(html: Column, most: int = 200) -> Column:
+    """The first words of a page's visible text, without scripts and styles."""
+    plain = visible(F.regexp_replace(html, r"(?is)<(script|style|title)\b.*?</\1>", " "))
+    return F.array_join(F.slice(text.words(plain), 1, most), " ")
+
+
 def access_class(status: Column) -> Column:
     return F.when(status == 200, "HTTP_ACCESS_OK").when(status == 403, "HTTP_ACCESS_BLOCKED").when(status.between(300, 399), "REDIRECT").otherwise(F.concat(F.lit("HTTP_"), status.cast("string")))
 
@@ -141,47 +150,69 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 
 
 class _Outline(HTMLParser):
-    """Elements as (tag, parent, first text, end of text) with the page's texts in order.
+    """Elements as (tag, parent, first text, end of text, last element inside) with the page's texts in order.
 
-    A block ends an open paragraph, an item the open item before it.
+    A block ends an open paragraph, an item the open item before it. Markup
+    that the parser can't read is a comment.
     """
 
     def __init__(self, page: str):
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.spans, self.hrefs = ["#"], [-1], [[0, 0]], [None]
-        self.texts: list[str] = []
-        self.open = [0]
-        self.feed(page)
-        self.close()
-        for k in self.open:
-            self.spans[k][1] = len(self.texts)
+        self.last, self.aside, self.texts = [0], [False], []
+        self.open, self.counts = [0], Counter()
+        try:
+            self.feed(page)
+            self.close()
+        except AssertionError:  # the standard parser's word for markup that it doesn't know
+            pass
+        self._close(0)
+        self.ends = list(accumulate((len(x) + 1 for x in self.texts), initial=0))
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        at = self.rawdata.find(">", i + 3)
+        return at + 1 if at >= 0 else -1
 
     def handle_starttag(self, tag, attrs):
         if tag in _ENDS_P:
             self.handle_endtag("p")
         if tag == "li" and self.tags[self.open[-1]] == "li":
             self.handle_endtag("li")
+        up = self.open[-1]
         self.tags.append(tag)
-        self.parents.append(self.open[-1])
+        self.parents.append(up)
         self.spans.append([len(self.texts)] * 2)
+        self.last.append(len(self.tags) - 1)
+        self.aside.append(self.aside[up] or tag in _ASIDE)
         self.hrefs.append(dict(attrs).get("href"))
         if tag not in _VOID:
             self.open.append(len(self.tags) - 1)
+            self.counts[tag] += 1
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.tags[self.open[depth]] == tag:
-                for k in self.open[depth:]:
-                    self.spans[k][1] = len(self.texts)
-                del self.open[depth:]
-                return
+        if self.counts[tag]:
+            depth = len(self.open) - 1
+            while self.tags[self.open[depth]] != tag:
+                depth -= 1
+            self._close(depth)
+
+    def _close(self, depth: int) -> None:
+        for k in self.open[depth:]:
+            self.spans[k][1], self.last[k] = len(self.texts), len(self.tags) - 1
+            self.counts[self.tags[k]] -= 1
+        del self.open[depth:]
 
     def handle_data(self, data):
-        if self.tags[self.open[-1]] not in ("script", "style") and data.strip():
-            self.texts.append(data.strip())
+        if self.tags[self.open[-1]] not in ("script", "style") and (words := data.split()):
+            self.texts.append(" ".join(words))
+
+    def length(self, k: int) -> int:
+        """Characters of said(k)."""
+        low, high = self.spans[k]
+        return max(0, self.ends[high] - self.ends[low] - 1)
 
     def said(self, k: int) -> str:
-        return " ".join(" ".join(self.texts[slice(*self.spans[k])]).split())
+        return " ".join(self.texts[slice(*self.spans[k])])
 
     def under(self, k: int) -> Iterator[int]:
         while k >= 0:
@@ -191,7 +222,7 @@ class _Outline(HTMLParser):
 
 def _body(page: str | None) -> str:
     o = _Outline(page or "")
-    blocks = [k for k, tag in enumerate(o.tags) if tag in _BLOCKS and not any(o.tags[u] in _ASIDE for u in o.under(k))]
+    blocks = [k for k, tag in enumerate(o.tags) if tag in _BLOCKS and not o.aside[k]]
     inner = {o.parents[k] for k in blocks}
     lines = [o.said(k) for k in blocks if k not in inner]
     return "\n\n".join(x for x in lines if x)
@@ -213,22 +244,24 @@ def article_text(html: Column) -> Column:
 
 
 def _near(page: str | None, levels: int, most: int, pattern: re.Pattern | None, shortest: int) -> list[dict]:
-    """For every link: the first fitting date and paragraph among its ancestors."""
+    """For every link: the first fitting date and paragraph among its ancestors.
+
+    Lengths come from sums, so only texts of `most` characters are put together.
+    """
     o, found = _Outline(page or ""), []
+    paragraphs = [k for k, tag in enumerate(o.tags) if tag == "p" and o.length(k) >= shortest]
     for k, href in enumerate(o.hrefs):
         if o.tags[k] != "a" or not href:
             continue
         date = excerpt = None
-        for u in list(o.under(o.parents[k]))[:levels]:
-            said = o.said(u)
-            if not said or len(said) > most:
+        for u in islice(o.under(o.parents[k]), levels):
+            if not 0 < o.length(u) <= most:
                 continue
-            m = pattern.search(said) if pattern else None
+            m = pattern.search(o.said(u)) if pattern else None
             if pattern and not m:
                 continue
-            low, high = o.spans[u]
-            paragraphs = (o.said(p) for p in range(u, len(o.tags)) if o.tags[p] == "p" and low <= o.spans[p][0] and o.spans[p][1] <= high)
-            excerpt = next((x for x in paragraphs if len(x) >= shortest), None)
+            at = bisect_left(paragraphs, u)
+            excerpt = o.said(paragraphs[at]) if at < len(paragraphs) and paragraphs[at] <= o.last[u] else None
             date = m[0] if m else None
             if m or excerpt:
                 break

@@ -110,6 +110,11 @@ def matching_terms(form: Column, terms: list[str], words: Column | None = None)
     return found[0] if len(found) == 1 else F.array_intersect(literals(list(forms)), F.concat(*found))
 
 
+def shown(s: Column, most: int = 160) -> Column:
+    """White space collapsed, cut to what a report shows of a text."""
+    return F.substring(collapse(F.coalesce(s, F.lit(""))), 1, most)
+
+
 def clean_headline(s: Column) -> Column:
     """White space collapsed, one publisher's name cut off the end."""
     h = collapse(F.coalesce(s, F.lit("")))

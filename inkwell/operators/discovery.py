@@ -17,7 +17,7 @@ BY_NUMBER = r"(?i)^/financial-services/.+/\d+-\d+$"
 BY_DATE = r"(?i)^/(\d{4})/(\d{2})/(\d{2})/([^/]+)/?$"
 BY_DATE_AND_SECTION = r"(?i)^/(\d{4})/(\d{2})/(\d{2})/business/\d+/.+$"
 
-LEAST_HEADLINE, MOST_LINKS, TESTED = 8, 50, 3
+LEAST_HEADLINE, MOST_LINKS, TESTED, TESTED_OF_LISTING = 8, 50, 3, 5
 
 
 def looks_like_article(url: Column, domain: str, section_url: str, preferred: tuple[str, ...] = ()) -> Column:
@@ -35,10 +35,10 @@ def links(pages: DataFrame, base: Column, keys: list[str], markup: str = "html")
     return each.select(*keys, F.col("pos").cast("long").alias("pos"), urls.normalize_url(urls.absolute_url(F.col("_base"), F.col("_a.href"))).alias("url"), F.col("_a.text").alias("headline"))
 
 
-def first_wins(found: DataFrame, keys: list[str], fill: tuple[str, ...] = ("headline",), order: str = "pos") -> DataFrame:
-    """One row a key at its first place; empty values of `fill` come from later ones."""
+def first_wins(found: DataFrame, keys: list[str], fill: tuple[str, ...] = ("headline",), order: str = "pos", *more: Column) -> DataFrame:
+    """One row a key at its first place; empty values of `fill` come from later ones; more: further aggregates."""
     filled = [F.min_by(F.col(c), F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", F.col(order))).alias(c) for c in fill]
-    return found.groupBy(*keys).agg(F.min(order).alias(order), *filled)
+    return found.groupBy(*keys).agg(F.min(order).alias(order), *filled, *more)
 
 
 def last_value_first_place(found: DataFrame, keys: list[str], values: list[str], order: list[str]) -> DataFrame:
@@ -52,6 +52,11 @@ def first_k(found: DataFrame, by: list[str], order: list[str], k: int) -> DataFr
     return found.withColumn("rank", F.row_number().over(W.partitionBy(*by).orderBy(*order)).cast("long")).where(F.col("rank") <= k)
 
 
+def candidates(found: DataFrame, by: list[str], order: list[str], most: int = MOST_LINKS) -> DataFrame:
+    """The links that a section's test looks at: the first `most` in order."""
+    return first_k(found, by, order, most)
+
+
 def gate_listing(found: DataFrame, hint: str, day: str) -> DataFrame:
     """listing_gate: KEPT (no date, or in the window), OLDER or FUTURE."""
     h, d = F.col(hint), F.col(day)

@@ -7,10 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from inkwell.functions import dates, html, text, urls
 from inkwell.operators import discovery, extraction, rollup, validation, versions
 from inkwell.session import materialize
+from inkwell.sources import readers, sinks
 
 
 @dataclass(frozen=True)
@@ -60,20 +62,23 @@ def required(found: DataFrame, listing: Listing, run_day: str) -> DataFrame:
 def collect(candidates: DataFrame, pages: DataFrame, state: DataFrame, source_name: str, section_name: str, run_day: str, now: str) -> tuple[DataFrame, DataFrame]:
     """(outcomes, state): what became of every candidate, and the state after the run.
 
-    candidates: url, headline. pages: url, final_url, html (null: the fetch
-    failed). state: as in readers.STATE, keyed by url; a listing URL and a
-    canonical URL that differ are two rows of it.
+    candidates: url, headline and, where the listing showed them,
+    published_at_hint and excerpt, which go to the article as its listing
+    columns. pages: url, final_url, html (null: the fetch failed). state: as in
+    readers.STATE, keyed by url; a listing URL and a canonical URL that differ
+    are two rows of it.
     """
     at = F.lit(now).cast("timestamp")
     known = state.select(F.col("url"), F.lit(True).alias("known"), "last_fetched_at")
     # candidates are marked as seen before the gate, so a first contact is NEVER_FETCHED
     asked = candidates.select("url", "headline").join(known, "url", "left").withColumn("reason", validation.fetch_reason(F.lit(True), F.col("last_fetched_at"), at))
     due = asked.where("reason <> 'RECENTLY_FETCHED'").select("url").join(pages, "url", "left")
+    shown = candidates.select(F.col("url").alias("source_url"), F.col("headline").alias("listing_headline"), *[(F.col(c) if c in candidates.columns else F.lit(None).cast("string")).alias(f"listing_{to}") for c, to in (("published_at_hint", "published_at"), ("excerpt", "excerpt"))])
     fetched = materialize(validation.validate(extraction.extract_articles(due.where("html is not null"), source_name, section_name, now)), "fetched")
     before = state.select(F.col("url").alias("canonical_url"), F.col("content_hash").alias("hash_before"), "version_number")
     day = F.lit(run_day).cast("date")
     published = dates.article_date(F.col("published_at"))
-    judged = fetched.join(before, "canonical_url", "left").withColumns({"gate": validation.gate_outcome(published, F.col("validation.valid"), day), "status": versions.change_status(F.col("hash_before"), F.col("content_hash"))})
+    judged = fetched.join(shown, "source_url", "left").join(before, "canonical_url", "left").withColumns({"gate": validation.gate_outcome(published, F.col("validation.valid"), day), "status": versions.change_status(F.col("hash_before"), F.col("content_hash"))})
     judged = judged.withColumn("intake_status", validation.intake_status(published, F.col("status"), day))
     label = F.when(F.col("gate") != "ACCEPTED", F.col("gate")).when(F.col("intake_status") == "LATE_DISCOVERY", "LATE").otherwise(F.col("status"))
     judged = materialize(judged.withColumn("outcome", label), "judged")
@@ -100,25 +105,69 @@ def collect(candidates: DataFrame, pages: DataFrame, state: DataFrame, source_na
     return outcomes, after
 
 
+def stage(outcomes: DataFrame, pages: DataFrame, source_key: str, run_day: str, raw_path: str, staged_path: str) -> None:
+    """Store what a run accepted as new or changed: pages as they came, and staged articles with their listing columns."""
+    day = F.lit(run_day).cast("date")
+    stored = outcomes.where("gate = 'ACCEPTED' and status <> 'UNCHANGED'").withColumns(
+        {
+            "source": F.lit(source_key),
+            "run_date": F.lit(run_day),
+            "article_id": text.url_hash(F.col("canonical_url")),
+            "version_name": text.version_name(F.coalesce("version_number", F.lit(0)) + 1),
+        }
+    )
+    sinks.write_raw_pages(stored.select("source", "run_date", "article_id", "version_name", "url").join(pages.select("url", "html"), "url").drop("url"), raw_path)
+    articles = stored.withColumnRenamed("url", "source_url").withColumns(
+        {
+            "article_version": (F.coalesce("version_number", F.lit(0)) + 1).cast("string"),
+            "collection_status": F.col("status"),
+            "collection_run_date": F.lit(run_day),
+            "collection_window_start": dates.window_start(day).cast("string"),
+            "collection_window_end": F.lit(run_day),
+            "collection_mode": dates.window_mode(day),
+        }
+    )
+    columns = [f.name for f in StructType.fromDDL(readers.STAGED)]
+    sinks.write_staged(articles.select("source", "run_date", *columns), staged_path)
+
+
+def run(spark, source_key: str, section_pages: DataFrame, state: DataFrame, run_day: str, now: str, run_id: str, raw_path: str, staged_path: str, pages: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(status row, state): a source's run from its section pages to stored articles.
+
+    pages: as in collect; without them the candidates' pages are fetched.
+    """
+    listing = LISTINGS[source_key]
+    found = materialize(required(discover(section_pages, listing), listing, run_day), "candidates")
+    fetched = pages if pages is not None else materialize(readers.fetch_pages(found), "pages")
+    outcomes, after = collect(found, fetched, state, source_key, "business", run_day, now)
+    outcomes = materialize(outcomes, "outcomes")
+    stage(outcomes, fetched, source_key, run_day, raw_path, staged_path)
+    return status(outcomes, source_key, run_id), materialize(after, "state")
+
+
 def status(outcomes: DataFrame, source_key: str, run_id: str) -> DataFrame:
     """The status row of a source's run."""
     counted = rollup.with_statuses(rollup.source_counters(outcomes.withColumn("source_key", F.lit(source_key)), ["source_key"]))
     return counted.withColumns({"run_id": F.lit(run_id), "execution_status": F.lit("SUCCESS")})
 
 
+_FAILED = "run_id string, source_key string, execution_status string, health_status string, content_status string, error_type string, error_message string"
+
+
 def run_sources(spark, jobs: dict[str, Callable[[], DataFrame]], run_id: str) -> DataFrame:
     """The status rows of all sources; one that raises is a FAILED row and the others still run.
 
-    jobs: by source_key, a function that runs the source and returns its status row.
+    jobs: by source_key, a function that runs the source and returns its status
+    row. No jobs give no rows.
     """
     rows = []
     for key, job in jobs.items():
         try:
             rows.append(materialize(job(), "status"))
         except Exception as e:  # noqa: BLE001  whatever a source fails with is its status
-            failed = (run_id, key, "FAILED", "FAILED", "SOURCE_FETCH_FAILED", type(e).__name__, str(e)[:2000])
-            rows.append(spark.createDataFrame([failed], "run_id string, source_key string, execution_status string, health_status string, content_status string, error_type string, error_message string"))
-    whole = rows[0]
-    for r in rows[1:]:
+            failed = (run_id, key, "FAILED", "FAILED", "SOURCE_FETCH_FAILED", type(e).__name__, str(e))
+            rows.append(spark.createDataFrame([failed], _FAILED))
+    whole = spark.createDataFrame([], _FAILED)
+    for r in rows:
         whole = whole.unionByName(r, allowMissingColumns=True)
     return whole

@@ -67,9 +67,7 @@ def content_hash(spark, sf_dir):
 
 def dedup_first_wins(spark, sf_dir):
     hashed = table(spark, sf_dir, "documents").select(text.content_hash(F.col("text")).alias("content_hash"), "doc_id", "source", "lang")
-    firsts = discovery.first_wins(hashed, ["content_hash"], ("source", "lang"), "doc_id")
-    counts = hashed.groupBy("content_hash").agg(F.count(F.lit(1)).alias("copies"))
-    return firsts.join(counts, "content_hash")
+    return discovery.first_wins(hashed, ["content_hash"], ("source", "lang"), "doc_id", F.count(F.lit(1)).alias("copies"))
 
 
 def body_normalize_words(spark, sf_dir):

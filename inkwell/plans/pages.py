@@ -84,7 +84,7 @@ QUERIES = {
     for f in (article_id, url_normalize, domain_filter, article_url_classify, link_discovery, first_k_links, headline_cascade, page_probe, fetch_fallback, page_facts, article_extraction, links_near_text)
 }
 
-_SPLIT = r"""p AS (
+SPLIT_SQL = r"""p AS (
   SELECT page_id, url, html, lower(regexp_extract(url, '^([a-zA-Z]+)://', 1)) AS s, lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1)) AS h,
          regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '\?([^#]*)', 1) AS q
   FROM pages)"""
@@ -92,7 +92,7 @@ _NORMAL = r"""n AS (
   SELECT *, s || '://' || h || CASE WHEN path = '/' THEN path ELSE rtrim(path, '/') END
          || coalesce('?' || nullif(array_to_string(list_filter(string_split(q, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_source|utm_medium|utm_campaign|utm_term|utm_content|fbclid|gclid)=')), '&'), ''), '') AS normal
   FROM p)"""
-_LINKS = r"""l AS (
+LINKS_SQL = r"""l AS (
   SELECT page_id, s || '://' || h AS root, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1)) AS href,
          unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2)) AS headline, unnest(range(0, len(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>')))) AS pos
   FROM p),
@@ -103,8 +103,8 @@ k AS (
 
 ORACLES = {
     "article_id": "SELECT page_id, left(sha256(url), 16) AS article_id FROM pages",
-    "url_normalize": f"WITH {_SPLIT}, {_NORMAL} SELECT page_id, normal AS normalized_url, h AS host FROM n",
-    "domain_filter": f"WITH {_SPLIT} SELECT page_id, url FROM p WHERE h = 'example.com' OR h LIKE '%.example.com'",
+    "url_normalize": f"WITH {SPLIT_SQL}, {_NORMAL} SELECT page_id, normal AS normalized_url, h AS host FROM n",
+    "domain_filter": f"WITH {SPLIT_SQL} SELECT page_id, url FROM p WHERE h = 'example.com' OR h LIKE '%.example.com'",
     "article_url_classify": r"""
 WITH u AS (SELECT page_id, split_part(url, '#', 1) || CASE WHEN page_id % 9 = 0 THEN '/tag/x' WHEN page_id % 10 = 0 THEN '/a.PDF' ELSE '' END AS url FROM pages),
 p AS (SELECT page_id, lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1)) AS h, lower(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1)) AS path FROM u)
@@ -113,8 +113,8 @@ SELECT page_id, (h = 'example.com' OR h LIKE '%.example.com') AND path NOT IN ('
        AND NOT regexp_matches(path, '\.(jpg|jpeg|png|gif|webp|svg|pdf|zip|mp4|mp3)$')
        AND (path LIKE '%/fr/%' OR len(list_filter(string_split(path, '/'), lambda x: x <> '')) >= 2) AS is_article
 FROM p""",
-    "link_discovery": f"WITH {_SPLIT}, {_LINKS} SELECT page_id, url, min(pos)::BIGINT AS pos, arg_min(headline, pos) FILTER (headline <> '') AS headline FROM k GROUP BY page_id, url",
-    "first_k_links": f"WITH {_SPLIT}, {_LINKS}, r AS (SELECT page_id, url, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rank FROM k WHERE length(headline) >= 4) SELECT page_id, rank, url FROM r WHERE rank <= 3",
+    "link_discovery": f"WITH {SPLIT_SQL}, {LINKS_SQL} SELECT page_id, url, min(pos)::BIGINT AS pos, arg_min(headline, pos) FILTER (headline <> '') AS headline FROM k GROUP BY page_id, url",
+    "first_k_links": f"WITH {SPLIT_SQL}, {LINKS_SQL}, r AS (SELECT page_id, url, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rank FROM k WHERE length(headline) >= 4) SELECT page_id, rank, url FROM r WHERE rank <= 3",
     "headline_cascade": r"""
 SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's'), '<[^>]*>', ' ', 'g'),
        '&quot;', '"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS headline

@@ -15,23 +15,23 @@ from inkwell.sources.rules import Rules
 
 
 def select_articles(staged: DataFrame, target_date: str) -> DataFrame:
-    """The latest matching version of every article for a date, with the method that matched."""
+    """The latest matching version of every article for a date, with the method that matched, in the order of paths."""
     method = selection.match_method(F.col("published_at"), F.col("collection_run_date"), text.path_date(F.col("path")), F.lit(target_date))
     identity = text.article_identity(F.col("source"), F.col("canonical_url"), F.col("source_url"), F.col("path"))
     version = text.article_version(F.col("article_version"), F.col("path"))
     matched = staged.where("not corrupt").withColumns({"method": method, "identity": identity, "version": version}).where("method is not null")
-    return versions.latest(matched, ["identity"], "version", "mtime", "path")
+    return versions.latest(matched, ["identity"], "version", "mtime", "path").orderBy("path")
 
 
-def run(spark, staged_root: str, sources: list[str], target_date: str, rules: Rules, analyses_path: str, review_path: str) -> DataFrame:
+def run(spark, staged_root: str, sources: list[str], target_date: str, rules: Rules, analyses_path: str, review_path: str, one_a_file: bool = True) -> DataFrame:
     """Score a date's articles, keep human labels given before, write analyses and the review file.
 
     Returns the counts of the gate's decisions, failures included. A date
     without articles gives no files; see available_dates for those that have some.
     """
-    if _is_no_date(target_date):
+    if not is_date(target_date):
         raise ValueError(f"not a date: {target_date}")
-    chosen = select_articles(readers.read_staged(spark, staged_root, sources), target_date)
+    chosen = select_articles(readers.read_staged(spark, staged_root, sources, one_a_file), target_date)
     trimmed = chosen.withColumns({c: text.stripped(F.col(c)) for c in ("headline", "article_text", "source_url")})
     failure = scoring.required_fields_failure(F.col("headline"), F.col("article_text"), F.col("source_url"))
     scored = materialize(scoring.score(trimmed.withColumn("failure", failure), rules), "scored")
@@ -54,11 +54,12 @@ def run(spark, staged_root: str, sources: list[str], target_date: str, rules: Ru
     return rollup.gate_counts(scored.withColumn("gate_decision", F.when(F.col("failure").isNull(), F.col("gate_decision"))))
 
 
-def _is_no_date(target_date: str) -> bool:
+def is_date(target_date: str) -> bool:
+    """dates.is_iso_date for a value of the driver."""
     try:
-        return date.fromisoformat(target_date).isoformat() != target_date
+        return date.fromisoformat(target_date).isoformat() == target_date
     except ValueError:
-        return True
+        return False
 
 
 def available_dates(staged: DataFrame) -> DataFrame:

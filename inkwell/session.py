@@ -35,21 +35,29 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where that setting is absent (tests, a laptop) a local folder is made
-    and set as the checkpoint folder of the running context.
+    Only where that setting is absent and the master is this process (tests, a
+    laptop) a local folder is made and set as the checkpoint folder of the
+    running context; on a cluster its absence is an error.
     """
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if conf:
         return conf.rstrip("/")
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get().rstrip("/")
+    if not is_local(spark.sparkContext.master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all machines of {spark.sparkContext.master} share")
     made = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(f"file://{made}")
     return f"file://{made}"
 
 
-def materialize(df: DataFrame, name: str, *bucket_by: str) -> DataFrame:
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder as Parquet and read it back.
 
     This cuts the lineage: a lost executor costs the tasks it ran, not the
@@ -57,10 +65,7 @@ def materialize(df: DataFrame, name: str, *bucket_by: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/inkwell/{name}-{uuid.uuid4().hex}"
-    writer = df.write
-    if bucket_by:
-        writer = writer.partitionBy(*bucket_by)
-    writer.parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

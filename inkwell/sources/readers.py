@@ -26,14 +26,15 @@ STATUS = (
 )
 
 
-def read_staged(spark: SparkSession, root: str, sources: list[str]) -> DataFrame:
+def read_staged(spark: SparkSession, root: str, sources: list[str], one_a_file: bool = True) -> DataFrame:
     """Staged article files of the sources' folders, with source, path, mtime and corrupt.
 
-    A file that isn't a JSON object is a row with corrupt set, which the job
+    one_a_file: each file is one article; else one article a line, as
+    sinks.write_staged leaves them. A file (a line) that isn't a JSON object is a row with corrupt set, which the job
     leaves out instead of failing.
     """
     found = (
-        spark.read.option("recursiveFileLookup", True).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").option("pathGlobFilter", "*.json")
+        spark.read.option("recursiveFileLookup", True).option("multiLine", one_a_file).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").option("pathGlobFilter", "*.json")
         .schema(f"{STAGED}, _corrupt string")
         .json([f"{root}/{s}" for s in sources])
     )
@@ -77,6 +78,52 @@ RETRIED = {408, 425, 429, 500, 502, 503, 504}
 PAGE = "url string, final_url string, status_code int, html string, content_type string, fetch_method string, error string"
 
 
+def page(url: str, attempts: int = 3, delay: float = 1.5, timeout: float = 30) -> tuple:
+    """One page; the last failure is a row with its error, not an exception."""
+    import time
+    from http.client import HTTPException
+    from urllib.error import HTTPError
+    from urllib.request import Request, urlopen
+
+    error = status = None
+    for attempt in range(1, attempts + 1):
+        try:
+            with urlopen(Request(url, headers={"User-Agent": "Mozilla/5.0", "Accept": "text/html"}), timeout=timeout) as r:
+                return url, r.geturl(), r.status, r.read().decode(r.headers.get_content_charset() or "utf-8", "replace"), r.headers.get_content_type(), "httpx", None
+        except HTTPError as e:
+            error, status = str(e), e.code
+            if e.code not in RETRIED:
+                break
+        except (ValueError, LookupError) as e:  # no URL, or a character set that isn't one
+            error = f"{type(e).__name__}: {e}"
+            break
+        except (OSError, HTTPException) as e:
+            error = f"{type(e).__name__}: {e}"
+        if attempt < attempts:
+            time.sleep(delay * 2 ** (attempt - 1))
+    return url, None, status, None, None, "httpx", error
+
+
+def fetch_pages(found: DataFrame, url: str = "url", partitions: int | None = None, attempts: int = 3, delay: float = 1.5, timeout: float = 30) -> DataFrame:
+    """Pages (PAGE) of a column of URLs, each distinct one fetched once, where its row lies.
+
+    URLs are dealt by themselves, to `partitions` tasks where that is given, so
+    no list of them meets the driver. The result should be written once: a
+    second action would fetch again.
+    """
+    ship(found.sparkSession)
+
+    def run(batches):
+        import pandas as pd
+
+        for batch in batches:
+            yield pd.DataFrame([page(u, attempts, delay, timeout) for u in batch["url"]], columns=[c.split()[0] for c in PAGE.split(", ")]).astype({"status_code": "Int32"})
+
+    urls = found.select(F.col(url).alias("url")).where("url is not null").distinct()
+    dealt = urls.repartition(partitions, "url") if partitions else urls
+    return dealt.mapInPandas(run, PAGE)
+
+
 class _Part(InputPartition):
     def __init__(self, urls: list[str]):
         self.urls = urls
@@ -85,9 +132,7 @@ class _Part(InputPartition):
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.urls = [u for u in options.get("urls", "").split("\n") if u]
-        self.attempts = int(options.get("attempts", 3))
-        self.delay = float(options.get("delay", 1.5))
-        self.timeout = float(options.get("timeout", 30))
+        self.how = int(options.get("attempts", 3)), float(options.get("delay", 1.5)), float(options.get("timeout", 30))
         self.width = int(options.get("partitions", 8))
 
     def partitions(self):
@@ -95,28 +140,7 @@ class _Reader(DataSourceReader):
 
     def read(self, partition):
         for url in partition.urls:
-            yield self._page(url)
-
-    def _page(self, url: str) -> tuple:
-        """One page; the last failure is a row with its error, not an exception."""
-        import time
-        from urllib.error import HTTPError
-        from urllib.request import Request, urlopen
-
-        error = status = None
-        for attempt in range(1, self.attempts + 1):
-            try:
-                with urlopen(Request(url, headers={"User-Agent": "Mozilla/5.0", "Accept": "text/html"}), timeout=self.timeout) as r:
-                    return url, r.geturl(), r.status, r.read().decode(r.headers.get_content_charset() or "utf-8", "replace"), r.headers.get_content_type(), "httpx", None
-            except HTTPError as e:
-                error, status = str(e), e.code
-                if e.code not in RETRIED:
-                    break
-            except OSError as e:
-                error = f"{type(e).__name__}: {e}"
-            if attempt < self.attempts:
-                time.sleep(self.delay * 2 ** (attempt - 1))
-        return url, None, status, None, None, "httpx", error
+            yield page(url, *self.how)
 
 
 class WebPages(DataSource):

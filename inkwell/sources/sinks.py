@@ -6,7 +6,8 @@ it writes and leaves the others.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions import text
@@ -32,6 +33,11 @@ def write_staged(articles: DataFrame, path: str, form: str = "json") -> None:
     articles.write.mode("append").partitionBy("source", "run_date").format(form).save(path)
 
 
+def write_diagnosis(diagnosis: DataFrame, path: str, checked_at: str) -> None:
+    """The rows of rollup.diagnose with the time of the check, beside earlier ones."""
+    diagnosis.withColumn("checked_at", F.lit(checked_at)).write.mode("append").json(path)
+
+
 def write_analyses(analyses: DataFrame, path: str) -> None:
     """One row an article of a run date, replaced on a rerun; needs run_date and source_slug."""
     _replace_partitions(analyses, path, ["run_date", "source_slug"], "json")
@@ -56,12 +62,23 @@ def write_review(rows: DataFrame, path: str) -> None:
 
 
 def write_snapshot(state: DataFrame, root: str, run_id: str) -> str:
-    """A whole state under its run's id; readers take the path that this returns."""
+    """A whole state under its run's id; only when it is written it becomes the current one."""
     path = f"{root}/run={run_id}"
     state.write.mode("errorifexists").parquet(path)
+    named = state.sparkSession.createDataFrame([(run_id,)], "run_id string").withColumn("at", F.current_timestamp())
+    named.write.mode("append").json(f"{root}/_current")
     return path
 
 
+def current_snapshot(spark: SparkSession, root: str) -> str | None:
+    """The path of the last snapshot that was written whole, or None."""
+    try:
+        last = spark.read.schema("run_id string, at timestamp").json(f"{root}/_current").agg(F.max_by("run_id", "at")).first()[0]
+    except AnalysisException:  # no such path
+        return None
+    return f"{root}/run={last}"
+
+
 def write_statuses(statuses: DataFrame, path: str) -> None:
     """Append to the history of statuses."""
     statuses.withColumn("status_written_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")).write.mode("append").json(path)
@@ -75,5 +92,6 @@ def current_statuses(history: DataFrame) -> DataFrame:
 
 def write_run_summary(summary: DataFrame, sources: DataFrame, path: str) -> None:
     """The roll-up of a run with its sources as a list; sources are few by nature (one row each)."""
+    # both sides are one row
     listed = sources.agg(F.sort_array(F.collect_list(F.struct("source_key", *[c for c in sources.columns if c != "source_key"]))).alias("sources"))
     summary.join(listed).write.mode("append").json(path)

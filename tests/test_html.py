@@ -54,3 +54,19 @@ def test_classifier(spark):
     }
     d = spark.createDataFrame([(u,) for u in found], "u string")
     assert [r[0] for r in d.select(discovery.looks_like_article(F.col("u"), "a.lk", "https://a.lk/news", ("/biz",))).collect()] == list(found.values())
+
+
+def test_markup_that_no_parser_knows(spark):
+    pages = ["<p>a</p><![weird x><p>b</p>", "<p>a</p><![weird x>b", "<p>a<![CDATA[x]]><p>b", "<p>a</p><![", "<!DOCTYPE x [<!weird", "<p>a <b", "<div><p>a</div></p></p>&#xZZ; <a href='/q'", "<" * 50, "<![if !IE]><p>a</p><![endif]>"]
+    d = spark.createDataFrame([(p,) for p in pages], "html string")
+    got = d.select(html.article_text(F.col("html")).alias("t"), html.links_with_dates(F.col("html")), html.links_with_excerpts(F.col("html")), html.links_with_cards(F.col("html"))).collect()
+    assert len(got) == len(pages) and [r.t for r in got[:2]] == ["a\n\nb", "a"]
+
+
+def test_neighbourhoods_cost_in_proportion_to_the_page():
+    import time
+
+    page = "<body>" + "".join(f"<div><div><a href='/{k}'>link {k}</a><p>short</p></div></div>" for k in range(4000)) + "</body>" + "<div>" * 5000
+    at = time.process_time()
+    assert len(html._near(page, 7, 2500, None, 40)) == 4000
+    assert time.process_time() - at < 3

@@ -102,6 +102,35 @@ def test_collection_run(spark, tmp_path):
     assert {r.url[-1]: r.version_number for r in after.collect()} == {"1": 2, "2": 1, "5": 0}
 
 
+def test_a_run_ends_in_stored_articles_that_can_be_scored(spark, tmp_path):
+    link = lambda n: f"<div><a href='/financial-services/Some-thing/42-{n}'>Number {n}</a><span>Monday, 14 September 2026</span><p>What the listing says of this one, in forty letters.</p></div>"
+    sections = spark.createDataFrame([(1, link(1) + link(2) + "<![odd>")], "page int, html string")
+    base = "https://www.ft.lk/financial-services/Some-thing/42-"
+    pages = spark.createDataFrame([(base + n, base + n, page(n)) for n in "12"], "url string, final_url string, html string")
+    raw, staged = str(tmp_path / "raw"), str(tmp_path / "staged")
+    state = readers.read_state(spark, str(tmp_path / "none"))
+    for k, (now, again) in enumerate((("2026-09-14T08:00:00", pages), ("2026-09-14T18:00:00", pages.withColumn("html", F.when(F.endswith("url", F.lit("1")), page("1 again")).otherwise(F.col("html")))))):
+        row, state = collection.run(spark, "daily_ft", sections, state, "2026-09-14", now, f"r{k}", raw, staged, again)
+        assert row.first().content_status == ("NEW_ARTICLES_FOUND", "ARTICLES_CHANGED")[k]
+    found = readers.read_staged(spark, staged, ["source=daily_ft"], one_a_file=False)
+    got = sorted((r.source_url[-1], r.article_version, r.collection_status, r.listing_headline, r.listing_published_at, r.listing_excerpt is not None, r.collection_mode) for r in found.collect())
+    assert got == [("1", "1", "NEW", "Number 1", "2026-09-14T00:00:00+05:30", True, "MONDAY_WEEKEND_CATCHUP"), ("1", "2", "CHANGED", "Number 1", "2026-09-14T00:00:00+05:30", True, "MONDAY_WEEKEND_CATCHUP"), ("2", "1", "NEW", "Number 2", "2026-09-14T00:00:00+05:30", True, "MONDAY_WEEKEND_CATCHUP")]
+    counts = stage1.run(spark, staged, ["source=daily_ft"], "2026-09-14", DEMO, str(tmp_path / "analyses"), str(tmp_path / "review"), one_a_file=False).first()
+    assert counts.include + counts.watch + counts.exclude == 2 and counts.failed == 0
+
+
+def test_no_jobs_no_rows(spark):
+    assert collection.run_sources(spark, {}, "r").count() == 0
+
+
+def test_the_last_whole_snapshot_is_current(spark, tmp_path):
+    root = str(tmp_path / "states")
+    assert sinks.current_snapshot(spark, root) is None
+    for run in ("r2", "r1"):
+        path = sinks.write_snapshot(spark.createDataFrame([(run,)], "url string"), root, run)
+    assert sinks.current_snapshot(spark, root) == path == f"{root}/run=r1"
+
+
 def test_one_failing_source_leaves_the_others(spark):
     good = lambda: spark.createDataFrame([("a", "r", "SUCCESS", "HEALTHY", "NO_NEW_ARTICLES", 3)], "source_key string, run_id string, execution_status string, health_status string, content_status string, new_articles int")
 
@@ -146,6 +175,11 @@ def test_web_pages(spark):
     readers.register_web_pages(spark)
     root = f"http://127.0.0.1:{server.server_port}"
     got = spark.read.format("web_pages").option("urls", "\n".join(root + p for p in ("/ok", "/once", "/gone", "/busy"))).option("delay", "0.01").option("partitions", "2").load().collect()
+    asked_before = list(asked)
+    column = spark.createDataFrame([(root + p,) for p in ("/ok", "/ok", "/gone")] + [("not a url",), (None,)], "u string")
+    many = readers.fetch_pages(column, "u", partitions=2, delay=0.01).collect()
+    assert sorted((r.url.removeprefix(root), r.status_code, r.html) for r in many) == [("/gone", 404, None), ("/ok", 200, "<p>é</p>"), ("not a url", None, None)]
+    asked[:] = asked_before
     server.shutdown()
     assert {r.url.removeprefix(root): (r.status_code, r.html) for r in got} == {"/ok": (200, "<p>é</p>"), "/once": (200, "<p>é</p>"), "/gone": (404, None), "/busy": (503, None)}
     assert (asked.count("/gone"), asked.count("/busy"), asked.count("/once")) == (1, 3, 2)
