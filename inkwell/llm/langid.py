@@ -4,23 +4,28 @@ Each language gets a codeword of bits. For every bit a binary classifier over
 hashed byte trigrams predicts whether a text belongs to the languages with
 that bit set. A text takes the language whose codeword has the least loss:
 each bit's logistic loss counts by how well that bit's classifier did in
-training. Where the second best is nearly as good, the text is ambiguous.
+on rows that its training did not see. Where the second best is nearly as good,
+the text is ambiguous.
 
-Learning reads a bounded sample: about PER_LANG documents a language, chosen by
-a hash of the id among those with text and language outside the held-out fifth,
-SAMPLE_CHARS characters of each at most. The weights, bits x DIM floats, are
-the broadcast.
+Learning reads a bounded sample: about PER_LANG documents a language, fewer
+where many languages share MAX_SAMPLE, chosen by a hash of id and text among
+those with text and language outside the held-out fifth. Their whole texts are
+turned to counts where they lie, and only these, DIM numbers a row at most, come
+to the driver. The weights, bits x DIM floats, are the broadcast.
 
 Defined cases: a null text, an empty one or one without letters is `und` with
 score 0; without any labelled language every text is `und`; with one language
 every text with a letter is that language with score 1; equal losses go to the
-first language by name; long texts are read whole, in pieces; repeated rows are
-answered one by one; an empty table gives no rows; extra columns are ignored.
+first language by name; long texts are read whole, in pieces that count as the
+whole does; a document without id is learned from and answered like any other;
+repeated rows are answered one by one; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +36,10 @@ from pyspark.sql import functions as F
 from inkwell.llm.common import held_out, only, out, texts
 from inkwell.session import ship, table
 
-#: Expected documents of a language in the training sample at most, of all languages, and languages (the most frequent).
-PER_LANG, MAX_SAMPLE, MAX_LANGS = 500, 8_000, 400
-#: Characters of a training text at most; prediction reads whole texts.
-SAMPLE_CHARS = 50_000
+#: Expected documents of a language in the training sample at most, and of all languages.
+PER_LANG, MAX_SAMPLE = 500, 4_000
+#: Bytes of the window that is learned from beside each whole text; every so many-th row of a language measures trust.
+WINDOW, KEPT = 100, 5
 DIM = 1 << 12
 #: Bytes of a long text that are turned to trigrams at once.
 PIECE = 1 << 20
@@ -51,9 +56,9 @@ def has_letter(text: bytes | None) -> bool:
     return bool(text) and bool(_ASCII_LETTER.search(text) or (not text.isascii() and _LETTER.search(text.decode("utf-8", "replace"))))
 
 
-def trigrams(text: bytes) -> np.ndarray:
-    """A hash below DIM for each three bytes of the lower-cased text."""
-    a = np.frombuffer(b" " + text.translate(_TABLE) + b" ", np.uint8).astype(np.uint32)
+def trigrams(padded: bytes) -> np.ndarray:
+    """A hash below DIM for each three bytes."""
+    a = np.frombuffer(padded, np.uint8).astype(np.uint32)
     h = a[:-2] * np.uint32(0x9E3779B1) ^ a[1:-1] * np.uint32(0x85EBCA6B) ^ a[2:] * np.uint32(0xC2B2AE35)
     h ^= h >> np.uint32(15)
     h *= np.uint32(0x2C1B3C6D)
@@ -61,11 +66,24 @@ def trigrams(text: bytes) -> np.ndarray:
 
 
 def counts(text: bytes) -> np.ndarray:
-    """Share of each trigram hash in the whole text."""
-    total = np.zeros(DIM)
-    for at in range(0, len(text), PIECE):
-        total += np.bincount(trigrams(text[at : at + PIECE + 2]), minlength=DIM)
-    return (total / max(1.0, total.sum())).astype(np.float32)
+    """How often each trigram hash stands in the lower-cased text with a blank at either end."""
+    padded = b" " + text.translate(_TABLE) + b" "
+    total = np.zeros(DIM, np.int64)
+    for at in range(0, len(padded) - 2, PIECE):
+        total += np.bincount(trigrams(padded[at : at + PIECE + 2]), minlength=DIM)
+    return total
+
+
+def window(text: bytes) -> bytes | None:
+    """A stretch of a longer text, so that short texts are learned too."""
+    if len(text) <= 2 * WINDOW:
+        return None
+    at = zlib.crc32(text) % (len(text) - WINDOW)
+    return text[at : at + WINDOW]
+
+
+def shares(n: np.ndarray) -> np.ndarray:
+    return n / np.maximum(1, n.sum(-1, keepdims=True))
 
 
 def codewords(n: int, seed: int = 5) -> np.ndarray:
@@ -97,47 +115,53 @@ class Codes:
         self.langs, self.words, self.weights, self.bias, self.trust = langs, words, weights.astype(np.float32), bias, trust
 
     @classmethod
-    def learn(cls, samples: list[tuple[bytes, str]], rounds: int = 150) -> Codes:
-        langs = sorted({lang for _, lang in samples})
+    def learn(cls, samples: list[tuple[np.ndarray, np.ndarray | None, str]], rounds: int = 150) -> Codes:
+        """samples: counts of a whole text, of its window if it has one, and the language."""
+        langs = sorted({lang for *_, lang in samples})
         words = codewords(len(langs))
         if len(langs) < 2:
             return cls(langs, words, np.zeros((DIM, words.shape[1])), np.zeros(words.shape[1]), np.ones(words.shape[1]))
-        where = {lang: i for i, lang in enumerate(langs)}
-        x, y = [], []
-        for k, (text, lang) in enumerate(samples):
-            x.append(counts(text))
-            y.append(where[lang])
-            if len(text) > 200:  # a short window, so that short texts are known too
-                at = (k * 7919) % (len(text) - 100)
-                x.append(counts(text[at : at + 100]))
-                y.append(where[lang])
-        x, y = np.array(x) * np.float32(30), np.array(y)
+        where, nth = {lang: i for i, lang in enumerate(langs)}, Counter()
+        rows, y, kept = [], [], []
+        for whole, part, lang in samples:
+            nth[lang] += 1
+            for n in (whole, part):
+                if n is not None:
+                    rows.append(n)
+                    y.append(where[lang])
+                    kept.append(nth[lang] % KEPT == 0)
+        x = np.empty((len(rows), DIM), np.float32)
+        for k, n in enumerate(rows):
+            x[k] = shares(n) * 30
+        y, kept = np.array(y), np.array(kept)
         share = np.bincount(y, minlength=len(langs))
         weigh = (len(y) / (len(langs) * share[y])).astype(np.float32)
         bits = words[y].astype(np.float32)
-        w, b = np.zeros((DIM, words.shape[1]), np.float32), np.zeros(words.shape[1], np.float32)
+        w, b = cls._fit(x[~kept], bits[~kept], weigh[~kept], rounds)
+        told = kept if kept.any() else ~kept
+        right = ((x[told] @ w + b > 0) == (bits[told] > 0)).astype(np.float64) * weigh[told, None]
+        wrong = np.clip(1 - right.sum(0) / weigh[told].sum(), 1e-3, 0.499)
+        trust = np.log((1 - wrong) / wrong)
+        return cls(langs, words, w * 30, b, trust / trust.sum())
+
+    @staticmethod
+    def _fit(x: np.ndarray, bits: np.ndarray, weigh: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+        """A logistic classifier for each bit."""
+        w, b = np.zeros((DIM, bits.shape[1]), np.float32), np.zeros(bits.shape[1], np.float32)
         m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), np.zeros_like(b), np.zeros_like(b)
         for t in range(1, rounds + 1):
             f = x @ w + b
-            g = -bits / (1 + np.exp(np.clip(bits * f, -30, 30))) * weigh[:, None] / len(y)
+            g = -bits / (1 + np.exp(np.clip(bits * f, -30, 30))) * weigh[:, None] / len(x)
             gw, gb = x.T @ g + 1e-6 * w, g.sum(0)
             m, v, mb, vb = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw**2, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb**2
             step = 0.1 * np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
             w -= step * m / (np.sqrt(v) + 1e-8)
             b -= step * mb / (np.sqrt(vb) + 1e-8)
-        right = ((x @ w + b > 0) == (bits > 0)).astype(np.float64) * weigh[:, None]
-        wrong = np.clip(1 - right.sum(0) / weigh.sum(), 1e-3, 0.499)
-        trust = np.log((1 - wrong) / wrong)
-        return cls(langs, words, w * 30, b, trust / trust.sum())
+        return w, b
 
     def bits(self, text: bytes) -> np.ndarray:
         """The classifiers' values for the whole text."""
-        total, n = np.zeros(self.weights.shape[1]), 0
-        for at in range(0, len(text), PIECE):
-            h = trigrams(text[at : at + PIECE + 2])
-            total += np.bincount(h, minlength=DIM) @ self.weights if len(h) > 2000 else self.weights[h].sum(0)
-            n += len(h)
-        return total / max(1, n) + self.bias
+        return shares(counts(text)) @ self.weights + self.bias
 
     def decode(self, f: np.ndarray) -> tuple[str, float, bool]:
         """Language, score and whether the second best is nearly as good."""
@@ -155,21 +179,41 @@ class Codes:
         return self.decode(self.bits(text))
 
 
-def training_sample(d: DataFrame, per_lang: int = PER_LANG) -> list[tuple[bytes, str]]:
-    """A bounded sample of labelled texts, about per_lang of each language.
+def training_sample(d: DataFrame, per_lang: int = PER_LANG) -> list[tuple[np.ndarray, np.ndarray | None, str]]:
+    """Counts of a bounded sample of labelled texts, about per_lang of each language.
 
     Many languages share MAX_SAMPLE; never are more than twice as many rows taken.
     """
-    known = d.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    each = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
-    if not each:
-        return []
-    per_lang = min(per_lang, MAX_SAMPLE // len(each))
-    spot = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("langid")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chance = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_lang / r["n"]))) for r in each])
-    chosen = known.where(spot < chance).select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).limit(2 * MAX_SAMPLE)
-    rows = sorted(((r["doc_id"], r["text"], r["lang"]) for r in chosen.collect()), key=lambda r: (str(r[0]), r[1], r[2]))
-    return [(text.encode(), lang) for _, text, lang in rows]
+    known = d.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
+    each = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    wanted = max(1, min(per_lang, MAX_SAMPLE // max(1, each.count())))
+    chances = each.select("lang", (F.lit(wanted) / F.col("n")).alias("chance"))
+    spot = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit("langid")), F.lit(1 << 30))
+    chosen = known.withColumn("spot", spot).join(chances, "lang").where(F.col("spot") / F.lit(float(1 << 30)) < F.col("chance"))
+    schema = pa.schema([("lang", pa.string()), ("spot", pa.int64()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int64())), ("window_at", pa.list_(pa.int32())), ("window_n", pa.list_(pa.int64()))])
+
+    def run(batches):
+        for part, all_texts in texts(batches):
+            got: dict[str, list] = {f.name: [] for f in schema}
+            for t in all_texts:
+                for piece, name in ((t, ""), (window(t), "window_")):
+                    n = counts(piece) if piece is not None else None
+                    at = np.flatnonzero(n) if n is not None else None
+                    got[f"{name}at"].append(at)
+                    got[f"{name}n"].append(n[at] if n is not None else None)
+            yield out(schema, got | {"lang": part.column(0), "spot": part.column(1)})
+
+    held = chosen.select("lang", "spot", "text").mapInArrow(run, "lang string, spot long, at array<int>, n array<long>, window_at array<int>, window_n array<long>")
+    rows = sorted(held.limit(2 * MAX_SAMPLE).collect(), key=lambda r: (r["lang"], r["spot"], r["at"], r["n"]))
+
+    def dense(at, n):
+        if at is None:
+            return None
+        full = np.zeros(DIM, np.int64)
+        full[at] = n
+        return full
+
+    return [(dense(r["at"], r["n"]), dense(r["window_at"], r["window_n"]), r["lang"]) for r in rows]
 
 
 _ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())])
@@ -200,10 +244,11 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     held = spark.sparkContext.broadcast(Codes.learn(training_sample(only(docs, doc_id="doc_id", lang="lang", text="text"))))
+    text = next(c for c in docs.columns if c.lower() == "text")
 
     def run(batches):
         codes = held.value
-        for part, all_texts in texts(batches):
+        for part, all_texts in texts(batches, text):
             keep = [not codes.predict(t)[2] for t in all_texts]
             yield part.filter(pa.array(keep, pa.bool_()))
 

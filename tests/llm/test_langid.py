@@ -69,3 +69,39 @@ def test_decoding_corrects_a_bit_and_tells_ties():
             f[wrong] *= -1
             assert model.decode(f)[0] == lang
     assert model.decode(np.zeros(7))[2]
+
+
+def plain_counts(text):
+    """Trigrams one by one."""
+    low = b" " + bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in text) + b" "
+    found = [0] * langid.DIM
+    for a, b, c in zip(low, low[1:], low[2:]):
+        h = (a * 0x9E3779B1 ^ b * 0x85EBCA6B ^ c * 0xC2B2AE35) & 0xFFFFFFFF
+        h ^= h >> 15
+        found[(h * 0x2C1B3C6D & 0xFFFFFFFF) >> 20] += 1
+    return found
+
+
+def test_counts_and_values_against_plain_loops(monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(langid, "PIECE", 7)  # pieces change nothing
+    texts = [b"", b"a", b"ab", EN.encode(), "Grüße, дом 12!".encode(), bytes(rng.integers(0, 256, 500, np.uint8))]
+    samples = [(langid.counts(t), None, lang) for k in range(30) for t, lang in ((EN[k:].encode(), "en"), (DE[k:].encode(), "de"), (f"la casa {k} y el río de la ciudad".encode(), "es"))]
+    model = langid.Codes.learn(samples)
+    for t in texts:
+        n = plain_counts(t)
+        assert langid.counts(t).tolist() == n
+        f = [sum(c * float(w) for c, w in zip(n, model.weights[:, j])) / max(1, sum(n)) + float(model.bias[j]) for j in range(model.weights.shape[1])]
+        assert np.allclose(model.bits(t), f, atol=1e-5)
+        losses = [sum(float(model.trust[j]) * np.log1p(np.exp(-max(-30, min(30, model.words[i, j] * f[j])))) for j in range(len(f))) for i in range(len(model.langs))]
+        assert model.decode(np.array(f))[0] == model.langs[int(np.argmin(losses))]
+
+
+def test_rare_languages_are_learned_and_whole_texts_are(spark):
+    rare = [(1000 + k, f"xqzw kvjx {k} wqxz jkvq " * 3, f"r{k % 3}", "s") for k in range(30)]
+    d = documents(spark, [*learnt(400), *rare, (None, EN, "en", "s"), (7, DE * 4000, "de", "s")])
+    sample = langid.training_sample(d)
+    assert {lang for *_, lang in sample} == {"en", "de", "r0", "r1", "r2"}
+    assert max(int(whole.sum()) for whole, *_ in sample) > len(DE) * 3999
+    bounded = langid.training_sample(d, per_lang=5)
+    assert len(bounded) < 60 and {lang for *_, lang in bounded} <= {"en", "de", "r0", "r1", "r2"}
