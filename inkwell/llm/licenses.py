@@ -10,7 +10,8 @@ when the mandatory wording stands there exactly, word for word; optional and
 replaceable regions may differ as marked. Automata are simulated as sets of
 states held in the bits of an integer, with the steps taken so far memoised.
 
-Defined cases: a null text is empty; an empty text has no words, no places and
+Defined cases: a null text is empty; a document without id is answered like any
+other; an empty text has no words, no places and
 a score of 0; places may overlap and all count; repeated rows are answered one
 by one; extra columns of the input are ignored; an empty table gives no rows.
 """
@@ -34,16 +35,51 @@ BASE = {
     "general public license": "gpl",
 }
 
-# Public license wording, marked up. Label -> template.
+# Public license wording, marked up, each with all of its mandatory parts. Label -> template.
+_NOTICE = "<<beginOptional>>this <<var;name=work;words=1..3>> is<<endOptional>> <<beginOptional>>released<<endOptional>> <<beginOptional>>licensed<<endOptional>> under the <<beginOptional>>terms of the<<endOptional>> "
+_BSD_HEAD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "<<beginOptional>>1.<<endOptional>> Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "<<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_NAMES = (
+    "<<beginOptional>>3.<<endOptional>> Neither the name of <<var;name=owner;words=1..12>> nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+)
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY <<var;name=holder;words=1..12>> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. '
+    "IN NO EVENT SHALL <<var;name=liable;words=1..12>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 TEMPLATES = {
-    "mit-notice": "<<beginOptional>>this <<var;name=work;words=1..3>> is<<endOptional>> <<beginOptional>>released<<endOptional>> <<beginOptional>>licensed<<endOptional>> under the <<beginOptional>>terms of the<<endOptional>> MIT license",
-    "mit-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the <<beginOptional>>\"<<endOptional>>Software<<beginOptional>>\"<<endOptional>>), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial portions of the Software.",
+    "mit-notice": _NOTICE + "MIT license",
+    "mit-text": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+        "The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial portions of the Software. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. "
+        "IN NO EVENT SHALL <<var;name=holders;words=1..12>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
     "apache-2.0-notice": "licensed under the Apache License<<beginOptional>>, Version 2.0<<endOptional>> <<beginOptional>>(the \"License\")<<endOptional>>",
-    "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at <<var;name=url;words=1..12>> Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
-    "gpl-notice": "<<beginOptional>>this <<var;name=work;words=1..3>> is<<endOptional>> <<beginOptional>>released<<endOptional>> <<beginOptional>>licensed<<endOptional>> under the <<beginOptional>>terms of the<<endOptional>> GNU <<beginOptional>>lesser<<endOptional>> <<beginOptional>>affero<<endOptional>> General Public License <<beginOptional>>version <<var;name=version;words=1..1>><<endOptional>>",
-    "gpl-header": "This program is free software<<beginOptional>>:<<endOptional>> you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation<<beginOptional>>, either<<endOptional>> version <<var;name=version;words=1..3>> of the License, or (at your option) any later version.",
-    "bsd-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: <<beginOptional>>1.<<endOptional>> Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. <<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
-    "isc-text": "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "apache-2.0-header": (
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at <<var;name=url;words=1..12>> "
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+        "See the License for the specific language governing permissions and limitations under the License."
+    ),
+    "gpl-notice": _NOTICE + "GNU <<beginOptional>>lesser<<endOptional>> <<beginOptional>>affero<<endOptional>> General Public License <<beginOptional>>version <<var;name=version;words=1..1>><<endOptional>>",
+    "gpl-header": (
+        "This program is free software<<beginOptional>>:<<endOptional>> you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, "
+        "either version <<var;name=version;words=1..3>> of the License, or (at your option) any later version. "
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. "
+        "You should have received a copy of the GNU General Public License along with this program. If not, <<var;name=where;words=1..24>>"
+    ),
+    "bsd-2-clause": _BSD_HEAD + _BSD_END,
+    "bsd-3-clause": _BSD_HEAD + _BSD_NAMES + _BSD_END,
+    "isc-text": (
+        "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. "
+        "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
 }
 
 _MARK = re.compile(r"<<(beginOptional|endOptional|var;name=(\w+);words=(\d+)\.\.(\d+))>>")
