@@ -21,6 +21,7 @@ gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -115,18 +116,23 @@ class Tokenizer:
         others = [b for b in range(256) if b not in set(prints)]
         self.alphabet = {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(others)}
 
-    def _ids(self, word: bytes) -> bytes:
-        """The ids of one pre-token in Latin-1."""
-        ids = self.young.get(word)
-        if ids is None:
-            ids = self.old.get(word)
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct pre-tokens in Latin-1."""
+        found = list(map(self.young.get, words))
+        for k, ids in enumerate(found):
             if ids is None:
-                mapped = word.decode("latin-1").encode().decode("latin-1").translate(self.alphabet)
-                ids = np.array([t.id for t in self.library.model.tokenize(mapped)], "<u4").tobytes()
-            if len(word) <= LONGEST:
-                if len(self.young) >= CACHE:
-                    self.old, self.young = self.young, {}
-                self.young[word] = ids
+                found[k] = ids = self._made(words[k])
+                if len(words[k]) <= LONGEST:
+                    self.young[words[k]] = ids
+        if len(self.young) > CACHE:
+            self.old, self.young = self.young, {}
+        return found
+
+    def _made(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            mapped = word.decode("latin-1").encode().decode("latin-1").translate(self.alphabet)
+            ids = struct.pack(f"<{len(t := self.library.model.tokenize(mapped))}I", *[x.id for x in t])
         return ids
 
     def encode_batch(self, many: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +160,9 @@ class Tokenizer:
         starts = split_latin(np.frombuffer(joined, np.uint8), walls)
         offsets = np.append(starts, len(joined)).astype(np.int32)
         words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]).dictionary_encode()
-        known = [self._ids(w) for w in words.dictionary.to_pylist()]
+        _, cuts, distinct = words.dictionary.buffers()
+        cuts, distinct = np.frombuffer(cuts, np.int32)[: len(words.dictionary) + 1].tolist(), distinct.to_pybytes()
+        known = self._ids([distinct[a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True)])
         at_wall = np.searchsorted(starts, walls)
         which = words.indices.to_numpy().astype(np.int64)
         which[at_wall] = len(known)
