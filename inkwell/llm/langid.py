@@ -188,8 +188,12 @@ def training_sample(d: DataFrame, per_lang: int = PER_LANG) -> list[tuple[np.nda
     each = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     wanted = max(1, min(per_lang, MAX_SAMPLE // max(1, each.count())))
     chances = each.select("lang", (F.lit(wanted) / F.col("n")).alias("chance"))
-    spot = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit("langid")), F.lit(1 << 30))
-    chosen = known.withColumn("spot", spot).join(chances, "lang").where(F.col("spot") / F.lit(float(1 << 30)) < F.col("chance"))
+    spot = F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit("langid"))
+    # only hashes meet the chances, and the hashes that are chosen, a bounded number, find the texts
+    drawn = known.select("lang", spot.alias("spot")).join(chances, "lang")
+    chosen = drawn.where(F.pmod("spot", F.lit(1 << 30)) / F.lit(float(1 << 30)) < F.col("chance"))
+    spots = sorted({r["spot"] for r in chosen.select("spot").limit(2 * MAX_SAMPLE).collect()})
+    held = known.withColumn("spot", spot).where(F.col("spot").isin(spots))
     schema = pa.schema([("lang", pa.string()), ("spot", pa.int64()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int64())), ("window_at", pa.list_(pa.int32())), ("window_n", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -203,8 +207,8 @@ def training_sample(d: DataFrame, per_lang: int = PER_LANG) -> list[tuple[np.nda
                     got[f"{name}n"].append(n[at] if n is not None else None)
             yield out(schema, got | {"lang": part.column(0), "spot": part.column(1)})
 
-    held = chosen.select("lang", "spot", "text").mapInArrow(run, "lang string, spot long, at array<int>, n array<long>, window_at array<int>, window_n array<long>")
-    rows = sorted(held.limit(2 * MAX_SAMPLE).collect(), key=lambda r: (r["lang"], r["spot"], r["at"], r["n"]))
+    found = held.select("lang", "spot", "text").mapInArrow(run, "lang string, spot long, at array<int>, n array<long>, window_at array<int>, window_n array<long>")
+    rows = sorted(found.limit(2 * MAX_SAMPLE).collect(), key=lambda r: (r["lang"], r["spot"], r["at"], r["n"]))
 
     def dense(at, n):
         if at is None:
