@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from inkwell.session import materialize
 
@@ -34,6 +35,19 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
+def named_rows(df: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, str]:
+    """df with a long that names each row, and its column.
+
+    Ids that are whole, never null and never repeat name the rows themselves,
+    and df stays where it lies; only ids move to find that out. Otherwise rows
+    get numbers, written with df, so that they stay the same.
+    """
+    ids = df.select(F.col(f"`{id_col}`").alias("id"))
+    if ids.schema["id"].dataType == LongType() and ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or id is null").isEmpty():
+        return df, id_col
+    return numbered(df)
+
+
 def numbered(df: DataFrame) -> tuple[DataFrame, str]:
     """df with a number for each row, and the number's column; written, so that it stays the same."""
     name, taken = "_row", {c.lower() for c in df.columns}
@@ -42,6 +56,11 @@ def numbered(df: DataFrame) -> tuple[DataFrame, str]:
     return materialize(df.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
+def without_rows(rows: DataFrame, row: str, gone: DataFrame, columns: list[str]) -> DataFrame:
+    """The named columns of the rows whose names aren't in gone."""
+    return rows.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in columns])
+
+
 def place(doc_id: Column, row: Column) -> Column:
     """What decides which of several copies stays: the smallest id, nulls last, then the row's number."""
     return F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("id"), row.alias("row"))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import NOT_BLANKS, numbered, only
+from inkwell.llm.common import NOT_BLANKS, named_rows, only
 from inkwell.session import materialize, table
 
 #: Documents a bucket, buckets a super-bucket.
@@ -156,7 +156,7 @@ def quality_weights(labels: DataFrame) -> DataFrame:
 
 def mixed_rows(docs: DataFrame, weights: DataFrame | None = None, seed: str = SEED) -> DataFrame:
     """The rows of the mix, each as often as it is taken, with docs' columns."""
-    rows, row = numbered(docs)
+    rows, row = named_rows(docs)
     m = _mixed(only(rows, row=row, doc_id="doc_id", source="source", text="text"), weights, seed).where("copies > 0")
     taken = materialize(m.select(F.col("row").alias("_taken"), F.array_repeat(F.lit(0), F.col("copies").cast("int")).alias("_copies")), "taken")
     joined = rows.join(taken, rows[row] == taken["_taken"])

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import LOWER_TABLE, filter_of, may_hold, numbered, only, out, place, texts
+from inkwell.llm.common import LOWER_TABLE, filter_of, may_hold, named_rows, only, out, place, texts, without_rows
 from inkwell.llm.graph import components
 from inkwell.session import materialize, ship, table
 
@@ -373,7 +373,7 @@ def keep_one_of_each(docs: DataFrame, n: int = WORDS, num: int = NUM, den: int =
     own texts; of equal ids in a component one row stays. Rows without words
     stay.
     """
-    rows, row = numbered(docs)
+    rows, row = named_rows(docs)
     found = jaccard_components(rows, n, num, den, id_col=row).where("n_ngrams > 0")
     linked = found.where("doc_id <> component_id").select("doc_id", "component_id")
     several = linked.select(F.col("component_id").alias("doc_id"), "component_id").distinct()
@@ -381,7 +381,7 @@ def keep_one_of_each(docs: DataFrame, n: int = WORDS, num: int = NUM, den: int =
     placed = materialize(linked.unionByName(several).join(ids, "doc_id"), "placed")
     first = materialize(placed.groupBy("component_id").agg(F.min("place").alias("first")), "first")
     gone = placed.join(first, "component_id").where(F.col("place.row") != F.col("first.row")).select(F.col("doc_id").alias(row))
-    return rows.join(gone, row, "left_anti").drop(row)
+    return without_rows(rows, row, gone, docs.columns)
 
 
 def op8_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
