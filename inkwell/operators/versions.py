@@ -63,11 +63,13 @@ def update_after_fetch(state: DataFrame, fetched: DataFrame, key: str = "url") -
     )
 
 
-def fetch_chain(sightings: DataFrame, key: str, at: str, hours: float) -> DataFrame:
+def fetch_chain(sightings: DataFrame, key: str, at: str, hours: float, since: DataFrame | None = None) -> DataFrame:
     """key, at, fetched: a sighting fetches when the last fetch is `hours` old; skipped ones don't reset the clock.
 
     Ordered state that no window function holds. Rows are dealt and sorted by
-    key and walked in a stream, so a key of any length needs no memory.
+    key and walked in a stream, so a key of any length needs no memory. Rows
+    without key or time are left out. since: key and at of fetches that went
+    before, one row a key; they open their keys' walks, and aren't returned.
     """
     gap = int(hours * 3600e6)
     kind = sightings.schema[key].dataType.simpleString()
@@ -76,13 +78,17 @@ def fetch_chain(sightings: DataFrame, key: str, at: str, hours: float) -> DataFr
         held, last = None, 0
         for batch in batches:
             done = []
-            for k, t in zip(batch["k"].tolist(), batch["t"].tolist(), strict=True):
-                go = k != held or t - last >= gap
+            for k, t, new in zip(batch["k"].tolist(), batch["t"].tolist(), batch["new"].tolist(), strict=True):
+                go = not new or k != held or t - last >= gap
                 if go:
                     held, last = k, t
                 done.append(go)
-            yield pd.DataFrame({"k": batch["k"], "t": batch["t"], "fetched": done})
+            yield batch[["k", "t"]].assign(fetched=done)[batch["new"]]
 
-    rows = sightings.select(F.col(key).alias("k"), F.unix_micros(F.col(at).cast("timestamp")).alias("t")).where("k is not null and t is not null")
-    walked = rows.repartition("k").sortWithinPartitions("k", "t").mapInPandas(run, f"k {kind}, t long, fetched boolean")
+    def rows(df: DataFrame, new: bool) -> DataFrame:
+        named = df.select(F.col(key).alias("k"), F.unix_micros(F.col(at).cast("timestamp")).alias("t"), F.lit(new).alias("new"))
+        return named.where("k is not null and t is not null")
+
+    todo = rows(sightings, True) if since is None else rows(since, False).unionByName(rows(sightings, True))
+    walked = todo.repartition("k").sortWithinPartitions("k", "new", "t").mapInPandas(run, f"k {kind}, t long, fetched boolean")
     return walked.select(F.col("k").alias(key), F.timestamp_micros("t").alias(at), "fetched")

@@ -73,8 +73,8 @@ def stream_fetch_gate(spark, sf_dir):
     """The re-fetch chain as a stream: all events that are there, state by user."""
     events = stream(spark, sf_dir, "events")
     to = f"{shared_dir(spark)}/inkwell/gate-{uuid.uuid4().hex}"
-    gate = sightings.fetch_gate(events, "user_id", "ts", 6.0)
-    gate.writeStream.format("parquet").option("path", f"{to}/out").option("checkpointLocation", f"{to}/state").trigger(availableNow=True).start().awaitTermination()
+    gate = sightings.gate_each(to, "user_id", "ts", 6.0)
+    events.select("user_id", "ts").writeStream.foreachBatch(gate).option("checkpointLocation", f"{to}/progress").trigger(availableNow=True).start().awaitTermination()
     out = spark.read.schema(sightings.FETCHED).parquet(f"{to}/out")
     return out.groupBy(F.col("key").cast("long").alias("user_id")).agg(F.count_if("fetched").alias("fetches"), F.count(F.lit(1)).alias("sightings"))
 

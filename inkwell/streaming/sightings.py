@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from inkwell.operators.versions import fetch_chain
+
+LAST = "key string, at timestamp"
 FETCHED = "key string, at timestamp, fetched boolean"
 VERSIONED = "key string, at timestamp, content_hash string, status string, version_number long"
 
@@ -38,6 +41,27 @@ def fetch_gate(sightings: DataFrame, key: str, at: str, hours: float = 6.0) -> D
     return named.groupBy("key").applyInPandasWithState(step, FETCHED, "last long", "append", GroupStateTimeout.NoTimeout)
 
 
+def gate_each(folder: str, key: str, at: str, hours: float = 6.0) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function: the gate's rows of a batch go to folder/out/batch=N, each key's last fetch to folder/state-0 or -1.
+
+    A batch reads the state that the one before wrote and leaves it alone, so a
+    batch that comes again after a failure gives the same rows once more.
+    Sightings without key or time are left out.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        read = batch.sparkSession.read
+        named = batch.select(F.col(key).cast("string").alias("key"), F.col(at).cast("timestamp").alias("at"))
+        before = read.schema(LAST).parquet(f"{folder}/state-{(number - 1) % 2}") if number else None
+        to = f"{folder}/out/batch={number}"
+        fetch_chain(named, "key", "at", hours, before).write.mode("overwrite").parquet(to)
+        fetched = read.schema(FETCHED).parquet(to).where("fetched").select("key", "at")
+        known = fetched if before is None else fetched.unionByName(before)
+        known.groupBy("key").agg(F.max("at").alias("at")).write.mode("overwrite").parquet(f"{folder}/state-{number % 2}")
+
+    return each
+
+
 def versions(fetches: DataFrame, key: str, at: str, hash_col: str = "content_hash") -> DataFrame:
     """Change status and version number for a stream of fetches."""
 

@@ -207,6 +207,27 @@ def test_streams(spark, tmp_path):
     assert sorted((r["at"].hour, r.status, r.version_number) for r in numbers) == [(0, "NEW", 1), (3, "UNCHANGED", 1), (6, "CHANGED", 2), (8, "UNCHANGED", 2), (13, "CHANGED", 3)]
 
 
+def test_gate_of_batches(spark, tmp_path):
+    start = datetime(2026, 1, 1)
+    batches = [
+        [("u", start), ("u", start + timedelta(hours=5)), ("v", start), (None, start), ("w", None)],
+        [("u", start + timedelta(hours=6)), ("u", start + timedelta(hours=6)), ("u", start + timedelta(hours=-1))],
+        [],
+        [("v", start + timedelta(hours=5)), ("u", start + timedelta(hours=11)), ("u", start + timedelta(hours=12)), ("x", start)],
+    ]
+    each = sightings.gate_each(str(tmp_path), "k", "t")
+    want, last = [], {}
+    for number, rows in enumerate(batches):
+        for _ in range(2):
+            each(spark.createDataFrame(rows, "k string, t timestamp"), number)
+        for k, t in sorted((r for r in rows if None not in r)):
+            go = k not in last or t - last[k] >= timedelta(hours=6)
+            last[k] = t if go else last[k]
+            want.append((k, t, go, number))
+    got = spark.read.schema(sightings.FETCHED).parquet(str(tmp_path / "out"))
+    assert sorted(tuple(r) for r in got.select("key", "at", "fetched", "batch").collect()) == sorted(want)
+
+
 def test_stream_of_a_table_in_several_files(spark, tmp_path):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     events.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
