@@ -5,9 +5,10 @@ characters of secret-like alphabets is a candidate. A small convolutional
 network in numpy reads every candidate, base ones too, with its surrounding
 characters and says how likely it is a secret. The network is trained on
 labelled findings that a seeded generator makes (the tables hold none): random
-keys in several alphabets against words, names, paths, numbers and repeated
-characters, both in contexts of either kind. The reporting threshold is calibrated on a part that training
-doesn't see: the largest that keeps RECALL of its secrets.
+keys in several alphabets, of one case too, against words, names, paths,
+numbers and repeated characters, both in contexts of either kind. The reporting
+threshold is calibrated on a part that training doesn't see: the largest that
+keeps RECALL of its secrets.
 
 Candidates longer than the window are read in overlapping windows, and the
 largest value counts, so none is cut.
@@ -40,10 +41,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "network")
 
-#: Runs of this length and more, with a digit or a change of case, are candidates.
+#: Runs of this length and more are candidates.
 MIN_LEN = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
-_MIXED = re.compile(r"[0-9]|[a-z][A-Z]")
 #: Characters before, of, and after a candidate in one window.
 BEFORE, OF, AFTER = 24, 40, 8
 WIDTH = BEFORE + OF + AFTER
@@ -68,7 +68,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    return [m.span() for m in CANDIDATE.finditer(text) if _MIXED.search(m[0])]
+    return [m.span() for m in CANDIDATE.finditer(text)]
 
 
 def windows(text: str, start: int, end: int) -> list[str]:
@@ -165,6 +165,7 @@ def labelled_findings(n: int, seed: int) -> tuple[list[tuple[str, int, int]], np
     alnum = string.ascii_letters + string.digits
     syllables = ["th", "er", "an", "on", "re", "ti", "es", "en", "at", "ed", "nd", "ou", "le", "la", "que", "der", "ein", "ung", "con", "ment", "tion", "aire", "ado", "key", "set", "get", "user", "data", "list", "path"]
     word = lambda: "".join(pick(syllables) for _ in range(int(rng.integers(1, 5))))
+    long_word = lambda: "".join(pick(syllables) for _ in range(int(rng.integers(6, 11))))
     secret = [
         lambda: rand(alnum, int(rng.integers(20, 60))),
         lambda: rand(alnum + "+/", 4 * int(rng.integers(6, 16))) + pick(["", "=", "=="]),
@@ -172,6 +173,7 @@ def labelled_findings(n: int, seed: int) -> tuple[list[tuple[str, int, int]], np
         lambda: pick(["ghp_", "sk_live_", "xoxb-", "glpat-", "key-", "AIza"]) + rand(alnum, int(rng.integers(20, 40))),
         lambda: rand(string.ascii_uppercase + string.digits, int(rng.integers(20, 40))),
         lambda: ".".join(rand(alnum + "_-", int(rng.integers(16, 40))) for _ in range(3)),
+        lambda: rand(pick([string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters]), int(rng.integers(16, 40))),
     ]
     plain = [
         lambda: "_".join(word() for _ in range(int(rng.integers(3, 7)))) + str(int(rng.integers(10))),
@@ -184,13 +186,17 @@ def labelled_findings(n: int, seed: int) -> tuple[list[tuple[str, int, int]], np
         lambda: (word() + word().upper() + word() + word() + str(int(rng.integers(100)))).ljust(16, "e"),
         lambda: f"20{rand('012', 2)}-0{rand('123456789', 1)}-1{rand(string.digits, 1)}T{rand('01', 2)}:00".replace(":", ".") + ".000",
         lambda: (word() * 8)[:20] + rand(string.digits, 2),
+        lambda: long_word() + pick(["", ".", ".", "s"]),
+        lambda: pick([str.lower, str.upper, str.capitalize])(long_word()) + pick(["", "."]),
+        lambda: pick("-=_./").join(word() for _ in range(int(rng.integers(4, 9)))),
+        lambda: pick("-=_./+") * int(rng.integers(16, 80)),
     ]
     found, y = [], []
     for k in range(n):
         is_secret = k % 2
         body = pick(secret if is_secret else plain)()
-        if len(body) < MIN_LEN or not _MIXED.search(body):
-            body = body.ljust(MIN_LEN, "0") + "1"
+        while len(body) < MIN_LEN:
+            body += body
         hint = pick(["key = ", "Authorization: Bearer ", "credential: ", "auth=", "private_key: \"", "client_id='"])
         prose = " ".join(word() for _ in range(5)) + " "
         before = prose + (hint if rng.random() < (0.5 if is_secret else 0.1) else "")

@@ -85,3 +85,33 @@ def test_long_candidates_are_read_whole():
 def test_overlaps_are_not_reported_twice():
     base = [(0, 0, 10), (2, 2, 30), (50, 1, 60)]
     assert secrets.apart([(5, 20), (25, 40), (30, 45), (45, 51), (60, 70)], base) == [(30, 45), (60, 70)]
+
+
+def test_runs_of_one_case_are_read():
+    text = "x " + "qzxvkjwpqmzxrtbvkq" + " understandingly-" + " " + "-" * 20
+    assert secrets.candidates(text) == [(2, 20), (21, 37), (38, 58)]
+    net = secrets.trained()
+    found, y = secrets.labelled_findings(3000, 99)
+    of_one = [not re.search(r"[0-9]|[a-z][A-Z]", t[a:b]) for t, a, b in found]
+    p = np.array([secrets.values(t, [(a, b)], net)[0] for (t, a, b), one in zip(found, of_one, strict=True) if one])
+    y = y[np.array(of_one)]
+    assert (y == 1).sum() > 50 and (y == 0).sum() > 50
+    assert (p[y == 1] >= net.threshold).mean() > 0.75
+    assert (p[y == 0] >= net.threshold).mean() < 0.02
+
+
+def test_convolution_against_a_loop():
+    net = secrets.trained()
+    found, _ = secrets.labelled_findings(3, 7)
+    x = secrets.encode([secrets.windows(*f)[0] for f in found])
+    for row, score in zip(x, net.scores(x), strict=True):
+        hidden = []
+        for at in range(secrets.WIDTH - secrets.KERNEL + 1):
+            window = row[at : at + secrets.KERNEL].ravel()
+            hidden.append([max(0.0, sum(float(v) * float(w) for v, w in zip(window, net.conv[:, k], strict=True)) + float(net.cbias[k])) for k in range(secrets.FILTERS)])
+        a, z = secrets.BEFORE, secrets.BEFORE + secrets.OF - secrets.KERNEL + 1
+        column = lambda rows, how: [how([r[k] for r in rows]) for k in range(secrets.FILTERS)]  # noqa: B023, E731
+        mean = lambda v: sum(v) / len(v)
+        pooled = column(hidden[:a], max) + column(hidden[a:z], mean) + column(hidden[a:z], max) + column(hidden[z:], max)
+        total = sum(v * float(w) for v, w in zip(pooled, net.w, strict=True)) + net.b
+        assert abs(1 / (1 + np.exp(-total)) - score) < 1e-4
