@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from inkwell.llm import bpe, exact, idfiles, langid, licenses, mixing, ngrams, quality, rules, secrets
+from inkwell.llm import bpe, exact, idfiles, langid, licenses, mixing, ngrams, quality, ranked, rules, secrets
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": ngrams.op8_ngram_jaccard_join,
     "op9_quality_score": quality.op9_quality_score,
     "op10_exact_dedup": exact.op10_exact_dedup,
+    "op11_ranked_search": ranked.op11_ranked_search,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -23,4 +24,5 @@ ORACLES = {
     "op6_quality_rules": rules.OP6_SQL,
     "op8_ngram_jaccard_join": ngrams.OP8_SQL,
     "op10_exact_dedup": exact.OP10_SQL,
+    "op11_ranked_search": ranked.OP11_SQL,
 }
