@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from inkwell.llm import bpe, exact, idfiles, langid, licenses, mixing, ngrams, quality, ranked, rules, secrets
+from inkwell.llm import bpe, exact, idfiles, langid, licenses, manifest, mixing, ngrams, quality, ranked, rules, secrets
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_quality_score": quality.op9_quality_score,
     "op10_exact_dedup": exact.op10_exact_dedup,
     "op11_ranked_search": ranked.op11_ranked_search,
+    "op12_merkle_manifest": manifest.op12_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -25,4 +26,5 @@ ORACLES = {
     "op8_ngram_jaccard_join": ngrams.OP8_SQL,
     "op10_exact_dedup": exact.OP10_SQL,
     "op11_ranked_search": ranked.OP11_SQL,
+    "op12_merkle_manifest": manifest.OP12_SQL,
 }
