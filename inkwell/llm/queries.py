@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from inkwell.llm import bpe, exact, idfiles, langid, licenses, manifest, mixing, ngrams, quality, ranked, rules, secrets
+from inkwell.llm import bpe, exact, idfiles, langid, licenses, manifest, mixing, ngrams, quality, ranked, rules, secrets, urlfilter
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_exact_dedup": exact.op10_exact_dedup,
     "op11_ranked_search": ranked.op11_ranked_search,
     "op12_merkle_manifest": manifest.op12_merkle_manifest,
+    "op13_url_filter": urlfilter.op13_url_filter,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {

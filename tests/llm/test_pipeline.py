@@ -87,4 +87,4 @@ def test_queries_with_sql(spark, name):
 
 def test_one_query_for_every_operator():
     found = sorted(int(m[1]) for m in (re.match(r"op(\d+)_", q) for q in queries.QUERIES) if m)
-    assert found == list(range(1, 13)) and "pipeline" in queries.QUERIES
+    assert found == list(range(1, 14)) and "pipeline" in queries.QUERIES
