@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession
 from inkwell.functions.dates import LOCAL
 from inkwell.plans import collection, stage1
 from inkwell.sources import sinks
-from inkwell.sources.readers import STATE, read_staged
+from inkwell.sources.readers import read_staged
 from inkwell.sources.rules import load_rules
 
 
@@ -59,14 +59,10 @@ def collect(spark: SparkSession, a: argparse.Namespace) -> None:
     """A failing source leaves its status; the state moves only after a run that ended."""
     now = datetime.now(UTC)
     run_id = f"{now.astimezone(ZoneInfo(LOCAL)):%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
-    held = sinks.current_snapshot(spark, a.state)
-    state = spark.read.schema(STATE).parquet(held) if held else spark.createDataFrame([], STATE)
     pages = spark.read.parquet(a.pages) if a.pages else None
 
     def job():
-        row, after = collection.run(spark, a.source, spark.read.parquet(a.sections), state, a.day, now.isoformat(timespec="seconds"), run_id, a.raw, a.staged, pages)
-        sinks.write_snapshot(after, a.state, run_id)
-        return row
+        return collection.run_stored(spark, a.source, spark.read.parquet(a.sections), a.state, a.day, now.isoformat(timespec="seconds"), run_id, a.raw, a.staged, pages)
 
     statuses = collection.run_sources(spark, {a.source: job}, run_id)
     sinks.write_statuses(statuses, a.statuses)

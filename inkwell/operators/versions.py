@@ -14,12 +14,22 @@ def change_status(previous: Column, current: Column) -> Column:
     return F.when(previous.isNull(), "NEW").when(previous != current, "CHANGED").otherwise("UNCHANGED")
 
 
-def with_changes(fetches: DataFrame, key: str, order: str, hash_col: str = "content_hash") -> DataFrame:
-    """status against the key's fetch before, and the version that this gives."""
-    w = W.partitionBy(key).orderBy(order)
-    labelled = fetches.withColumn("status", change_status(F.lag(hash_col).over(w), F.col(hash_col)))
+def with_changes(fetches: DataFrame, key: str, order: str | list[str], hash_col: str = "content_hash", before: DataFrame | None = None) -> DataFrame:
+    """status against the key's fetch before, and the version that this gives.
+
+    before: key, hash_before and version_before, one row a key: what went before
+    the first of these fetches. Without it each key's first fetch is NEW.
+    """
+    w = W.partitionBy(key).orderBy(*([order] if isinstance(order, str) else order))
+    if before is None:
+        begun, previous, version = fetches, F.lag(hash_col).over(w), F.lit(0)
+    else:
+        begun = fetches.join(before, key, "left")
+        previous, version = F.coalesce(F.lag(hash_col).over(w), F.col("hash_before")), F.coalesce("version_before", F.lit(0))
+    labelled = begun.withColumn("status", change_status(previous, F.col(hash_col)))
     changed = (F.col("status") != "UNCHANGED").cast("long")
-    return labelled.withColumn("version_number", F.sum(changed).over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    counted = labelled.withColumn("version_number", version + F.sum(changed).over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    return counted.drop("hash_before", "version_before")
 
 
 def latest(records: DataFrame, identity: list[str], version: str, modified: str, path: str) -> DataFrame:

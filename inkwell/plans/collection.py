@@ -60,66 +60,76 @@ def required(found: DataFrame, listing: Listing, run_day: str) -> DataFrame:
 
 
 def collect(candidates: DataFrame, pages: DataFrame, state: DataFrame, source_name: str, section_name: str, run_day: str, now: str) -> tuple[DataFrame, DataFrame]:
-    """(outcomes, state): what became of every candidate, and the state after the run.
+    """(outcomes, state): what became of every candidate, and the whole state after the run.
 
-    candidates: url, headline and, where the listing showed them,
-    published_at_hint and excerpt, which go to the article as its listing
-    columns. pages: url, final_url, html (null: the fetch failed). state: as in
-    readers.STATE, keyed by url; a listing URL and a canonical URL that differ
-    are two rows of it.
+    candidates: url, headline and, where the listing showed them, page and pos
+    (the order of fetches; else that of URLs), published_at_hint and excerpt,
+    which go to the article as its listing columns. pages: url, final_url, html
+    (null: the fetch failed). state: as in readers.STATE, keyed by url; a listing
+    URL and a canonical URL that differ are two rows of it.
     """
-    at = F.lit(now).cast("timestamp")
-    known = state.select(F.col("url"), F.lit(True).alias("known"), "last_fetched_at")
+    outcomes, touched = _collected(candidates, pages, lambda urls: state, source_name, section_name, run_day, now)
+    return outcomes, state.join(touched.select("url"), "url", "left_anti").unionByName(touched)
+
+
+def _collected(candidates: DataFrame, pages: DataFrame, state_of: Callable[[DataFrame], DataFrame], source_name: str, section_name: str, run_day: str, now: str) -> tuple[DataFrame, DataFrame]:
+    """collect with the state's rows of given urls at hand: (outcomes, the state's rows that the run touched).
+
+    Articles that are accepted meet what was stored of their canonical URL in the
+    order of fetches, one after another: of two listings of one page the second
+    is UNCHANGED, or the next version.
+    """
+    at, day = F.lit(now).cast("timestamp"), F.lit(run_day).cast("date")
+    order = [c for c in ("page", "pos") if c in candidates.columns]
+    listed = candidates.select("url", "headline", F.struct(*order, "url").alias("place"))
+    known = state_of(listed.select("url"))
     # candidates are marked as seen before the gate, so a first contact is NEVER_FETCHED
-    asked = candidates.select("url", "headline").join(known, "url", "left").withColumn("reason", validation.fetch_reason(F.lit(True), F.col("last_fetched_at"), at))
+    asked = listed.join(known.select("url", "last_fetched_at"), "url", "left").withColumn("reason", validation.fetch_reason(F.lit(True), F.col("last_fetched_at"), at))
     due = asked.where("reason <> 'RECENTLY_FETCHED'").select("url").join(pages, "url", "left")
     shown = candidates.select(F.col("url").alias("source_url"), F.col("headline").alias("listing_headline"), *[(F.col(c) if c in candidates.columns else F.lit(None).cast("string")).alias(f"listing_{to}") for c, to in (("published_at_hint", "published_at"), ("excerpt", "excerpt"))])
     fetched = materialize(validation.validate(extraction.extract_articles(due.where("html is not null"), source_name, section_name, now)), "fetched")
-    before = state.select(F.col("url").alias("canonical_url"), F.col("content_hash").alias("hash_before"), "version_number")
-    day = F.lit(run_day).cast("date")
     published = dates.article_date(F.col("published_at"))
-    judged = fetched.join(shown, "source_url", "left").join(before, "canonical_url", "left").withColumns({"gate": validation.gate_outcome(published, F.col("validation.valid"), day), "status": versions.change_status(F.col("hash_before"), F.col("content_hash"))})
-    judged = judged.withColumn("intake_status", validation.intake_status(published, F.col("status"), day))
-    label = F.when(F.col("gate") != "ACCEPTED", F.col("gate")).when(F.col("intake_status") == "LATE_DISCOVERY", "LATE").otherwise(F.col("status"))
-    judged = materialize(judged.withColumn("outcome", label), "judged")
-    rest = asked.join(judged.select(F.col("source_url").alias("url")).distinct(), "url", "left_anti").select("url", F.when(F.col("reason") == "RECENTLY_FETCHED", F.col("reason")).otherwise("FETCH_FAILED").alias("outcome"))
-    outcomes = judged.withColumnRenamed("source_url", "url").unionByName(rest, allowMissingColumns=True)
-
-    seen = candidates.select("url", F.col("url").alias("_source"), F.nullif("headline", F.lit("")).alias("_headline"))
-    accepted = judged.where("gate = 'ACCEPTED'").groupBy(F.col("canonical_url").alias("url")).agg(
-        F.max_by(F.struct("source_url", "headline", "content_hash", "published_at", (F.col("status") != "UNCHANGED").alias("changed")), "source_url").alias("f")
-    )
-    joined = state.join(seen, "url", "full").join(accepted, "url", "full")
-    touched = F.col("_source").isNotNull() | F.col("f").isNotNull()
-    after = joined.select(
+    gated = fetched.join(shown, "source_url", "left").join(listed.select(F.col("url").alias("source_url"), "place"), "source_url").withColumn("gate", validation.gate_outcome(published, F.col("validation.valid"), day))
+    stored = state_of(fetched.select(F.col("canonical_url").alias("url")))
+    before = stored.select(F.col("url").alias("canonical_url"), F.col("content_hash").alias("hash_before"), F.col("version_number").alias("version_before"))
+    folded = versions.with_changes(gated.where("gate = 'ACCEPTED'"), "canonical_url", "place", before=before)
+    folded = folded.withColumn("intake_status", validation.intake_status(published, F.col("status"), day))
+    label = F.when(F.col("intake_status") == "LATE_DISCOVERY", "LATE").otherwise(F.col("status"))
+    judged = folded.withColumn("outcome", label).unionByName(gated.where("gate <> 'ACCEPTED'").withColumn("outcome", F.col("gate")), allowMissingColumns=True)
+    judged = materialize(judged, "judged")
+    rest = asked.join(judged.select(F.col("source_url").alias("url")), "url", "left_anti").select("url", F.when(F.col("reason") == "RECENTLY_FETCHED", F.col("reason")).otherwise("FETCH_FAILED").alias("outcome"))
+    outcomes = judged.drop("place").withColumnRenamed("source_url", "url").unionByName(rest, allowMissingColumns=True)
+
+    seen = listed.select("url", F.col("url").alias("_source"), F.nullif("headline", F.lit("")).alias("_headline"))
+    accepted = judged.where("gate = 'ACCEPTED'").groupBy(F.col("canonical_url").alias("url")).agg(F.max_by(F.struct("source_url", "headline", "content_hash", "published_at", "version_number"), "place").alias("f"))
+    held = known.unionByName(stored).dropDuplicates(["url"])
+    joined = seen.join(accepted, "url", "full").join(held, "url", "left")
+    touched = joined.select(
         "url",
         F.coalesce("f.source_url", "source_url", "_source").alias("source_url"),
         F.coalesce(F.col("f.headline"), F.col("_headline"), F.col("headline")).alias("headline"),
         F.coalesce(F.col("f.content_hash"), F.col("content_hash")).alias("content_hash"),
         F.coalesce(F.col("f.published_at"), F.col("published_at")).alias("published_at"),
         F.coalesce("first_seen_at", F.lit(now)).alias("first_seen_at"),
-        F.when(touched, F.lit(now)).otherwise(F.col("last_seen_at")).alias("last_seen_at"),
+        F.lit(now).alias("last_seen_at"),
         F.when(F.col("f").isNotNull(), F.lit(now)).otherwise(F.col("last_fetched_at")).alias("last_fetched_at"),
-        (F.coalesce("version_number", F.lit(0)) + F.coalesce(F.col("f.changed"), F.lit(False)).cast("long")).alias("version_number"),
+        F.coalesce(F.col("f.version_number"), F.col("version_number"), F.lit(0)).cast("long").alias("version_number"),
     )
-    return outcomes, after
+    return outcomes, touched
 
 
 def stage(outcomes: DataFrame, pages: DataFrame, source_key: str, run_day: str, raw_path: str, staged_path: str) -> None:
-    """Store what a run accepted as new or changed: pages as they came, and staged articles with their listing columns."""
+    """Store what a run accepted as new or changed: pages as they came, and staged articles with their listing columns.
+
+    Both are keyed by page and version, so a run that broke off before its state
+    was stored may come again.
+    """
     day = F.lit(run_day).cast("date")
-    stored = outcomes.where("gate = 'ACCEPTED' and status <> 'UNCHANGED'").withColumns(
-        {
-            "source": F.lit(source_key),
-            "run_date": F.lit(run_day),
-            "article_id": text.url_hash(F.col("canonical_url")),
-            "version_name": text.version_name(F.coalesce("version_number", F.lit(0)) + 1),
-        }
-    )
+    stored = outcomes.where("gate = 'ACCEPTED' and status <> 'UNCHANGED'").withColumns({"source": F.lit(source_key), "run_date": F.lit(run_day), "article_id": text.url_hash(F.col("canonical_url")), "version_name": text.version_name(F.col("version_number"))})
     sinks.write_raw_pages(stored.select("source", "run_date", "article_id", "version_name", "url").join(pages.select("url", "html"), "url").drop("url"), raw_path)
     articles = stored.withColumnRenamed("url", "source_url").withColumns(
         {
-            "article_version": (F.coalesce("version_number", F.lit(0)) + 1).cast("string"),
+            "article_version": F.col("version_number").cast("string"),
             "collection_status": F.col("status"),
             "collection_run_date": F.lit(run_day),
             "collection_window_start": dates.window_start(day).cast("string"),
@@ -132,17 +142,43 @@ def stage(outcomes: DataFrame, pages: DataFrame, source_key: str, run_day: str,
 
 
 def run(spark, source_key: str, section_pages: DataFrame, state: DataFrame, run_day: str, now: str, run_id: str, raw_path: str, staged_path: str, pages: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(status row, state): a source's run from its section pages to stored articles.
+    """(status row, state): a source's run from its section pages to stored articles, over a whole state.
 
     pages: as in collect; without them the candidates' pages are fetched.
     """
+    outcomes, touched = _run(source_key, section_pages, lambda urls: state, run_day, now, raw_path, staged_path, pages)
+    after = state.join(touched.select("url"), "url", "left_anti").unionByName(touched)
+    return status(outcomes, source_key, run_id), materialize(after, "state")
+
+
+def run_stored(spark, source_key: str, section_pages: DataFrame, state_root: str, run_day: str, now: str, run_id: str, raw_path: str, staged_path: str, pages: DataFrame | None = None) -> DataFrame:
+    """The same over a stored state: the status row. Only the state's buckets that the run's URLs fall in are read and written."""
+    outcomes, touched = _run(source_key, section_pages, lambda urls: readers.state_of(spark, state_root, urls), run_day, now, raw_path, staged_path, pages)
+    sinks.write_state(touched, state_root)
+    return status(outcomes, source_key, run_id)
+
+
+def collect_stored(candidates: DataFrame, pages: DataFrame, state_root: str, source_key: str, section_name: str, run_day: str, now: str, raw_path: str, staged_path: str) -> DataFrame:
+    """collect over a stored state, with pages, staged articles and state written: the outcomes."""
+    spark = candidates.sparkSession
+    outcomes, touched = _stored(candidates, pages, lambda urls: readers.state_of(spark, state_root, urls), source_key, section_name, run_day, now, raw_path, staged_path)
+    sinks.write_state(touched, state_root)
+    return outcomes
+
+
+def _run(source_key: str, section_pages: DataFrame, state_of: Callable[[DataFrame], DataFrame], run_day: str, now: str, raw_path: str, staged_path: str, pages: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     listing = LISTINGS[source_key]
     found = materialize(required(discover(section_pages, listing), listing, run_day), "candidates")
     fetched = pages if pages is not None else materialize(readers.fetch_pages(found), "pages")
-    outcomes, after = collect(found, fetched, state, source_key, "business", run_day, now)
-    outcomes = materialize(outcomes, "outcomes")
-    stage(outcomes, fetched, source_key, run_day, raw_path, staged_path)
-    return status(outcomes, source_key, run_id), materialize(after, "state")
+    return _stored(found, fetched, state_of, source_key, "business", run_day, now, raw_path, staged_path)
+
+
+def _stored(candidates: DataFrame, pages: DataFrame, state_of: Callable[[DataFrame], DataFrame], source_key: str, section_name: str, run_day: str, now: str, raw_path: str, staged_path: str) -> tuple[DataFrame, DataFrame]:
+    """(outcomes, touched state) of candidates whose pages and articles are stored; the state isn't yet."""
+    outcomes, touched = _collected(candidates, pages, state_of, source_key, section_name, run_day, now)
+    outcomes, touched = materialize(outcomes, "outcomes"), materialize(touched, "touched")
+    stage(outcomes, pages, source_key, run_day, raw_path, staged_path)
+    return outcomes, touched
 
 
 def status(outcomes: DataFrame, source_key: str, run_id: str) -> DataFrame:

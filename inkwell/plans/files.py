@@ -66,18 +66,19 @@ def run_summary_file(spark, sf_dir):
 
 
 def analyses_files(spark, sf_dir):
-    """Analyses by date and source; a rerun of one source replaces its own alone."""
+    """Analyses by date and source; a rerun over a third of one source's articles replaces these alone."""
     path = _folder(spark)
-    d = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("source_slug"), F.lit("2026-09-14").alias("run_date"), F.lit(1).alias("attempt"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("article_id"), F.col("source").alias("source_slug"), F.lit("2026-09-14").alias("run_date"), F.substring_index("text", "\n", 1).alias("headline"), F.lit("1").alias("rules_version"))
     sinks.write_analyses(d, path)
-    sinks.write_analyses(d.where("source_slug = 'src1' and doc_id % 3 = 0").withColumn("attempt", F.lit(2)), path)
-    return spark.read.json(path).groupBy("source_slug", "attempt").agg(F.count(F.lit(1)).alias("analyses"), F.sum("doc_id").alias("ids"))
+    sinks.write_analyses(d.where("source_slug = 'src1' and article_id % 3 = 0").withColumn("rules_version", F.lit("2")), path)
+    back = readers.analyses(path).read(spark, run_date="2026-09-14")
+    return back.groupBy("source_slug", "rules_version").agg(F.count(F.lit(1)).alias("analyses"), F.sum(F.col("article_id").cast("long")).alias("ids"), F.sum(F.length("headline")).alias("headline_chars"))
 
 
 def raw_pages_files(spark, sf_dir):
     path = _folder(spark)
     sinks.write_raw_pages(table(spark, sf_dir, "pages").select(F.lit("s").alias("source"), F.lit("2026-09-14").alias("run_date"), F.col("page_id").cast("string").alias("article_id"), F.lit("v001").alias("version_name"), "html"), path)
-    return spark.read.parquet(path).select(F.col("article_id").cast("long").alias("page_id"), "version_name", F.sha2("html", 256).alias("html_sha256"))
+    return readers.raw_pages(path).read(spark).select(F.col("article_id").cast("long").alias("page_id"), "version_name", F.sha2("html", 256).alias("html_sha256"))
 
 
 def diagnosis_file(spark, sf_dir):
@@ -117,8 +118,9 @@ SELECT n_name AS source_key, CASE WHEN n_nationkey % 2 = 0 THEN 'HEALTHY' ELSE '
        count(*) FILTER (n_nationkey % 5 <> 0) OVER () AS successful_sources, count(*) FILTER (n_nationkey % 2 = 0) OVER () AS healthy_sources
 FROM nation""",
     "analyses_files": """
-SELECT source AS source_slug, CASE WHEN source = 'src1' THEN 2 ELSE 1 END::BIGINT AS attempt, count(*) AS analyses, sum(doc_id)::BIGINT AS ids
-FROM documents WHERE source <> 'src1' OR doc_id % 3 = 0 GROUP BY 1, 2""",
+SELECT source AS source_slug, CASE WHEN source = 'src1' AND doc_id % 3 = 0 THEN '2' ELSE '1' END AS rules_version, count(*) AS analyses, sum(doc_id)::BIGINT AS ids,
+       sum(length(split_part(text, chr(10), 1)))::BIGINT AS headline_chars
+FROM documents GROUP BY 1, 2""",
     "raw_pages_files": "SELECT page_id, 'v001' AS version_name, sha256(html) AS html_sha256 FROM pages",
     "diagnosis_file": """
 WITH s AS (

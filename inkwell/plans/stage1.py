@@ -46,7 +46,7 @@ def run(spark, staged_root: str, sources: list[str], target_date: str, rules: Ru
     annotations = materialize(selection.last_annotations(readers.read_annotations(spark, review_path), "place"), "annotations")
     if good.isEmpty():
         return rollup.gate_counts(scored.withColumn("gate_decision", F.when(F.col("failure").isNull(), F.col("gate_decision"))))
-    sinks.write_analyses(good.drop("validation", "failure", "corrupt"), analyses_path)
+    sinks.write_analyses(good.withColumnRenamed("path", "input_file"), analyses_path)
     empty = good.withColumns({"human_label": F.lit(None).cast("string"), "review_notes": F.lit(None).cast("string")})
     labelled = selection.merge_annotations(empty, annotations)
     file = F.concat(F.lit(f"{analyses_path}/run_date={target_date}/source_slug="), F.col("source_slug"), F.lit("/"), F.col("article_id"))

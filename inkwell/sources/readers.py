@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from inkwell.functions import text
 from inkwell.session import ship
+from inkwell.sources.keyed import Keyed
 
 STAGED = (
     "source_name string, section_name string, source_url string, final_url string, canonical_url string, headline string, subheadline string, author string, "
@@ -16,6 +17,12 @@ STAGED = (
     "collection_status string, intake_status string, collection_run_date string, collection_window_start string, collection_window_end string, collection_mode string, "
     "listing_headline string, listing_published_at string, listing_excerpt string, validation struct<valid:boolean,errors:array<string>,warnings:array<string>>"
 )
+ANALYSIS = (
+    "article_id string, processed_at string, input_file string, source_name string, section_name string, headline string, published_at string, source_url string, "
+    "canonical_url string, content_hash string, article_version string, collection_status string, intake_status string, collection_run_date string, rules_version string, "
+    "financial_score double, financial_label string, pr_score double, pr_label string, article_type_hint string, gate_decision string, institutions array<string>, "
+    "matched_financial_terms array<struct<name:string,terms:array<string>>>, matched_pr_terms array<struct<name:string,terms:array<string>>>, pr_counter_signals array<string>, reasons array<string>"
+)
 ANNOTATIONS = "source_url string, human_label string, review_notes string"
 STATE = "url string, source_url string, headline string, content_hash string, published_at string, first_seen_at string, last_seen_at string, last_fetched_at string, version_number long"
 STATUS = (
@@ -26,15 +33,56 @@ STATUS = (
 )
 
 
+#: Parts that a state is dealt to by its URLs.
+BUCKETS = 256
+
+
+def raw_pages(root: str) -> Keyed:
+    """Pages as they came, one a version of an article and run date."""
+    return Keyed(root, "article_id string, version_name string, html string", ("source", "run_date"), ("article_id", "version_name"))
+
+
+def staged(root: str) -> Keyed:
+    """Staged articles, one a version of a page and run date."""
+    return Keyed(root, STAGED, ("source", "run_date"), ("canonical_url", "article_version"), "json")
+
+
+def analyses(root: str) -> Keyed:
+    """Results of scoring, one an article and run date."""
+    return Keyed(root, ANALYSIS, ("run_date", "source_slug"), ("article_id",), "json")
+
+
+def state(root: str) -> Keyed:
+    """A collection's state, one row a URL."""
+    return Keyed(root, STATE, ("bucket",), ("url",))
+
+
+def bucket(url: Column) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(BUCKETS)).cast("string")
+
+
+def state_of(spark: SparkSession, root: str, urls: DataFrame) -> DataFrame:
+    """The rows (STATE) of the buckets that the given urls fall in."""
+    touched = sorted(r[0] for r in urls.select(bucket(F.col("url"))).distinct().collect())  # BUCKETS rows at most
+    return state(root).read(spark, bucket=touched).drop("bucket", "w", "file", "mtime")
+
+
 def read_staged(spark: SparkSession, root: str, sources: list[str], one_a_file: bool = True) -> DataFrame:
     """Staged article files of the sources' folders, with source, path, mtime and corrupt.
 
-    one_a_file: each file is one article; else one article a line, as
-    sinks.write_staged leaves them. A file (a line) that isn't a JSON object is a row with corrupt set, which the job
-    leaves out instead of failing.
+    one_a_file: each file is one article; else root is the table that
+    sinks.write_staged keeps, and sources may be given as its folders are named
+    (source=NAME). A file (a line) that isn't a JSON object is a row with
+    corrupt set, which the job leaves out instead of failing.
     """
+    if not one_a_file:
+        named = {s.removeprefix("source="): s for s in sources}
+        said = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
+        rows = staged(root).read(spark, source=list(named)).withColumn("source", said[F.col("source")])
+        nothing = F.coalesce("headline", "article_text", "source_url", "canonical_url").isNull()
+        return rows.withColumnRenamed("file", "path").withColumn("corrupt", nothing).drop("w", "run_date")
     found = (
-        spark.read.option("recursiveFileLookup", True).option("multiLine", one_a_file).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").option("pathGlobFilter", "*.json")
+        spark.read.option("recursiveFileLookup", True).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").option("pathGlobFilter", "*.json")
         .schema(f"{STAGED}, _corrupt string")
         .json([f"{root}/{s}" for s in sources])
     )

@@ -1,7 +1,8 @@
 """Writers: pages, staged articles, analyses, review files, state and statuses.
 
-Spark's committer makes each write whole. A rerun replaces the partitions that
-it writes and leaves the others.
+Spark's committer makes each write whole. Pages, staged articles, analyses and
+the state are keyed tables (sources.keyed): a rerun takes the place of the rows
+whose keys it writes and leaves all others.
 """
 
 from __future__ import annotations
@@ -9,8 +10,11 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from inkwell.functions import text
+from inkwell.sources import readers
+from inkwell.sources.keyed import Keyed
 
 # Columns of the review file, in order.
 REVIEW_COLUMNS = [
@@ -19,18 +23,20 @@ REVIEW_COLUMNS = [
 ]
 
 
-def _replace_partitions(df: DataFrame, path: str, by: list[str], form: str = "parquet") -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).format(form).save(path)
+def _merged(rows: DataFrame, to: Keyed) -> None:
+    """Merge rows into a keyed table; columns of the table that they lack are null."""
+    lacks = [f for f in StructType.fromDDL(to.schema) if f.name not in rows.columns]
+    to.merge(rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacks}))
 
 
 def write_raw_pages(pages: DataFrame, path: str) -> None:
-    """source, run_date, article_id, version_name, html."""
-    _replace_partitions(pages, path, ["source", "run_date"])
+    """source, run_date, article_id, version_name, html: beside what other runs of the day stored."""
+    _merged(pages, readers.raw_pages(path))
 
 
-def write_staged(articles: DataFrame, path: str, form: str = "json") -> None:
-    """New versions of articles beside the old ones; needs source and run_date."""
-    articles.write.mode("append").partitionBy("source", "run_date").format(form).save(path)
+def write_staged(articles: DataFrame, path: str) -> None:
+    """New versions of articles beside the old ones, each once however often it is staged; needs source and run_date."""
+    _merged(articles, readers.staged(path))
 
 
 def write_diagnosis(diagnosis: DataFrame, path: str, checked_at: str) -> None:
@@ -39,8 +45,8 @@ def write_diagnosis(diagnosis: DataFrame, path: str, checked_at: str) -> None:
 
 
 def write_analyses(analyses: DataFrame, path: str) -> None:
-    """One row an article of a run date, replaced on a rerun; needs run_date and source_slug."""
-    _replace_partitions(analyses, path, ["run_date", "source_slug"], "json")
+    """One row an article of a run date, replaced on a rerun that names it; needs run_date, source_slug and article_id."""
+    _merged(analyses, readers.analyses(path))
 
 
 def review_rows(scored: DataFrame, analysis_file: Column) -> DataFrame:
@@ -61,6 +67,14 @@ def write_review(rows: DataFrame, path: str) -> None:
     marked.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
 
 
+def write_state(touched: DataFrame, root: str) -> None:
+    """Rows (STATE) of a run, one a URL, into the stored state: only the buckets that they fall in are written."""
+    rows = touched.withColumn("bucket", readers.bucket(F.col("url")))
+    buckets = [(r[0],) for r in rows.select("bucket").distinct().collect()]  # BUCKETS rows at most
+    if buckets:
+        readers.state(root).rebuild(touched.sparkSession, buckets, lambda held: held.select(*rows.columns).join(rows.select("url"), "url", "left_anti").unionByName(rows).repartition("bucket"))
+
+
 def write_snapshot(state: DataFrame, root: str, run_id: str) -> str:
     """A whole state under its run's id; only when it is written it becomes the current one."""
     path = f"{root}/run={run_id}"

@@ -49,7 +49,7 @@ def test_scoring_job_keeps_labels(spark, files, tmp_path):
     spark.createDataFrame(held.fillna("")).coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(review)
     assert job()["exclude"] == 1
     assert spark.read.option("header", True).option("escape", '"').csv(review).first().review_notes == 'said "yes", twice'
-    assert spark.read.json(analyses).where("run_date = '2026-09-14'").count() == 1
+    assert readers.analyses(analyses).read(spark, run_date="2026-09-14").count() == 1
 
 
 def test_staged_files_and_dates(spark, files):
