@@ -3,10 +3,11 @@
 1. Leaves: every row is hashed where it lies. Rows of one language, id and leaf
    are one entry with a count; only ids and digests move.
 2. Ranks: an entry's place in its language comes from histograms of the digits
-   of its key, sixteen bits a digit: the id's four, then the leaf's first, for
-   ids that stand for many texts. A digit's start is the start of its prefix
-   and what its lesser siblings count. A window holds the siblings of one
-   prefix, 65,536 rows and the nulls at most; nothing is sorted as a whole.
+   of its key: three of sixteen bits and two of eight for the id, then the
+   leaf's first sixteen, for ids that stand for many texts. A digit's start is
+   the start of its prefix and what its lesser siblings count. A window holds
+   the siblings of one prefix: 65,536 and the nulls at most, 256 where ids are
+   dense; nothing is sorted as a whole.
 3. Trie: a rank's digits in base FANOUT name its node on every level. Leaves
    meet by their longest common prefix, LEVELS digits short (a cell of 512); a
    cell is reduced level by level and its top goes on to the cell above, so a
@@ -40,7 +41,7 @@ SPREAD = 4096
 #: The first digit of rows without id, below all others.
 NO_ID = -(1 << 15) - 1
 #: An entry's key from its longest digit group to the whole: the id's prefixes, the id, the leaf's start, the leaf.
-DIGITS = ["p48", "p32", "p16", "id", "l16", "leaf"]
+DIGITS = ["p48", "p32", "p16", "p8", "id", "l16", "leaf"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -68,7 +69,7 @@ def entries_of(rows: DataFrame, found: Column) -> DataFrame:
     i = F.col("doc_id")
     leaves = rows.select(
         F.coalesce(F.concat(F.lit("="), "lang"), F.lit("-")).alias("k"),
-        *[F.coalesce(F.shiftright(i, bits), F.lit(NO_ID)).cast("long").alias(f"p{bits}") for bits in (48, 32, 16)],
+        *[F.coalesce(F.shiftright(i, bits), F.lit(NO_ID)).cast("long").alias(f"p{bits}") for bits in (48, 32, 16, 8)],
         F.coalesce(i, F.lit(0)).cast("long").alias("id"),
         leaf_of(*columns, F.col("text")).alias("leaf"),
         F.when(changed, leaf_of(*columns, found)).alias("found"),
