@@ -1,63 +1,30 @@
-"""Facts of a web page: expressions where tags can be found by pattern, a small
-parser of the standard library, batch by batch, where nesting matters."""
+"""Facts of a web page, by expressions over what the tokenizer (functions.markup) finds in it."""
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
-from collections import Counter
-from collections.abc import Iterator
-from html.parser import HTMLParser
-from itertools import accumulate, islice
-
-import pandas as pd
-from pyspark.sql import Column, SparkSession
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkwell.functions import dates, text, urls
-from inkwell.session import ship
+from inkwell.functions import dates, markup, text, urls
 
 # The metadata that may hold a publication date, in order of trial.
 DATE_PROPERTIES = ["article:published_time", "og:published_time", "article:published"]
 DATE_NAMES = ["date", "datePublished", "datepublished", "publish-date", "publish_date", "publication_date", "publication-date", "pubdate", "article_date_original", "sailthru.date"]
 
-_VALUE = r"""(?:"([^"]*)"|'([^']*)')"""
-
-
-def unescaped(s: Column) -> Column:
-    """The five entities of markup and the no-break space."""
-    for entity, char in (("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        s = F.replace(s, F.lit(entity), F.lit(char))
-    return s
-
-
-def visible(fragment: Column) -> Column:
-    """Text of a fragment: tags as blanks, entities replaced, white space collapsed."""
-    return text.collapse(unescaped(F.regexp_replace(fragment, r"(?s)<!--.*?-->|<[^>]*>", " ")))
-
-
-def _attribute(tag: Column, name: str) -> Column:
-    p = rf"(?is)[\s\"'/]{re.escape(name)}\s*=\s*{_VALUE}"
-    return unescaped(F.concat(F.regexp_extract(tag, p, 1), F.regexp_extract(tag, p, 2)))
-
-
-def _tags(html: Column, name: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(rf"(?is)(<{name}\b[^>]*>)"), F.lit(1))
-
-
-def metas(html: Column) -> Column:
-    """array<struct<property, name, content>> of the meta tags."""
-    return F.transform(_tags(html, "meta"), lambda t: F.struct(_attribute(t, "property").alias("property"), _attribute(t, "name").alias("name"), text.stripped(_attribute(t, "content")).alias("content")))
+#: The parts of a page that its facts are taken from.
+PARTS = ("metas", "links", "times", "scripts", "h1", "title", "text")
 
 
 def meta_content(metas: Column, attribute: str, value: str) -> Column:
     """Content of the first meta tag whose attribute has the value; blank is null."""
-    return F.nullif(F.get(F.filter(metas, lambda m: m[attribute] == value), 0)["content"], F.lit(""))
+    first = F.get(F.filter(metas, lambda m: m[attribute] == value), 0)["content"]
+    return F.nullif(text.stripped(first), F.lit(""))
 
 
-def json_items(html: Column) -> Column:
+def json_items(scripts: Column) -> Column:
     """array<variant>: the items of all JSON-LD scripts; lists flat, a graph before its dict."""
-    scripts = F.regexp_extract_all(html, F.lit(r"""(?is)<script\b[^>]*type\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script>"""), F.lit(1))
     none = F.array().cast("array<variant>")
 
     def items(script: Column) -> Column:
@@ -79,18 +46,18 @@ def _string(v: Column, path: str) -> Column:
     return F.when(F.schema_of_variant(inner) == "STRING", F.nullif(text.stripped(F.try_variant_get(v, path, "string")), F.lit("")))
 
 
-def headline_of(metas: Column, items: Column, html: Column) -> Column:
+def headline_of(page: Column, items: Column) -> Column:
     """og:title, else JSON-LD headline, else h1, else title, else empty; cleaned."""
-    h1 = visible(F.regexp_extract(html, r"(?is)<h1\b[^>]*>(.*?)</h1>", 1))
-    return text.clean_headline(F.coalesce(meta_content(metas, "property", "og:title"), _first_string(items, "$.headline"), F.nullif(h1, F.lit("")), page_title(html)))
+    return text.clean_headline(F.coalesce(meta_content(page["metas"], "property", "og:title"), _first_string(items, "$.headline"), page["h1"], page["title"]))
 
 
-def subheadline_of(metas: Column, items: Column) -> Column:
+def subheadline_of(page: Column, items: Column) -> Column:
+    metas = page["metas"]
     found = F.coalesce(meta_content(metas, "property", "og:description"), meta_content(metas, "name", "description"), _first_string(items, "$.description"))
     return F.nullif(text.collapse(found), F.lit(""))
 
 
-def author_of(metas: Column, items: Column) -> Column:
+def author_of(page: Column, items: Column) -> Column:
     """Metadata, else JSON-LD: a name, a person's name, or a list of either."""
 
     def of_item(v: Column) -> Column:
@@ -98,204 +65,65 @@ def author_of(metas: Column, items: Column) -> Column:
         return F.coalesce(_string(v, "$.author.name"), F.nullif(F.array_join(F.array_compact(people), ", "), F.lit("")), _string(v, "$.author"))
 
     listed = F.get(F.array_compact(F.transform(items, of_item)), 0)
-    return F.coalesce(meta_content(metas, "name", "author"), meta_content(metas, "property", "article:author"), listed)
+    return F.coalesce(meta_content(page["metas"], "name", "author"), meta_content(page["metas"], "property", "article:author"), listed)
 
 
-def published_of(metas: Column, items: Column, html: Column) -> Column:
+def published_of(page: Column, items: Column) -> Column:
     """The first candidate that parses: metadata, JSON-LD, time tags; else a date in the text."""
+    metas = page["metas"]
     named = [meta_content(metas, "property", p) for p in DATE_PROPERTIES] + [meta_content(metas, "name", n) for n in DATE_NAMES]
     listed = F.transform(items, lambda v: F.try_variant_get(v, "$.datePublished", "string"))
-    times = F.regexp_extract_all(html, F.lit(r"(?is)(<time\b[^>]*>.*?</time>)"), F.lit(1))
-    timed = F.flatten(F.transform(times, lambda t: F.array(_attribute(F.regexp_extract(t, r"(?is)^(<time\b[^>]*>)", 1), "datetime"), visible(t))))
-    page = visible(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1>", " "))
-    in_text = F.transform(F.array(page), lambda s: F.array(*[dates.first_date_text(s, (p,)) for p in (dates.WITH_WEEKDAY, dates.DAY_FIRST, dates.MONTH_FIRST)]))[0]
+    timed = F.flatten(F.transform(page["times"], lambda t: F.array(t["datetime"], t["text"])))
+    in_text = F.transform(F.array(page["text"]), lambda s: F.array(*[dates.first_date_text(s, (p,)) for p in (dates.WITH_WEEKDAY, dates.DAY_FIRST, dates.MONTH_FIRST)]))[0]
     candidates = F.array_distinct(F.filter(F.concat(F.array(*named), listed, timed, in_text), lambda c: c.isNotNull() & (c != "")))
     return F.get(F.filter(F.transform(candidates, dates.parse_free_text), lambda d: d.isNotNull()), 0)
 
 
-def canonical_of(items: Column, html: Column, final_url: Column) -> Column:
+def canonical_of(page: Column, items: Column, final_url: Column) -> Column:
     """link rel=canonical, else JSON-LD url or mainEntityOfPage, else the final URL; normalised."""
-    link = F.get(F.filter(_tags(html, "link"), lambda t: F.lower(_attribute(t, "rel")) == "canonical"), 0)
+    link = F.get(F.filter(page["links"], lambda t: F.array_contains(t["rel"], "canonical")), 0)
     of_item = lambda v: F.coalesce(_string(v, "$.url"), _string(v, "$.mainEntityOfPage['@id']"), _string(v, "$.mainEntityOfPage"))
     listed = F.get(F.array_compact(F.transform(items, of_item)), 0)
-    return urls.normalize_url(F.coalesce(F.nullif(text.stripped(_attribute(link, "href")), F.lit("")), listed, final_url))
+    return urls.normalize_url(F.coalesce(F.nullif(text.stripped(link["href"]), F.lit("")), listed, final_url))
 
 
 def anchors(html: Column) -> Column:
     """array<struct<href, text>> of all links with a target, in order."""
-    found = F.regexp_extract_all(html, F.lit(r"""(?is)(<a\b[^>]*\bhref\s*=.*?</a>)"""), F.lit(1))
-    each = F.transform(found, lambda a: F.struct(_attribute(F.regexp_extract(a, r"(?is)^(<a\b[^>]*>)", 1), "href").alias("href"), visible(a).alias("text")))
-    return F.filter(each, lambda a: a["href"] != "")
+    return markup.parsed(html, "anchors")["anchors"]
 
 
 def page_title(html: Column) -> Column:
-    return F.nullif(visible(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title>", 1)), F.lit(""))
+    return markup.parsed(html, "title")["title"]
 
 
 def probe_words(html: Column, most: int = 200) -> Column:
-    """The first words of a page's visible text, without scripts and styles."""
-    plain = visible(F.regexp_replace(html, r"(?is)<(script|style|title)\b.*?</\1>", " "))
-    return F.array_join(F.slice(text.words(plain), 1, most), " ")
+    """The first words of a page's visible text, without scripts, styles and titles."""
+    return F.array_join(F.slice(text.words(markup.parsed(html, "shown")["shown"]), 1, most), " ")
 
 
 def access_class(status: Column) -> Column:
     return F.when(status == 200, "HTTP_ACCESS_OK").when(status == 403, "HTTP_ACCESS_BLOCKED").when(status.between(300, 399), "REDIRECT").otherwise(F.concat(F.lit("HTTP_"), status.cast("string")))
 
 
-# Elements that hold no article text, and elements that hold blocks of it.
-_ASIDE = {"script", "style", "noscript", "nav", "header", "footer", "aside", "form", "table", "figure", "button", "template", "svg", "title"}
-_BLOCKS = {"p", "h2", "h3", "h4", "li", "blockquote", "pre"}
-_ENDS_P = _BLOCKS | {"div", "ul", "ol", "dl", "table", "section", "article", "aside", "header", "footer", "nav", "form", "h1", "h5", "h6", "hr", "main"}
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-
-
-class _Outline(HTMLParser):
-    """Elements as (tag, parent, first text, end of text, last element inside) with the page's texts in order.
-
-    A block ends an open paragraph, an item the open item before it. Markup
-    that the parser can't read is a comment.
-    """
-
-    def __init__(self, page: str):
-        super().__init__(convert_charrefs=True)
-        self.tags, self.parents, self.spans, self.hrefs = ["#"], [-1], [[0, 0]], [None]
-        self.last, self.aside, self.texts = [0], [False], []
-        self.open, self.counts = [0], Counter()
-        try:
-            self.feed(page)
-            self.close()
-        except AssertionError:  # the standard parser's word for markup that it doesn't know
-            pass
-        self._close(0)
-        self.ends = list(accumulate((len(x) + 1 for x in self.texts), initial=0))
-
-    def parse_marked_section(self, i: int, report: int = 1) -> int:
-        at = self.rawdata.find(">", i + 3)
-        return at + 1 if at >= 0 else -1
-
-    def handle_starttag(self, tag, attrs):
-        if tag in _ENDS_P:
-            self.handle_endtag("p")
-        if tag == "li" and self.tags[self.open[-1]] == "li":
-            self.handle_endtag("li")
-        up = self.open[-1]
-        self.tags.append(tag)
-        self.parents.append(up)
-        self.spans.append([len(self.texts)] * 2)
-        self.last.append(len(self.tags) - 1)
-        self.aside.append(self.aside[up] or tag in _ASIDE)
-        self.hrefs.append(dict(attrs).get("href"))
-        if tag not in _VOID:
-            self.open.append(len(self.tags) - 1)
-            self.counts[tag] += 1
-
-    def handle_endtag(self, tag):
-        if self.counts[tag]:
-            depth = len(self.open) - 1
-            while self.tags[self.open[depth]] != tag:
-                depth -= 1
-            self._close(depth)
-
-    def _close(self, depth: int) -> None:
-        for k in self.open[depth:]:
-            self.spans[k][1], self.last[k] = len(self.texts), len(self.tags) - 1
-            self.counts[self.tags[k]] -= 1
-        del self.open[depth:]
-
-    def handle_data(self, data):
-        if self.tags[self.open[-1]] not in ("script", "style") and (words := data.split()):
-            self.texts.append(" ".join(words))
-
-    def length(self, k: int) -> int:
-        """Characters of said(k)."""
-        low, high = self.spans[k]
-        return max(0, self.ends[high] - self.ends[low] - 1)
-
-    def said(self, k: int) -> str:
-        return " ".join(self.texts[slice(*self.spans[k])])
-
-    def under(self, k: int) -> Iterator[int]:
-        while k >= 0:
-            yield k
-            k = self.parents[k]
-
-
-def _body(page: str | None) -> str:
-    o = _Outline(page or "")
-    blocks = [k for k, tag in enumerate(o.tags) if tag in _BLOCKS and not o.aside[k]]
-    inner = {o.parents[k] for k in blocks}
-    lines = [o.said(k) for k in blocks if k not in inner]
-    return "\n\n".join(x for x in lines if x)
-
-
-def _by_batch(f, kind: str, html: Column) -> Column:
-    """f over batches of pages; the workers get this package first."""
-    ship(SparkSession.active())
-    return F.pandas_udf(f, kind)(html)
-
-
-def _bodies(pages: pd.Series) -> pd.Series:
-    return pages.map(_body)
+def article_text(html: Column) -> Column:
+    """The main text of a page (markup.Page.body)."""
+    return markup.parsed(html, "body")["body"]
 
 
-def article_text(html: Column) -> Column:
-    """Blocks of text outside navigation, forms, tables and figures, a blank line between them."""
-    return _by_batch(_bodies, "string", html)
-
-
-def _near(page: str | None, levels: int, most: int, pattern: re.Pattern | None, shortest: int) -> list[dict]:
-    """For every link: the first fitting date and paragraph among its ancestors.
-
-    Lengths come from sums, so only texts of `most` characters are put together.
-    """
-    o, found = _Outline(page or ""), []
-    paragraphs = [k for k, tag in enumerate(o.tags) if tag == "p" and o.length(k) >= shortest]
-    for k, href in enumerate(o.hrefs):
-        if o.tags[k] != "a" or not href:
-            continue
-        date = excerpt = None
-        for u in islice(o.under(o.parents[k]), levels):
-            if not 0 < o.length(u) <= most:
-                continue
-            m = pattern.search(o.said(u)) if pattern else None
-            if pattern and not m:
-                continue
-            at = bisect_left(paragraphs, u)
-            excerpt = o.said(paragraphs[at]) if at < len(paragraphs) and paragraphs[at] <= o.last[u] else None
-            date = m[0] if m else None
-            if m or excerpt:
-                break
-        found.append({"href": href, "text": o.said(k), "date": date, "excerpt": excerpt})
-    return found
-
-
-_LINKS = "array<struct<href string, text string, date string, excerpt string>>"
 _WEEKDAY = re.compile(dates.WITH_WEEKDAY.replace("(?i)", ""), re.I)
 _MONTH = re.compile(dates.MONTH_FIRST.replace("(?i)", "").replace(r"(?:\s+\d{1,2}:\d{2})?", ""), re.I)
 
 
-def _dated(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda p: _near(p, 6, 1800, _WEEKDAY, 40))
-
-
-def _excerpted(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda p: _near(p, 6, 2500, None, 40))
-
-
-def _carded(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda p: _near(p, 7, 2200, _MONTH, 40))
-
-
 def links_with_dates(html: Column) -> Column:
     """Links with the weekday date of the nearest of six ancestors (1,800 characters at most) that shows one."""
-    return _by_batch(_dated, _LINKS, html)
+    return markup.near(html, 6, 1800, _WEEKDAY)
 
 
 def links_with_excerpts(html: Column) -> Column:
     """Links with the first paragraph of 40 characters in the nearest of six ancestors (2,500 at most)."""
-    return _by_batch(_excerpted, _LINKS, html)
+    return markup.near(html, 6, 2500, None)
 
 
 def links_with_cards(html: Column) -> Column:
     """Links with date and paragraph of the nearest of seven ancestors (2,200 at most) that shows a date."""
-    return _by_batch(_carded, _LINKS, html)
+    return markup.near(html, 7, 2200, _MONTH)

@@ -5,32 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.functions import html, text
+from inkwell.functions import html, markup, text
 
 
-def with_facts(pages: DataFrame, url: str = "url", markup: str = "html") -> DataFrame:
+def with_facts(pages: DataFrame, url: str = "url", markup_col: str = "html", *more: str) -> DataFrame:
     """pages with headline, subheadline, author, published_at and canonical_url.
 
-    The meta tags and the JSON-LD items are found once for a page and shared by
-    all fields.
+    A page is read once; the JSON-LD items are shared by all fields. more:
+    further parts of the page (markup.parsed) that become columns.
     """
-    h = F.col(markup)
-    parts = pages.withColumns({"_metas": html.metas(h), "_items": html.json_items(h)})
-    m, i = F.col("_metas"), F.col("_items")
-    return parts.withColumns(
-        {
-            "headline": html.headline_of(m, i, h),
-            "subheadline": html.subheadline_of(m, i),
-            "author": html.author_of(m, i),
-            "published_at": html.published_of(m, i, h),
-            "canonical_url": html.canonical_of(i, h, F.col(url)),
-        }
-    ).drop("_metas", "_items")
+    parts = pages.withColumn("_page", markup.parsed(F.col(markup_col), *html.PARTS, *more))
+    parts = parts.withColumn("_items", html.json_items(F.col("_page.scripts")))
+    p, i = F.col("_page"), F.col("_items")
+    facts = {
+        "headline": html.headline_of(p, i),
+        "subheadline": html.subheadline_of(p, i),
+        "author": html.author_of(p, i),
+        "published_at": html.published_of(p, i),
+        "canonical_url": html.canonical_of(p, i, F.col(url)),
+    }
+    return parts.withColumns(facts | {m: p[m] for m in more}).drop("_page", "_items")
 
 
 def extract_articles(pages: DataFrame, source_name: str, section_name: str, retrieved_at: str | None = None) -> DataFrame:
     """Whole records of pages with url, final_url and html."""
-    found = with_facts(pages, "final_url").withColumn("article_text", html.article_text(F.col("html")))
+    found = with_facts(pages, "final_url", "html", "body").withColumnRenamed("body", "article_text")
     now = F.lit(retrieved_at) if retrieved_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss+00:00")
     return found.select(
         F.lit(source_name).alias("source_name"),

@@ -62,26 +62,40 @@ def fetch_fallback(spark, sf_dir):
     return best.select("page_id", F.length("html").cast("long").alias("n_chars"), F.col("status_code").cast("long").alias("status_code"), "fetch_method", "used_browser")
 
 
+def odd_markup(spark, sf_dir):
+    """Pages as careless editors would have them: tags in comments and scripts, attributes without quotes, entities with names and numbers."""
+    h = F.replace(F.regexp_replace("html", r'<a href="([^"\s>]*)">', "<A class=x href=$1 >"), F.lit("<h1>"), F.lit("<H1 data-x='a > b'>Caf&eacute; &#8217;N&#x2019; "))
+    head = (
+        "<!-- <meta property='og:title' content='Old'> <a href='/no'>no</a> --><script>var s = \"<meta property='og:title' content='In script'><a href='/no'>no</a><!--\"</script>"
+        "<meta name=author content=Jos&eacute;><meta property=article:author content=no><META CONTENT='A &amp; B &mdash; C' NAME=description><meta property=og:title content=' '><meta property=og:title content=second>"
+        "<link rel='alternate canonical' href=HTTPS://C.lk/x/?utm_source=1&amp;b=2><script type=application/ld+json>{\"datePublished\": \"2026-09-10T20:00:00Z\"}</script>"
+    )
+    page = F.replace(h, F.lit("<head>"), F.lit(f"<head>{head}"))
+    facts = extraction.with_facts(_pages(spark, sf_dir).withColumn("html", page), "url", "html", "anchors")
+    links = F.col("anchors")
+    return facts.select("page_id", "headline", "subheadline", "author", "published_at", "canonical_url", F.size(links).cast("long").alias("n_links"), F.array_join(links["href"], " ").alias("hrefs"), F.array_join(links["text"], " ").alias("link_texts"))
+
+
 def page_facts(spark, sf_dir):
-    """Every field of an extracted record by expressions (rows only; held against a plain parser in the tests)."""
+    """Every field of an extracted record."""
     return extraction.with_facts(_pages(spark, sf_dir)).select("page_id", "headline", "subheadline", "author", "published_at", "canonical_url")
 
 
 def article_extraction(spark, sf_dir):
-    """Main text with its words and hash (rows only)."""
+    """Main text with its words and hash."""
     body = _pages(spark, sf_dir).select("page_id", html.article_text(F.col("html")).alias("article_text"))
     return body.select("page_id", "article_text", text.word_count(F.col("article_text")).alias("word_count"), text.content_hash(F.col("article_text")).alias("content_hash"))
 
 
 def links_near_text(spark, sf_dir):
-    """Links with the paragraph that stands nearest in the page's tree (rows only)."""
+    """Links with the paragraph that stands nearest in the page's tree."""
     each = _pages(spark, sf_dir).select("page_id", F.posexplode(html.links_with_excerpts(F.col("html"))).alias("pos", "l"))
     return each.select("page_id", F.col("pos").cast("long").alias("pos"), "l.href", "l.text", "l.excerpt")
 
 
 QUERIES = {
     f.__name__: f
-    for f in (article_id, url_normalize, domain_filter, article_url_classify, link_discovery, first_k_links, headline_cascade, page_probe, fetch_fallback, page_facts, article_extraction, links_near_text)
+    for f in (article_id, url_normalize, domain_filter, article_url_classify, link_discovery, first_k_links, headline_cascade, page_probe, fetch_fallback, odd_markup, page_facts, article_extraction, links_near_text)
 }
 
 SPLIT_SQL = r"""p AS (
@@ -101,7 +115,40 @@ k AS (
          root || rtrim(replace(href, '&amp;', '&'), '/') AS url
   FROM l)"""
 
+_PLAIN = lambda x: f"""trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace({x}, '<[^>]*>', ' ', 'g'),
+       '&quot;', '"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g'))"""
+#: The paragraphs of a page, which all stand in its article, and the text of its body; a tag that the page ends in is gone.
+_PARAGRAPHS = f"""w AS (
+  SELECT page_id, regexp_replace(html, '<[^>]*$', '') AS html FROM pages),
+x AS (
+  SELECT page_id, html, string_split(regexp_replace(regexp_extract(html, '<article>.*?</h1>(.*?)(?:</article>|$)', 1, 's'), '</p>', '<p>', 'g'), '<p>') AS ps FROM w),
+t AS (
+  SELECT page_id, html, list_filter(list_transform(ps, lambda p: {_PLAIN("p")}), lambda p: p <> '') AS ps, {_PLAIN("regexp_replace(regexp_extract(html, '<body>(.*)', 1, 's'), '<!--.*?-->', ' ', 'gs')")} AS said FROM x)"""
+
 ORACLES = {
+    "odd_markup": f"""
+WITH {SPLIT_SQL},
+a AS (SELECT page_id, html, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS hrefs, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS said FROM p)
+SELECT page_id, 'Café ’N’ ' || {_PLAIN("regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's')")} AS headline, 'A & B — C' AS subheadline, 'José' AS author, '2026-09-11T01:30:00+05:30' AS published_at,
+       'https://c.lk/x?b=2' AS canonical_url, len(hrefs)::BIGINT AS n_links, replace(array_to_string(hrefs, ' '), '&amp;', '&') AS hrefs,
+       array_to_string(list_transform(said, lambda x: {_PLAIN("x")}), ' ') AS link_texts
+FROM a""",
+    "page_facts": f"""
+WITH {SPLIT_SQL}, {_NORMAL}
+SELECT page_id, {_PLAIN("regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's')")} AS headline, NULL::VARCHAR AS subheadline, NULL::VARCHAR AS author, NULL::VARCHAR AS published_at, normal AS canonical_url
+FROM n""",
+    "article_extraction": f"""
+WITH {_PARAGRAPHS}
+SELECT page_id, array_to_string(ps, chr(10) || chr(10)) AS article_text, len(string_split(array_to_string(ps, ' '), ' '))::BIGINT AS word_count, sha256(array_to_string(ps, ' ')) AS content_hash
+FROM t""",
+    "links_near_text": f"""
+WITH {_PARAGRAPHS},
+a AS (
+  SELECT page_id, said, ps, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1)) AS href, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2)) AS text,
+         unnest(range(0, len(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>')))) AS pos
+  FROM t)
+SELECT page_id, pos, replace(href, '&amp;', '&') AS href, {_PLAIN("text")} AS text, CASE WHEN length(said) <= 2500 THEN list_filter(ps, lambda p: length(p) >= 40)[1] END AS excerpt
+FROM a""",
     "article_id": "SELECT page_id, left(sha256(url), 16) AS article_id FROM pages",
     "url_normalize": f"WITH {SPLIT_SQL}, {_NORMAL} SELECT page_id, normal AS normalized_url, h AS host FROM n",
     "domain_filter": f"WITH {SPLIT_SQL} SELECT page_id, url FROM p WHERE h = 'example.com' OR h LIKE '%.example.com'",

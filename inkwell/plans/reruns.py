@@ -31,7 +31,7 @@ def collection_runs(spark, sf_dir):
     for run, now in enumerate(RUNS):
         body = F.when((k % 6 == 0) & F.lit(run == 2), F.concat("body", F.lit(" again"))).otherwise(F.col("body"))
         escaped = F.replace(F.replace(F.replace(body, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-        html = F.concat(F.lit("<link rel='canonical' href='"), F.col("canonical"), F.lit("'><title>Article number "), k, F.lit("</title><meta property='article:published_time' content='2026-09-14T08:00:00+05:30'><p>"), escaped, F.lit("</p>"))
+        html = F.concat(F.lit("<link rel=canonical href='"), F.col("canonical"), F.lit("'><title>Article number "), k, F.lit("</title><meta property='article:published_time' content='2026-09-14T08:00:00+05:30'><p>"), escaped, F.lit("</p>"))
         pages = materialize(d.select("url", F.col("url").alias("final_url"), html.alias("html")), "pages")
         collection.collect_stored(candidates, pages, f"{root}/state", "x", "business", "2026-09-14", now, f"{root}/raw", f"{root}/staged")
     raw = readers.raw_pages(f"{root}/raw").read(spark, source="x").select("article_id", "version_name", F.lit(True).alias("raw"))

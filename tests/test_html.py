@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from inkwell.functions import html
+from inkwell.functions import html, markup
 from inkwell.operators import discovery, extraction
 
 RICH = """<html><head><title>x | Daily FT</title><META content=" Bank&amp;Co  rises - Daily FT " property="og:title"><meta name='author' content=' '>
@@ -68,5 +68,5 @@ def test_neighbourhoods_cost_in_proportion_to_the_page():
 
     page = "<body>" + "".join(f"<div><div><a href='/{k}'>link {k}</a><p>short</p></div></div>" for k in range(4000)) + "</body>" + "<div>" * 5000
     at = time.process_time()
-    assert len(html._near(page, 7, 2500, None, 40)) == 4000
+    assert len(markup.Page(page).near(7, 2500, None, 40)) == 4000
     assert time.process_time() - at < 3
