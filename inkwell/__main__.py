@@ -2,10 +2,13 @@
 
 python -m inkwell stage1 --date 2026-09-14 --staged DIR --sources a,b --rules FILE --analyses DIR --review DIR
 python -m inkwell collect --day 2026-09-14 --source daily_ft --sections DIR --state DIR --raw DIR --staged DIR --statuses DIR [--pages DIR]
+python -m inkwell run --day 2026-09-14 --registry FILE --state DIR --raw DIR --staged DIR --statuses DIR --summaries DIR
 python -m inkwell window --day 2026-09-14
 
 collect: --sections holds section pages (page, html) as Parquet; --pages, where
 it is given, fetched articles (url, final_url, html), else they are fetched.
+run: all active sources of a registry, from their section URLs on; the exit
+code is 1 where a source failed.
 """
 
 from __future__ import annotations
@@ -18,10 +21,11 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import SparkSession
 
 from inkwell.functions.dates import LOCAL
-from inkwell.plans import collection, stage1
+from inkwell.plans import collection, crawl, stage1
+from inkwell.session import materialize
 from inkwell.sources import sinks
 from inkwell.sources.readers import read_staged
-from inkwell.sources.rules import load_rules
+from inkwell.sources.rules import load_registry, load_rules
 
 
 def main() -> None:
@@ -38,6 +42,10 @@ def main() -> None:
     gather.add_argument("--pages")
     for name in ("--source", "--sections", "--state", "--raw", "--staged", "--statuses"):
         gather.add_argument(name, required=True)
+    everything = jobs.add_parser("run", help="run all active sources of a registry from their section URLs to stored articles")
+    everything.add_argument("--day", default=today)
+    for name in ("--registry", "--state", "--raw", "--staged", "--statuses", "--summaries"):
+        everything.add_argument(name, required=True)
     window = jobs.add_parser("window", help="the publication dates that a run on a day scores")
     window.add_argument("--day", default=today)
     a = parser.parse_args()
@@ -48,6 +56,8 @@ def main() -> None:
     if a.job == "collect":
         collect(spark, a)
         return
+    if a.job == "run":
+        raise SystemExit(run(spark, a))
     sources = a.sources.split(",")
     counts = stage1.run(spark, a.staged, sources, a.date, load_rules(a.rules), a.analyses, a.review, not a.lines).first().asDict()
     print(counts)
@@ -69,5 +79,15 @@ def collect(spark: SparkSession, a: argparse.Namespace) -> None:
     statuses.show(truncate=False, vertical=True)
 
 
+def run(spark: SparkSession, a: argparse.Namespace) -> int:
+    """All active sources; what each came to is stored before the job says how it ended."""
+    now = datetime.now(UTC)
+    run_id = f"{now.astimezone(ZoneInfo(LOCAL)):%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
+    statuses = materialize(crawl.run_registry(spark, load_registry(spark, a.registry), a.state, a.raw, a.staged, a.day, now.isoformat(timespec="seconds"), run_id), "run")
+    crawl.write_run(statuses, a.statuses, a.summaries)
+    statuses.show(1000, truncate=False, vertical=True)
+    return 0 if statuses.where("execution_status <> 'SUCCESS'").isEmpty() else 1
+
+
 if __name__ == "__main__":
     main()

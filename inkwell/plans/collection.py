@@ -26,11 +26,14 @@ class Listing:
     least_headline: int = 0
     date_in_path: bool = False
     most_pages: int = 5
+    section: str = ""  # the first section page; else base
+    paging: str = "path"  # path or offset
+    page_size: int = 30
 
 
 # The listings of the three kinds of section page.
 LISTINGS = {
-    "daily_ft": Listing("https://www.ft.lk", "ft.lk", discovery.BY_NUMBER),
+    "daily_ft": Listing("https://www.ft.lk", "ft.lk", discovery.BY_NUMBER, section="https://www.ft.lk/financial-services/42", paging="offset"),
     "ceylon_today": Listing("https://ceylontoday.lk/category/ceylon-today-daily/finance-today/", "ceylontoday.lk", discovery.BY_DATE, "excerpts", 8, True, 4),
     "daily_news": Listing("https://dailynews.lk/category/business/", "dailynews.lk", discovery.BY_DATE_AND_SECTION, "cards", 8, True, 1),
 }
@@ -68,12 +71,14 @@ def collect(candidates: DataFrame, pages: DataFrame, state: DataFrame, source_na
     (null: the fetch failed). state: as in readers.STATE, keyed by url; a listing
     URL and a canonical URL that differ are two rows of it.
     """
-    outcomes, touched = _collected(candidates, pages, lambda urls: state, source_name, section_name, run_day, now)
+    outcomes, touched, _ = _collected(candidates, lambda due: pages, lambda urls: state, source_name, section_name, run_day, now)
     return outcomes, state.join(touched.select("url"), "url", "left_anti").unionByName(touched)
 
 
-def _collected(candidates: DataFrame, pages: DataFrame, state_of: Callable[[DataFrame], DataFrame], source_name: str, section_name: str, run_day: str, now: str) -> tuple[DataFrame, DataFrame]:
-    """collect with the state's rows of given urls at hand: (outcomes, the state's rows that the run touched).
+def _collected(candidates: DataFrame, pages_of: Callable[[DataFrame], DataFrame], state_of: Callable[[DataFrame], DataFrame], source_name: str, section_name: str, run_day: str, now: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """collect with pages and the state's rows of given urls at hand: (outcomes, the state's rows that the run touched, the pages).
+
+    Pages are asked for only where they are due.
 
     Articles that are accepted meet what was stored of their canonical URL in the
     order of fetches, one after another: of two listings of one page the second
@@ -85,7 +90,9 @@ def _collected(candidates: DataFrame, pages: DataFrame, state_of: Callable[[Data
     known = state_of(listed.select("url"))
     # candidates are marked as seen before the gate, so a first contact is NEVER_FETCHED
     asked = listed.join(known.select("url", "last_fetched_at"), "url", "left").withColumn("reason", validation.fetch_reason(F.lit(True), F.col("last_fetched_at"), at))
-    due = asked.where("reason <> 'RECENTLY_FETCHED'").select("url").join(pages, "url", "left")
+    wanted = asked.where("reason <> 'RECENTLY_FETCHED'").select("url")
+    pages = pages_of(wanted)
+    due = wanted.join(pages, "url", "left")
     shown = candidates.select(F.col("url").alias("source_url"), F.col("headline").alias("listing_headline"), *[(F.col(c) if c in candidates.columns else F.lit(None).cast("string")).alias(f"listing_{to}") for c, to in (("published_at_hint", "published_at"), ("excerpt", "excerpt"))])
     fetched = materialize(validation.validate(extraction.extract_articles(due.where("html is not null"), source_name, section_name, now)), "fetched")
     published = dates.article_date(F.col("published_at"))
@@ -115,7 +122,7 @@ def _collected(candidates: DataFrame, pages: DataFrame, state_of: Callable[[Data
         F.when(F.col("f").isNotNull(), F.lit(now)).otherwise(F.col("last_fetched_at")).alias("last_fetched_at"),
         F.coalesce(F.col("f.version_number"), F.col("version_number"), F.lit(0)).cast("long").alias("version_number"),
     )
-    return outcomes, touched
+    return outcomes, touched, pages
 
 
 def stage(outcomes: DataFrame, pages: DataFrame, source_key: str, run_day: str, raw_path: str, staged_path: str) -> None:
@@ -151,9 +158,10 @@ def run(spark, source_key: str, section_pages: DataFrame, state: DataFrame, run_
     return status(outcomes, source_key, run_id), materialize(after, "state")
 
 
-def run_stored(spark, source_key: str, section_pages: DataFrame, state_root: str, run_day: str, now: str, run_id: str, raw_path: str, staged_path: str, pages: DataFrame | None = None) -> DataFrame:
+def run_stored(spark, source_key: str, section_pages: DataFrame, state_root: str, run_day: str, now: str, run_id: str, raw_path: str, staged_path: str, pages: DataFrame | None = None,
+               fetch: Callable[[DataFrame], DataFrame] = readers.fetch_pages, listing: Listing | None = None) -> DataFrame:
     """The same over a stored state: the status row. Only the state's buckets that the run's URLs fall in are read and written."""
-    outcomes, touched = _run(source_key, section_pages, lambda urls: readers.state_of(spark, state_root, urls), run_day, now, raw_path, staged_path, pages)
+    outcomes, touched = _run(source_key, section_pages, lambda urls: readers.state_of(spark, state_root, urls), run_day, now, raw_path, staged_path, pages, fetch, listing)
     sinks.write_state(touched, state_root)
     return status(outcomes, source_key, run_id)
 
@@ -161,21 +169,22 @@ def run_stored(spark, source_key: str, section_pages: DataFrame, state_root: str
 def collect_stored(candidates: DataFrame, pages: DataFrame, state_root: str, source_key: str, section_name: str, run_day: str, now: str, raw_path: str, staged_path: str) -> DataFrame:
     """collect over a stored state, with pages, staged articles and state written: the outcomes."""
     spark = candidates.sparkSession
-    outcomes, touched = _stored(candidates, pages, lambda urls: readers.state_of(spark, state_root, urls), source_key, section_name, run_day, now, raw_path, staged_path)
+    outcomes, touched = _stored(candidates, lambda due: pages, lambda urls: readers.state_of(spark, state_root, urls), source_key, section_name, run_day, now, raw_path, staged_path)
     sinks.write_state(touched, state_root)
     return outcomes
 
 
-def _run(source_key: str, section_pages: DataFrame, state_of: Callable[[DataFrame], DataFrame], run_day: str, now: str, raw_path: str, staged_path: str, pages: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    listing = LISTINGS[source_key]
+def _run(source_key: str, section_pages: DataFrame, state_of: Callable[[DataFrame], DataFrame], run_day: str, now: str, raw_path: str, staged_path: str, pages: DataFrame | None,
+         fetch: Callable[[DataFrame], DataFrame] = readers.fetch_pages, listing: Listing | None = None) -> tuple[DataFrame, DataFrame]:
+    listing = listing or LISTINGS[source_key]
     found = materialize(required(discover(section_pages, listing), listing, run_day), "candidates")
-    fetched = pages if pages is not None else materialize(readers.fetch_pages(found), "pages")
-    return _stored(found, fetched, state_of, source_key, "business", run_day, now, raw_path, staged_path)
+    pages_of = lambda due: materialize(fetch(due).select("url", "final_url", "html"), "pages") if pages is None else pages
+    return _stored(found, pages_of, state_of, source_key, "business", run_day, now, raw_path, staged_path)
 
 
-def _stored(candidates: DataFrame, pages: DataFrame, state_of: Callable[[DataFrame], DataFrame], source_key: str, section_name: str, run_day: str, now: str, raw_path: str, staged_path: str) -> tuple[DataFrame, DataFrame]:
+def _stored(candidates: DataFrame, pages_of: Callable[[DataFrame], DataFrame], state_of: Callable[[DataFrame], DataFrame], source_key: str, section_name: str, run_day: str, now: str, raw_path: str, staged_path: str) -> tuple[DataFrame, DataFrame]:
     """(outcomes, touched state) of candidates whose pages and articles are stored; the state isn't yet."""
-    outcomes, touched = _collected(candidates, pages, state_of, source_key, section_name, run_day, now)
+    outcomes, touched, pages = _collected(candidates, pages_of, state_of, source_key, section_name, run_day, now)
     outcomes, touched = materialize(outcomes, "outcomes"), materialize(touched, "touched")
     stage(outcomes, pages, source_key, run_day, raw_path, staged_path)
     return outcomes, touched

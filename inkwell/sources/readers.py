@@ -34,7 +34,7 @@ STATUS = (
 
 
 #: Parts that a state is dealt to by its URLs.
-BUCKETS = 256
+BUCKETS = 64
 
 
 def raw_pages(root: str) -> Keyed:

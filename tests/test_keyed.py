@@ -155,6 +155,7 @@ def readers_id(url):
 
 
 def test_hourly_runs_keep_all_pages_and_number_versions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "BUCKETS", 4)
     paths = [str(tmp_path / p) for p in ("raw", "staged")]
     run = lambda numbers, of, now, k: collection.run_stored(spark, "daily_ft", listing(spark, numbers), str(tmp_path / "state"), "2026-09-14", now, k, *paths, pages(spark, of)).first()
     # two listings of page 1 in one run: the second is the next version; of page 4: unchanged
