@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -23,8 +25,8 @@ WORD_TABLE = bytes(
 )
 #: A-Z lower-cased, the rest as it is.
 LOWER_TABLE = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-#: Longest run of rows that a Python worker holds as objects at once.
-ROWS = 512
+#: Longest run of rows that a Python worker holds as objects at once, and most bytes of their texts (a single text may exceed it).
+ROWS, BYTES = 512, 4 << 20
 #: 64-bit words of a Bloom filter at most (1 MB), and the seeds of its two hashes.
 MAX_WORDS = 1 << 17
 SEEDS = (7, 11)
@@ -72,11 +74,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def texts(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Short slices of each batch with the texts as bytes (None for null)."""
+    """Slices of each batch, bounded in rows and bytes, with the texts as bytes (None for null)."""
     for batch in batches:
-        for at in range(0, batch.num_rows, ROWS):
-            part = batch.slice(at, ROWS)
-            yield part, part.column(part.schema.get_field_index(column)).cast(pa.binary()).to_pylist()
+        whole = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
+        ends = np.cumsum(pc.fill_null(pc.binary_length(whole), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            fit = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BYTES, "right"))
+            to = min(at + ROWS, max(fit, at + 1))
+            yield batch.slice(at, to - at), whole.slice(at, to - at).to_pylist()
+            at = to
 
 
 def out(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
