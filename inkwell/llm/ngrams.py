@@ -24,7 +24,10 @@ link when their sets' Jaccard similarity reaches num / den.
 Defined cases: a text without words, or null, has an empty set and is linked
 with nothing; a text with fewer than n words has its whole sequence as one
 n-gram; rows that repeat an id are one node, with the links of each, whichever
-of its texts are equal to another id's; a null id linked with nothing and has no component; an empty table gives no rows; columns are ignored; long texts are read whole.
+of its texts are equal to another id's; a row without id is a document that
+links join like any other, so others may reach an id through it, and its
+component is the smallest id that it reaches, null where that is none; an empty
+table gives no rows; extra columns are ignored; long texts are read whole.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import LOWER_TABLE, filter_of, may_hold, named_rows, only, out, place, texts, without_rows
@@ -250,7 +253,7 @@ def _parts(d: DataFrame, n: int, num: int, den: int) -> DataFrame:
         for part, all_texts in texts(batches):
             for doc_id, t in zip(part.column(0).to_pylist(), all_texts, strict=True):
                 s = ngram_set(t, n)
-                if doc_id is None or not len(s):
+                if not len(s):
                     continue
                 digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                 if digest in seen:  # an equal set of this task has named the same parts
@@ -338,17 +341,44 @@ def _of_one_id(by_id: DataFrame) -> DataFrame:
     return by_id.join(ends, "doc_id").where("node <> a").select("a", F.col("node").alias("b")).distinct()
 
 
+def _names_of_null(d: DataFrame) -> Column:
+    """A long that stands for the id of a row without one: a hash of its text, which no id has and other texts don't share."""
+    nulls = d.where("doc_id is null").select(F.coalesce("text", F.lit("")).alias("t"))
+    seed = 0
+    while True:
+        name = F.xxhash64(F.coalesce("text", F.lit("")), F.lit(seed))
+        mine = materialize(nulls.select(F.xxhash64("t", F.lit(seed)).alias("doc_id"), F.sha2("t", 256).alias("sha")).distinct(), "unnamed")
+        twice = mine.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if twice.isEmpty() and d.select("doc_id").join(mine, "doc_id", "left_semi").isEmpty():
+            return name
+        seed += 1
+
+
 def jaccard_components(docs: DataFrame, n: int = WORDS, num: int = NUM, den: int = DEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_ngrams, component_id (the smallest id that links reach)."""
     ship(docs.sparkSession)
     d = only(docs, doc_id=id_col, text=text_col)
+    if d.where("doc_id is null").isEmpty():
+        return _components(d, n, num, den)
+    name = _names_of_null(d)
+    unnamed = d.where("doc_id is null").select(name.alias("name")).distinct()
+    # rows without id take part under names of their own; then each component is named by its ids alone
+    named = d.withColumn("doc_id", F.coalesce("doc_id", name))
+    found = materialize(_components(named, n, num, den), "components")
+    found = found.join(unnamed.select(F.col("name").alias("doc_id"), F.lit(True).alias("no_id")), "doc_id", "left").withColumn("id", F.when(F.col("no_id").isNull(), F.col("doc_id")))
+    least = materialize(found.groupBy("component_id").agg(F.min("id").alias("least")), "least")
+    return found.join(least, "component_id").select(F.col("id").alias("doc_id"), "n_ngrams", F.col("least").alias("component_id"))
+
+
+def _components(d: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The same of doc_id, text without null ids."""
     plain = materialize(_nodes(d, n), "nodes")
-    named = plain.where("n_ngrams > 0 and doc_id is not null")
+    named = plain.where("n_ngrams > 0")
     # written, so that the join's sides are plain exchanges and Spark may split a group of copies
     first = materialize(named.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "equal")
-    copied = F.when((F.col("n_ngrams") > 0) & F.col("doc_id").isNotNull(), F.col("node"))
+    copied = F.when(F.col("n_ngrams") > 0, F.col("node"))
     nodes = materialize(plain.join(first, "digest", "left").select("doc_id", "n_ngrams", F.coalesce(copied, "doc_id").alias("node")), "nodes")
-    by_id = nodes.where("n_ngrams > 0 and doc_id is not null").select("doc_id", "node").distinct()
+    by_id = nodes.where("n_ngrams > 0").select("doc_id", "node").distinct()
 
     stars = materialize(_stars(_parts(d, n, num, den)), "stars").distinct()
     at_a = by_id.select(F.col("doc_id").alias("a"), F.col("node").alias("na"))
@@ -391,10 +421,11 @@ def op8_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 OP8_SQL = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  SELECT doc_id AS id, coalesce(doc_id::HUGEINT, 36893488147419103232 + row_number() OVER ()) AS doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
   FROM documents),
 s AS (
-  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+  SELECT id, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
          ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh
   FROM w),
 e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
@@ -404,9 +435,9 @@ p AS (
   GROUP BY a.doc_id, b.doc_id, a.n, b.n
   HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
 r AS (
-  SELECT doc_id AS x, doc_id AS y FROM documents
+  SELECT doc_id AS x, doc_id AS y FROM w
   UNION
   SELECT r.x, p.y FROM r JOIN p ON r.y = p.x)
-SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, m.component_id
+SELECT s.id AS doc_id, len(s.sh)::BIGINT AS n_shingles, CASE WHEN m.component_id < 36893488147419103232 THEN m.component_id END::BIGINT AS component_id
 FROM s JOIN (SELECT x, min(y) AS component_id FROM r GROUP BY x) m ON s.doc_id = m.x
 """

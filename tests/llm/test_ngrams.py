@@ -71,7 +71,31 @@ def test_short_and_odd_texts(spark):
 def test_repeated_and_null_ids(spark):
     rows = [(1, "one two three four"), (1, "five six seven eight"), (2, "five six seven eight"), (3, "one two three four"), (None, "one two three four"), (None, None)]
     got = [tuple(r) for r in ngrams.jaccard_components(documents(spark, rows), 3, 90, 100).collect()]
-    assert sorted(got, key=str) == sorted([(1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (None, 2, None), (None, 0, None)], key=str)
+    assert sorted(got, key=str) == sorted([(1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (None, 2, 1), (None, 0, None)], key=str)
+
+
+def test_links_through_rows_without_id(spark):
+    words = [f"w{k}" for k in range(100)]
+    a, c = " ".join(words), " ".join([*words[6:], *(f"z{k}" for k in range(6))])
+    b = " ".join([*words[3:], *(f"z{k}" for k in range(3))])
+    alone = "a text that nobody else has at all"
+    rows = [(1, a), (None, b), (3, c), (None, alone), (None, alone), (None, "x"), (None, None), (2, None), (7, "x"), (7, "y"), (None, "y"), (8, "y")]
+    got = [tuple(r) for r in ngrams.jaccard_components(documents(spark, rows, ("name", "id")).repartition(3), 3, 90, 100).collect()]
+    n = {t: len(ngrams.ngram_set(t.encode() if t else None, 3)) for _, t in rows}
+    want = [(1, n[a], 1), (None, n[b], 1), (3, n[c], 1), (None, n[alone], None), (None, n[alone], None), (None, 1, 7), (None, 0, None), (2, 0, 2), (7, 1, 7), (7, 1, 7), (None, 1, 7), (8, 1, 7)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    # without the row in the middle there is no link
+    assert {r.component_id for r in ngrams.jaccard_components(documents(spark, [(1, a), (3, c)]), 3, 90, 100).collect()} == {1, 3}
+
+
+def test_names_of_rows_without_id_are_no_ids(spark):
+    """An id that is the hash of a text without id is not taken for it."""
+    from pyspark.sql import functions as F
+
+    taken = spark.range(1).select(F.xxhash64(F.lit("one two three four"), F.lit(0))).first()[0]
+    rows = [(taken, "quite other words in this"), (None, "one two three four"), (5, "one two three four")]
+    got = sorted((tuple(r) for r in ngrams.jaccard_components(documents(spark, rows), 3, 90, 100).collect()), key=str)
+    assert got == sorted([(taken, 3, taken), (None, 2, 5), (5, 2, 5)], key=str)
 
 
 def test_an_id_that_repeats_joins_its_texts(spark):
