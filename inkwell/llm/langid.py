@@ -31,10 +31,11 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import held_out, only, out, texts
-from inkwell.session import ship, table
+from inkwell.session import materialize, ship, table
 
 #: Expected documents of a language in the training sample at most, and of all languages.
 PER_LANG, MAX_SAMPLE = 500, 4_000
@@ -180,44 +181,56 @@ class Codes:
 
 
 def training_sample(d: DataFrame, per_lang: int = PER_LANG) -> list[tuple[np.ndarray, np.ndarray | None, str]]:
-    """Counts of a bounded sample of labelled texts, about per_lang of each language.
+    """Counts of a bounded sample of labelled texts, per_lang of each language at most.
 
-    Many languages share MAX_SAMPLE; never are more than twice as many rows taken.
+    Many languages share MAX_SAMPLE, one text each at least. Rows that repeat id
+    and text are one, and each language's are taken in the order of a hash, so
+    no language is lost to another's repeated rows and reruns agree.
     """
     known = d.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
-    each = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    wanted = max(1, min(per_lang, MAX_SAMPLE // max(1, each.count())))
-    chances = each.select("lang", (F.lit(wanted) / F.col("n")).alias("chance"))
     spot = F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit("langid"))
-    # only hashes meet the chances, and the hashes that are chosen, a bounded number, find the texts
-    drawn = known.select("lang", spot.alias("spot")).join(chances, "lang")
-    chosen = drawn.where(F.pmod("spot", F.lit(1 << 30)) / F.lit(float(1 << 30)) < F.col("chance"))
-    spots = sorted({r["spot"] for r in chosen.select("spot").limit(2 * MAX_SAMPLE).collect()})
-    held = known.withColumn("spot", spot).where(F.col("spot").isin(spots))
-    schema = pa.schema([("lang", pa.string()), ("spot", pa.int64()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int64())), ("window_at", pa.list_(pa.int32())), ("window_n", pa.list_(pa.int64()))])
+    spots = materialize(known.select("lang", spot.alias("spot")).distinct(), "spots")
+    each = spots.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    wanted = max(1, min(per_lang, MAX_SAMPLE // max(1, each.count())))
+    order = F.pmod("spot", F.lit(1 << 40))
+    # a hash below twice the wanted share takes part, so that the ranks meet few rows
+    near = spots.join(each.select("lang", (F.lit(2.0 * wanted) / F.col("n")).alias("chance")), "lang").where(order / F.lit(float(1 << 40)) <= F.col("chance"))
+    ranked = near.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(order, "spot")))
+    chosen = materialize(ranked.where(F.col("rank") <= wanted).select("lang", "spot"), "chosen")
+    # at most MAX_SAMPLE pairs, or one a language
+    held = known.withColumn("spot", spot).join(F.broadcast(chosen), ["lang", "spot"])
+    parts = ("at", "n", "window_at", "window_n")
+    schema = pa.schema([("lang", pa.string()), ("spot", pa.int64()), *[(c, pa.binary()) for c in parts]])
 
     def run(batches):
+        seen = set()
         for part, all_texts in texts(batches):
             got: dict[str, list] = {f.name: [] for f in schema}
-            for t in all_texts:
+            for lang, mine, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), all_texts, strict=True):
+                if (lang, mine) in seen:
+                    continue
+                seen.add((lang, mine))
+                got["lang"].append(lang)
+                got["spot"].append(mine)
                 for piece, name in ((t, ""), (window(t), "window_")):
                     n = counts(piece) if piece is not None else None
                     at = np.flatnonzero(n) if n is not None else None
-                    got[f"{name}at"].append(at)
-                    got[f"{name}n"].append(n[at] if n is not None else None)
-            yield out(schema, got | {"lang": part.column(0), "spot": part.column(1)})
+                    got[f"{name}at"].append(at.astype(np.int32).tobytes() if n is not None else None)
+                    got[f"{name}n"].append(n[at].astype(np.int64).tobytes() if n is not None else None)
+            yield out(schema, got)
 
-    found = held.select("lang", "spot", "text").mapInArrow(run, "lang string, spot long, at array<int>, n array<long>, window_at array<int>, window_n array<long>")
-    rows = sorted(found.limit(2 * MAX_SAMPLE).collect(), key=lambda r: (r["lang"], r["spot"], r["at"], r["n"]))
+    counted = held.select("lang", "spot", "text").mapInArrow(run, "lang string, spot long, at binary, n binary, window_at binary, window_n binary")
+    found = materialize(counted.dropDuplicates(["lang", "spot"]), "sample")
 
     def dense(at, n):
         if at is None:
             return None
         full = np.zeros(DIM, np.int64)
-        full[at] = n
+        full[np.frombuffer(at, np.int32)] = np.frombuffer(n, np.int64)
         return full
 
-    return [(dense(r["at"], r["n"]), dense(r["window_at"], r["window_n"]), r["lang"]) for r in rows]
+    rows = [(r["lang"], r["spot"], dense(r["at"], r["n"]), dense(r["window_at"], r["window_n"])) for r in found.toLocalIterator()]
+    return [(n, window_n, lang) for lang, _, n, window_n in sorted(rows, key=lambda r: r[:2])]
 
 
 _ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())])
