@@ -4,13 +4,15 @@ Each text is read once and turned to a row of statistics. Trees grow level by
 level on binned statistics with logistic loss; a finished ensemble lies in flat
 arrays (feature, threshold, value), which numpy walks for all rows at once.
 
-Learning reads a bounded sample: about MAX_SAMPLE labelled rows outside the
-held-out fifth, chosen by a hash of the id, and never more than twice as many;
-only their statistics come to the driver.
+Learning reads a bounded sample: at most MAX_SAMPLE labels of ids outside the
+held-out fifth, the first in the order of a hash of id and label; only their
+statistics come to the driver, those of one text an id (the least statistics,
+where an id repeats).
 
 Defined cases: a null text is empty, and its statistics are zeros; with no
 labels, or labels of one kind, the score is the share of label 1 (0.5 without
-any); an id with several labels learns from each; null labels are left out;
+any); an id with several labels learns from each; null labels and labels of null ids
+are left out; documents without id are scored like any other;
 repeated rows are answered one by one; an empty table gives no rows; extra
 columns are ignored.
 """
@@ -149,11 +151,13 @@ def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def learn(stats: DataFrame, labels: DataFrame, sample: int = MAX_SAMPLE) -> Trees:
     """Trees from a bounded sample of labelled rows outside the held-out fifth."""
-    known = labels.where(F.col("quality").isNotNull()).select("doc_id", "quality").where(~held_out(F.col("doc_id")))
-    share = min(1.0, sample / max(1, known.count()))
-    spot = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("quality")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = stats.join(known.where(spot < share), "doc_id").limit(2 * sample).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["quality"], r["stats"]))
+    known = labels.where("quality is not null and doc_id is not null").select("doc_id", "quality").where(~held_out(F.col("doc_id"))).distinct()
+    known = materialize(known.join(stats.select("doc_id"), "doc_id", "left_semi"), "labelled")
+    spot = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("quality"), F.lit("quality")), F.lit(1 << 40))
+    below = int(min(1.0, 2 * sample / max(1, known.count())) * (1 << 40))
+    chosen = materialize(known.where(spot <= below).orderBy(spot, "doc_id", "quality").limit(sample), "chosen")
+    rows = stats.join(chosen, "doc_id").groupBy("doc_id", "quality").agg(F.min("stats").alias("stats")).collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["quality"]))
     if not rows:
         return Trees.constant(0.5)
     return Trees.grow(np.array([r["stats"] for r in rows]), np.array([float(r["quality"] == 1) for r in rows]))
