@@ -3,15 +3,15 @@
 Every document is measured where it lies: words, their characters, symbols,
 lines that repeat, and words in five-word windows that repeat. Its distinct
 normalised lines leave as hashes that include the host (the source). A line
-that stands in more than SHARE of its host's documents, and in LEAST of them at
-least, is removed everywhere on that host; a document that keeps less than
-REMAINS of its words, or fails the base rules, is rejected.
+that stands in MOST of its host's documents, or in more than SHARE of them and
+in LEAST at least, is removed everywhere on that host; a document that keeps
+less than REMAINS of its words, or fails the base rules, is rejected.
 
 Windows and lines are compared by 64-bit hashes. Rows are named by a number
 that the written measurements hold, so ids may repeat. Counting folds within
-tasks first; lines above the limit are few (at most 1 / SHARE times the mean
-number of lines a document, for each host) and Spark picks the join by their
-size.
+tasks first; lines above the limits are a MOST-th of all lines at most, or few
+(1 / SHARE times the mean number of lines a document, for each host), and Spark
+picks the join by their size.
 
 Defined cases: a null text has no words and no lines, fails the base rules and
 is not kept; documents without source share one host; each row counts as a
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from inkwell.llm.common import BLANKS, NOT_BLANKS, only
 from inkwell.session import materialize, table
 
-#: A line is removed where more than SHARE of the host's documents hold it, LEAST of them at least.
-SHARE, LEAST = 0.1, 20
+#: A line is removed where MOST of the host's documents hold it; in small hosts already where more than SHARE hold it, LEAST at least.
+MOST, SHARE, LEAST = 20, 0.1, 8
 #: Share of its words that a kept document keeps.
 REMAINS = 0.5
 #: Base rules: fewest words; most words, as a percentage, in repeated windows.
@@ -91,19 +91,19 @@ def measured(d: DataFrame) -> DataFrame:
     ).select("doc_id", "host", "c.n_words", "word_chars", "n_symbols", "l.n_dup_lines", "c.n_repeat_words", "l.lines")
 
 
-def frequent_lines(m: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
+def frequent_lines(m: DataFrame, share: float = SHARE, least: int = LEAST, most: int = MOST) -> DataFrame:
     """line, documents: the lines that too many documents of their host hold."""
     hosts = m.groupBy("host").agg(F.count(F.lit(1)).alias("in_host"))
     held = m.select("host", F.explode(F.array_distinct(F.col("lines.line"))).alias("line"))
-    often = held.groupBy("line").agg(F.count(F.lit(1)).alias("documents"), F.first("host").alias("line_host")).where(F.col("documents") >= least)
-    return often.join(hosts, F.col("line_host").eqNullSafe(F.col("host"))).where(F.col("documents") > share * F.col("in_host")).select("line", "documents")
+    often = held.groupBy("line").agg(F.count(F.lit(1)).alias("documents"), F.first("host").alias("line_host")).where(F.col("documents") >= min(least, most))
+    return often.join(hosts, F.col("line_host").eqNullSafe(F.col("host"))).where((F.col("documents") >= most) | (F.col("documents") >= least) & (F.col("documents") > share * F.col("in_host"))).select("line", "documents")
 
 
-def apply_rules(docs: DataFrame, share: float = SHARE, least: int = LEAST, remains: float = REMAINS, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+def apply_rules(docs: DataFrame, share: float = SHARE, least: int = LEAST, most: int = MOST, remains: float = REMAINS, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """One row a document: the base measures, base_failed, n_removed_words and kept."""
     d = only(docs, doc_id=id_col, host=host_col, text=text_col)
     m = materialize(measured(d).withColumn("row", F.monotonically_increasing_id()), "measured")
-    often = materialize(frequent_lines(m, share, least), "frequent")
+    often = materialize(frequent_lines(m, share, least, most), "frequent")
     each = m.select("row", F.explode("lines").alias("l")).select("row", "l.line", "l.words")
     removed = each.join(often, "line").groupBy("row").agg(F.sum("words").alias("n_removed_words"))
     n, gone = F.col("n_words"), F.coalesce("n_removed_words", F.lit(0))
@@ -113,12 +113,12 @@ def apply_rules(docs: DataFrame, share: float = SHARE, least: int = LEAST, remai
     )
 
 
-def without_frequent_lines(docs: DataFrame, share: float = SHARE, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+def without_frequent_lines(docs: DataFrame, share: float = SHARE, least: int = LEAST, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """doc_id, text: every document's text less the lines above the limit."""
     d = only(docs, doc_id=id_col, host=host_col, text=text_col)
     numbered = materialize(d.withColumn("row", F.monotonically_increasing_id()), "numbered")
     m = measured(numbered).select("host", "lines")
-    often = materialize(frequent_lines(m, share, least), "frequent")
+    often = materialize(frequent_lines(m, share, least, most), "frequent")
     lines = numbered.select("row", "host", F.posexplode(F.split("text", "\n")).alias("at", "l"))
     keyed = lines.withColumn("line", F.when(F.length(F.translate("l", " \t\n\x0b\x0c\r", "")) > 0, F.xxhash64(F.lit("line"), "host", normalised_line(F.col("l")))))
     left = keyed.join(often, "line", "left_anti").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "l"))).alias("ls"))
@@ -147,7 +147,7 @@ l AS (
 often AS (
   SELECT source, line FROM (SELECT source, line, count(DISTINCT r) AS n FROM l GROUP BY source, line)
   JOIN (SELECT source AS s, count(*) AS docs FROM d GROUP BY source) ON source IS NOT DISTINCT FROM s
-  WHERE n >= 20 AND n > 0.1::DOUBLE * docs),
+  WHERE n >= 20 OR n >= 8 AND n > 0.1::DOUBLE * docs),
 gone AS (
   SELECT l.r, sum(len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')))::BIGINT AS n
   FROM l JOIN often o ON l.line = o.line AND l.source IS NOT DISTINCT FROM o.source GROUP BY l.r),
