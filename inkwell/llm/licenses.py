@@ -65,7 +65,43 @@ TEMPLATES = {
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
         "See the License for the specific language governing permissions and limitations under the License."
     ),
-    "gpl-notice": _NOTICE + "GNU <<beginOptional>>lesser<<endOptional>> <<beginOptional>>affero<<endOptional>> General Public License <<beginOptional>>version <<var;name=version;words=1..1>><<endOptional>>",
+    "gpl-notice": _NOTICE + "GNU General Public License <<beginOptional>>version <<var;name=version;words=1..2>><<endOptional>>",
+    "lgpl-notice": _NOTICE + "GNU Lesser General Public License <<beginOptional>>version <<var;name=version;words=1..2>><<endOptional>>",
+    "lgpl-library-notice": _NOTICE + "GNU Library General Public License <<beginOptional>>version <<var;name=version;words=1..2>><<endOptional>>",
+    "agpl-notice": _NOTICE + "GNU Affero General Public License <<beginOptional>>version <<var;name=version;words=1..2>><<endOptional>>",
+    "gpl-short-notice": _NOTICE + "GNU GPL <<beginOptional>><<var;name=version;words=1..1>><<endOptional>>",
+    "spdx-identifier": "SPDX-License-Identifier: <<var;name=identifier;words=1..4>>",
+    "bsd-notice": _NOTICE + "<<beginOptional>>new<<endOptional>> <<beginOptional>>simplified<<endOptional>> <<beginOptional>>2<<endOptional>> <<beginOptional>>3<<endOptional>> <<beginOptional>>clause<<endOptional>> BSD license",
+    "mpl-notice": _NOTICE + "Mozilla Public License",
+    "cc-by-notice": _NOTICE + "Creative Commons Attribution <<var;name=kind;words=1..5>> License",
+    "boost-notice": "Distributed under the Boost Software License, Version 1.0",
+    "mpl-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. "
+        "If a copy of the MPL was not distributed with this file, You can obtain one at <<var;name=url;words=1..12>>"
+    ),
+    "cc0-notice": "To the extent possible under law, <<var;name=author;words=1..16>> waived all copyright and related or neighboring rights to <<var;name=work;words=1..16>>",
+    "unlicense-text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. "
+        "We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. "
+        "IN NO EVENT SHALL <<var;name=holders;words=1..12>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "zlib-text": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the <<var;name=authors;words=1..6>> be held liable for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: "
+        "<<beginOptional>>1.<<endOptional>> The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. "
+        "<<beginOptional>>2.<<endOptional>> Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. "
+        "<<beginOptional>>3.<<endOptional>> This notice may not be removed or altered from any source distribution."
+    ),
+    "boost-text": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") "
+        "to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: "
+        "The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, "
+        "unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. "
+        "IN NO EVENT SHALL <<var;name=holders;words=1..16>> BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
     "gpl-header": (
         "This program is free software<<beginOptional>>:<<endOptional>> you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, "
         "either version <<var;name=version;words=1..3>> of the License, or (at your option) any later version. "

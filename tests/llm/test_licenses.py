@@ -1,4 +1,4 @@
-"""License scans: phrases by plain search, templates by worked cases."""
+"""License scans: phrases by plain search, templates by every reading of their markup and by worked cases."""
 
 import random
 import re
@@ -41,7 +41,18 @@ def labels(text):
         ("under the MIT licence", set()),
         ("Licensed under the Apache License, Version 2.0.", {"apache-2.0-notice"}),
         ("This work is licensed under the GNU General Public License, version 3", {"gpl-notice"}),
-        ("under the GNU Affero General Public License", {"gpl-notice"}),
+        ("under the GNU Affero General Public License", {"agpl-notice"}),
+        ("under the terms of the GNU Lesser General Public License version 2.1", {"lgpl-notice"}),
+        ("licensed under the GNU Library General Public License", {"lgpl-library-notice"}),
+        ("released under the GNU GPL v3", {"gpl-short-notice"}),
+        ("SPDX-License-Identifier: BSD-3-Clause", {"spdx-identifier"}),
+        ("licensed under the 3-clause BSD license", {"bsd-notice"}),
+        ("available under the Mozilla Public License", {"mpl-notice"}),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", {"mpl-2.0-header"}),
+        ("Distributed under the Boost Software License, Version 1.0.", {"boost-notice"}),
+        ("licensed under the Creative Commons Attribution-ShareAlike 4.0 International License", {"cc-by-notice"}),
+        ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", {"cc0-notice"}),
+        ("the GPL, the Boost library and Mozilla", set()),
         ("under the GNU wild General Public License", set()),
     ],
 )
@@ -128,7 +139,7 @@ def test_automata_against_every_reading():
             assert a.longest(words, at) == max(plain_ends(template, words, at), default=-1)
 
 
-@pytest.mark.parametrize("label", ["mit-text", "bsd-2-clause", "bsd-3-clause", "isc-text", "gpl-header", "apache-2.0-header"])
+@pytest.mark.parametrize("label", ["mit-text", "bsd-2-clause", "bsd-3-clause", "isc-text", "gpl-header", "apache-2.0-header", "mpl-2.0-header", "unlicense-text", "zlib-text", "boost-text"])
 def test_a_text_without_its_last_part_is_not_that_license(label):
     whole = re.sub(r"<<var;name=\w+;words=(\d+)\.\.\d+>>", lambda m: "anyone " * int(m[1]), re.sub("<<(begin|end)Optional>>", " ", licenses.TEMPLATES[label]))
     assert label in labels(whole)
