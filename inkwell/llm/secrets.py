@@ -5,10 +5,11 @@ characters of secret-like alphabets is a candidate. A small convolutional
 network in numpy reads every candidate, base ones too, with its surrounding
 characters and says how likely it is a secret. The network is trained on
 labelled findings that a seeded generator makes (the tables hold none): random
-keys in several alphabets, of one case too, against words, names, paths,
-numbers and repeated characters, both in contexts of either kind. The reporting
-threshold is calibrated on a part that training doesn't see: the largest that
-keeps RECALL of its secrets.
+keys in several alphabets, hexadecimal of both cases, UUIDs and letters of one
+case, against words, names, paths, numbers and repeated characters, both in
+contexts of either kind. Each of these kinds of runs has a threshold of its own,
+calibrated on findings that training doesn't see: the largest that keeps RECALL
+of the kind's secrets.
 
 Candidates longer than the window are read in overlapping windows, and the
 largest value counts, so none is cut.
@@ -48,16 +49,30 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 BEFORE, OF, AFTER = 24, 40, 8
 WIDTH = BEFORE + OF + AFTER
 RECALL = 0.98
-FILTERS, KERNEL, GROUPS = 24, 5, 12
+FILTERS, KERNEL, GROUPS = 32, 5, 36
 
-# Classes of characters that the network tells apart.
-_CLASSES = [string.ascii_lowercase, string.ascii_uppercase, string.digits, "+/", "_-", ".", "=", ":\"'", " \t\n", "(){}[]<>,;", "#$%&|*!?@"]
+# Classes of characters that the network tells apart: letters without their case, and groups of others.
+_CLASSES = [*(a + a.upper() for a in string.ascii_lowercase), string.digits, "+/", "_-", ".", "=", ":\"'", " \t\n", "(){}[]<>,;", "#$%&|*!?@"]
 _CLASS = np.full(0x250, GROUPS - 1, np.uint8)
 for _i, _c in enumerate(_CLASSES):
     for _ch in _c:
         _CLASS[ord(_ch)] = _i
 
 
+#: Kinds of runs, each with a threshold: UUIDs, hexadecimal digits with a letter, letters of one case, all others.
+RUNS = ("uuid", "hex", "one_case", "mixed")
+_UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE | re.ASCII)
+_HEXISH = re.compile(r"(?=[0-9]*[A-Fa-f])(?:[0-9a-f]+|[0-9A-F]+)", re.ASCII)
+_ONE_CASE = re.compile(r"[.=_/+-]*(?:[a-z]+|[A-Z]+)[.=_/+-]*")
+
+
+def run_kind(body: str) -> int:
+    """The place in RUNS of a candidate's characters."""
+    if _UUID.search(body):
+        return 0
+    return 1 if _HEXISH.fullmatch(body) else 2 if _ONE_CASE.fullmatch(body) else 3
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the base patterns, in order."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
@@ -83,13 +98,14 @@ def windows(text: str, start: int, end: int) -> list[str]:
 
 
 def encode(ws: list[str]) -> np.ndarray:
-    """(n, WIDTH, GROUPS + 3): class, inside or not, repeat of the last, distinct share."""
+    """(n, WIDTH, GROUPS + 4): class, inside or not, repeat of the last, shares of distinct characters and vowels, upper case."""
     codes = np.frombuffer("".join(ws).encode("utf-32-le"), np.uint32).reshape(len(ws), WIDTH)
     classes = np.where(codes < len(_CLASS), _CLASS[np.minimum(codes, len(_CLASS) - 1)], GROUPS - 1)
-    x = np.zeros((len(ws), WIDTH, GROUPS + 3), np.float32)
+    x = np.zeros((len(ws), WIDTH, GROUPS + 4), np.float32)
     np.put_along_axis(x[:, :, :GROUPS], classes[:, :, None].astype(np.int64), 1, 2)
     x[codes == 0] = 0
     x[:, BEFORE : BEFORE + OF, GROUPS] = 1
+    x[:, :, GROUPS + 3] = (codes >= 65) & (codes <= 90)
     x[:, 1:, GROUPS + 1] = codes[:, 1:] == codes[:, :-1]
     inside = codes[:, BEFORE : BEFORE + OF]
     s = np.sort(inside, 1)
@@ -103,8 +119,9 @@ def encode(ws: list[str]) -> np.ndarray:
 class Network:
     """Convolution, maximum and mean over inside and surroundings, one unit."""
 
-    def __init__(self, conv: np.ndarray, cbias: np.ndarray, w: np.ndarray, b: float, threshold: float = 0.5):
-        self.conv, self.cbias, self.w, self.b, self.threshold = conv, cbias, w, b, threshold
+    def __init__(self, conv: np.ndarray, cbias: np.ndarray, w: np.ndarray, b: float, thresholds: np.ndarray | None = None):
+        self.conv, self.cbias, self.w, self.b = conv, cbias, w, b
+        self.thresholds = np.full(len(RUNS), 0.5) if thresholds is None else thresholds
 
     def _hidden(self, x):
         cols = np.lib.stride_tricks.sliding_window_view(x, KERNEL, axis=1).transpose(0, 1, 3, 2)
@@ -150,12 +167,16 @@ class Network:
                     p[i] = (p[i] - 0.004 * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)).astype(np.float32)
         return cls(p[0], p[1], p[2], float(p[3][0]))
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float = RECALL) -> Network:
-        """The largest threshold that keeps `recall` of the secrets; 0.5 where there are none."""
-        found = np.sort(self.scores(x)[y == 1])
-        self.threshold = float(found[int((1 - recall) * len(found))]) if len(found) else 0.5
+    def calibrate(self, values: np.ndarray, y: np.ndarray, kinds: np.ndarray, recall: float = RECALL) -> Network:
+        """For each kind the largest threshold that keeps `recall` of its secrets by their values; 0.5 where there are none."""
+        for kind in range(len(RUNS)):
+            found = np.sort(values[(y == 1) & (kinds == kind)])
+            self.thresholds[kind] = found[int((1 - recall) * len(found))] if len(found) else 0.5
         return self
 
+    def reports(self, body: str, value: float) -> bool:
+        return value >= self.thresholds[run_kind(body)]
+
 
 def labelled_findings(n: int, seed: int) -> tuple[list[tuple[str, int, int]], np.ndarray]:
     """Seeded texts, each with the span of one candidate, and whether it is a secret."""
@@ -165,7 +186,9 @@ def labelled_findings(n: int, seed: int) -> tuple[list[tuple[str, int, int]], np
     alnum = string.ascii_letters + string.digits
     syllables = ["th", "er", "an", "on", "re", "ti", "es", "en", "at", "ed", "nd", "ou", "le", "la", "que", "der", "ein", "ung", "con", "ment", "tion", "aire", "ado", "key", "set", "get", "user", "data", "list", "path"]
     word = lambda: "".join(pick(syllables) for _ in range(int(rng.integers(1, 5))))
-    long_word = lambda: "".join(pick(syllables) for _ in range(int(rng.integers(6, 11))))
+    clusters = ["sch", "ch", "lich", "heit", "keit", "nicht", "ung", "zu", "be", "er", "en", "ein", "ver", "ge", "te", "st", "pf", "tz", "und", "die", "schaft", "ber", "chen", "str", "ie"]
+    long_word = lambda: "".join(pick(pick([syllables, clusters])) for _ in range(int(rng.integers(6, 11))))
+    german = lambda: "".join(pick(clusters) for _ in range(int(rng.integers(5, 11))))
     secret = [
         lambda: rand(alnum, int(rng.integers(20, 60))),
         lambda: rand(alnum + "+/", 4 * int(rng.integers(6, 16))) + pick(["", "=", "=="]),
@@ -173,7 +196,17 @@ def labelled_findings(n: int, seed: int) -> tuple[list[tuple[str, int, int]], np
         lambda: pick(["ghp_", "sk_live_", "xoxb-", "glpat-", "key-", "AIza"]) + rand(alnum, int(rng.integers(20, 40))),
         lambda: rand(string.ascii_uppercase + string.digits, int(rng.integers(20, 40))),
         lambda: ".".join(rand(alnum + "_-", int(rng.integers(16, 40))) for _ in range(3)),
-        lambda: rand(pick([string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters]), int(rng.integers(16, 40))),
+        lambda: rand(string.ascii_letters, int(rng.integers(16, 40))),
+    ]
+    hexed = [
+        lambda: rand("0123456789abcdef", int(rng.integers(16, 24))),
+        lambda: rand("0123456789ABCDEF", int(rng.integers(16, 65))),
+    ]
+    uuid = [
+        lambda: pick([str, str.upper])("-".join(rand("0123456789abcdef", k) for k in (8, 4, 4, 4, 12))),
+    ]
+    one_case = [
+        lambda: rand(pick([string.ascii_lowercase, string.ascii_uppercase]), int(rng.integers(16, 40))),
     ]
     plain = [
         lambda: "_".join(word() for _ in range(int(rng.integers(3, 7)))) + str(int(rng.integers(10))),
@@ -188,13 +221,17 @@ def labelled_findings(n: int, seed: int) -> tuple[list[tuple[str, int, int]], np
         lambda: (word() * 8)[:20] + rand(string.digits, 2),
         lambda: long_word() + pick(["", ".", ".", "s"]),
         lambda: pick([str.lower, str.upper, str.capitalize])(long_word()) + pick(["", "."]),
+        lambda: pick([str.lower, str.capitalize])(german()) + pick(["", ".", ".", "s"]),
         lambda: pick("-=_./").join(word() for _ in range(int(rng.integers(4, 9)))),
         lambda: pick("-=_./+") * int(rng.integers(16, 80)),
+        lambda: "-".join(pick("0af") * k for k in (8, 4, 4, 4, 12)),
+        lambda: pick(["0123456789abcdef", "deadbeef", "cafebabe", "facade00", "ABCDEF"]) * 4,
+        lambda: (rand("0123456789", 1) + pick("abcdef")) * int(rng.integers(8, 16)),
     ]
     found, y = [], []
     for k in range(n):
         is_secret = k % 2
-        body = pick(secret if is_secret else plain)()
+        body = pick(pick([secret, secret, hexed, uuid, one_case]) if is_secret else plain)()
         while len(body) < MIN_LEN:
             body += body
         hint = pick(["key = ", "Authorization: Bearer ", "credential: ", "auth=", "private_key: \"", "client_id='"])
@@ -209,10 +246,11 @@ def labelled_findings(n: int, seed: int) -> tuple[list[tuple[str, int, int]], np
 @functools.lru_cache(maxsize=1)
 def trained() -> Network:
     """The network, trained once in a process; reruns agree."""
-    found, y = labelled_findings(4000, 17)
-    x = encode([windows(*f)[0] for f in found])
-    cut = len(y) * 3 // 4
-    return Network.train(x[:cut], y[:cut]).calibrate(x[cut:], y[cut:])
+    found, y = labelled_findings(12000, 17)
+    cut = len(y) * 3 // 5
+    net = Network.train(encode([windows(*f)[0] for f in found[:cut]]), y[:cut])
+    held = np.array([values(t, [(a, b)], net)[0] for t, a, b in found[cut:]])
+    return net.calibrate(held, y[cut:], np.array([run_kind(t[a:b]) for t, a, b in found[cut:]]))
 
 
 def values(text: str, spans: list[tuple[int, int]], net: Network) -> list[float]:
@@ -229,7 +267,7 @@ def scan(text: str, net: Network) -> tuple[list[tuple[int, int, int]], list[tupl
     base = base_spans(text)
     more = apart(candidates(text), base)
     valued = values(text, [(s, e) for s, _, e in base] + more, net)
-    kept = [(c[0], 3, c[1]) for c, p in zip(more, valued[len(base) :], strict=True) if p >= net.threshold]
+    kept = [(c[0], 3, c[1]) for c, p in zip(more, valued[len(base) :], strict=True) if net.reports(text[c[0] : c[1]], p)]
     by_span = dict(zip([*base, *[(s, 3, e) for s, e in more]], valued, strict=True))
     spans = sorted(base + kept)
     return base, spans, [by_span[x] for x in spans]
