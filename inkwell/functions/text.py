@@ -28,7 +28,7 @@ def words(s: Column) -> Column:
 
 
 def word_count(s: Column) -> Column:
-    return F.coalesce(F.size(words(F.coalesce(s, F.lit("")))), F.lit(0)).cast("long")
+    return F.regexp_count(F.coalesce(s, F.lit("")), F.lit(f"[^{SPACE[1:-1]}]+")).cast("long")
 
 
 def sha256_text(s: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from inkwell.functions import dates
-from inkwell.operators import discovery
+from inkwell.operators import discovery, intervals
 from inkwell.session import table
 
 
@@ -67,11 +67,25 @@ def backoff_schedule(spark, sf_dir):
     return spark.range(1, 3).select(F.col("id").alias("attempt")).select("attempt", dates.retry_delay(a).alias("delay_seconds"))
 
 
-QUERIES = {f.__name__: f for f in (date_window, window_dates, window_range_join, listing_gate, pagination_stop, available_dates, cron_next_fire, backoff_schedule)}
+def wide_range_join(spark, sf_dir):
+    """Orders in windows of 1 to 400 days, one a supplier: how many, and the first and last."""
+    k = F.col("s_suppkey")
+    low = F.unix_date(F.date_add(F.lit("1992-01-01").cast("date"), F.pmod(k * 611, F.lit(2500)).cast("int"))).alias("low")
+    windows = table(spark, sf_dir, "supplier").select("s_suppkey", low, F.pmod(k * 37, F.lit(400)).alias("width")).withColumn("high", F.col("low") + F.col("width"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.unix_date(F.to_date("o_orderdate")).alias("day"))
+    found = intervals.join_ranges(orders, windows, "day", "low", "high")
+    return found.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("orders"), F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"), F.count_distinct("o_orderkey").alias("distinct_orders"))
+
+
+QUERIES = {f.__name__: f for f in (date_window, window_dates, window_range_join, wide_range_join, listing_gate, pagination_stop, available_dates, cron_next_fire, backoff_schedule)}
 
 _DAYS = "d AS (SELECT DISTINCT o_orderdate::DATE AS run_day FROM orders), w AS (SELECT run_day, run_day - CASE WHEN isodow(run_day) = 1 THEN 3 WHEN isodow(run_day) < 6 THEN 1 ELSE 0 END::INTEGER AS start_day FROM d)"
 
 ORACLES = {
+    "wide_range_join": """
+WITH s AS (SELECT s_suppkey, DATE '1992-01-01' + (s_suppkey * 611 % 2500)::INT AS low, (s_suppkey * 37 % 400)::INT AS width FROM supplier)
+SELECT s_suppkey, count(*) AS orders, min(o_orderkey) AS first, max(o_orderkey) AS last, count(DISTINCT o_orderkey) AS distinct_orders
+FROM s JOIN orders ON o_orderdate::DATE BETWEEN low AND low + width GROUP BY s_suppkey""",
     "date_window": f"WITH {_DAYS} SELECT run_day::VARCHAR AS run_day, start_day::DATE::VARCHAR AS start_day, CASE WHEN isodow(run_day) = 1 THEN 'MONDAY_WEEKEND_CATCHUP' WHEN isodow(run_day) < 6 THEN 'DAILY_WITH_LOOKBACK' ELSE 'WEEKEND_MANUAL' END AS mode FROM w",
     "window_dates": f"WITH {_DAYS} SELECT run_day::VARCHAR AS run_day, unnest(generate_series(start_day::TIMESTAMP, run_day::TIMESTAMP, INTERVAL 1 DAY))::DATE::VARCHAR AS publication_day FROM w",
     "window_range_join": f"WITH {_DAYS} SELECT run_day::VARCHAR AS run_day, count(*) AS orders, max(o_orderkey) AS last_key FROM w JOIN orders ON o_orderdate::DATE BETWEEN start_day AND run_day GROUP BY run_day",

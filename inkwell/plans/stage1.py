@@ -15,12 +15,17 @@ from inkwell.sources.rules import Rules
 
 
 def select_articles(staged: DataFrame, target_date: str) -> DataFrame:
-    """The latest matching version of every article for a date, with the method that matched, in the order of paths."""
+    """The latest matching version of every article for a date, with the method that matched.
+
+    Names, versions and times alone are ranked; texts meet only the rows that
+    won, which are few, so they neither sort nor move.
+    """
     method = selection.match_method(F.col("published_at"), F.col("collection_run_date"), text.path_date(F.col("path")), F.lit(target_date))
     identity = text.article_identity(F.col("source"), F.col("canonical_url"), F.col("source_url"), F.col("path"))
     version = text.article_version(F.col("article_version"), F.col("path"))
     matched = staged.where("not corrupt").withColumns({"method": method, "identity": identity, "version": version}).where("method is not null")
-    return versions.latest(matched, ["identity"], "version", "mtime", "path").orderBy("path")
+    won = versions.latest(matched.select("identity", "version", "mtime", "path"), ["identity"], "version", "mtime", "path")
+    return matched.join(materialize(won.select("identity", "version", "path"), "won"), ["identity", "version", "path"], "left_semi")
 
 
 def run(spark, staged_root: str, sources: list[str], target_date: str, rules: Rules, analyses_path: str, review_path: str, one_a_file: bool = True) -> DataFrame:
@@ -50,7 +55,7 @@ def run(spark, staged_root: str, sources: list[str], target_date: str, rules: Ru
     empty = good.withColumns({"human_label": F.lit(None).cast("string"), "review_notes": F.lit(None).cast("string")})
     labelled = selection.merge_annotations(empty, annotations)
     file = F.concat(F.lit(f"{analyses_path}/run_date={target_date}/source_slug="), F.col("source_slug"), F.lit("/"), F.col("article_id"))
-    sinks.write_review(sinks.review_rows(labelled, file).orderBy("source_url"), review_path)
+    sinks.write_review(sinks.review_rows(labelled, file, "path").orderBy("path").drop("path"), review_path)
     return rollup.gate_counts(scored.withColumn("gate_decision", F.when(F.col("failure").isNull(), F.col("gate_decision"))))
 
 

@@ -49,8 +49,8 @@ def write_analyses(analyses: DataFrame, path: str) -> None:
     _merged(analyses, readers.analyses(path))
 
 
-def review_rows(scored: DataFrame, analysis_file: Column) -> DataFrame:
-    """Scored articles with their labels in the review file's columns, lists as text."""
+def review_rows(scored: DataFrame, analysis_file: Column, *more: str) -> DataFrame:
+    """Scored articles with their labels in the review file's columns, lists as text; more: further columns after them."""
     said = {
         "institutions": text.list_text(F.col("institutions")),
         "matched_financial_terms": text.groups_text(F.col("matched_financial_terms")),
@@ -58,7 +58,7 @@ def review_rows(scored: DataFrame, analysis_file: Column) -> DataFrame:
         "pr_counter_signals": text.list_text(F.col("pr_counter_signals")),
         "analysis_file": analysis_file,
     }
-    return scored.withColumns(said).select(*REVIEW_COLUMNS)
+    return scored.withColumns(said).select(*REVIEW_COLUMNS, *more)
 
 
 def write_review(rows: DataFrame, path: str) -> None:
