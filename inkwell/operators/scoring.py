@@ -88,10 +88,10 @@ def score(articles: DataFrame, rules: Rules, headline: str = "headline", body: s
     """articles with the columns of the stage-1 result.
 
     One pass over each row: no join, no shuffle. Terms are literals of the
-    plan, so their number is that of the rules file.
+    plan, so their number is that of the rules file; operators.lexicon takes a
+    table of them.
     """
     normed = articles.withColumns({"_h": text.matching_form(F.col(headline)), "_b": text.matching_form(F.col(body))})
-    total = lambda groups: F.aggregate(groups, F.lit(0.0), lambda s, g: s + g["score"])
     normed = normed.withColumns({"_hw": text.word_set(F.col("_h"), rules.terms()), "_bw": text.word_set(F.col("_b"), rules.terms()), "_c": F.concat("_h", F.lit(" "), "_b")})
     normed = normed.withColumn("_cw", F.array_union("_hw", "_bw"))
     h, b, words = F.col("_h"), F.col("_b"), (F.col("_hw"), F.col("_bw"))
@@ -103,6 +103,12 @@ def score(articles: DataFrame, rules: Rules, headline: str = "headline", body: s
             "pr_counter_signals": text.matching_terms(F.col("_c"), list(rules.counter), F.col("_cw")),
         }
     )
+    return outcome(matched, rules.version).drop("_h", "_b", "_c", "_hw", "_bw", "_cw")
+
+
+def outcome(matched: DataFrame, version: str) -> DataFrame:
+    """matched (_f and _p: groups with a match; institutions, pr_counter_signals) with scores, labels, gate and reasons."""
+    total = lambda groups: F.aggregate(groups, F.lit(0.0), lambda s, g: s + g["score"])
     n_counter = F.size("pr_counter_signals")
     scored = matched.withColumns({"financial_score": financial_score(total(F.col("_f")), F.size("institutions"))})
     scored = scored.withColumns({"pr_score": pr_score(total(F.col("_p")), n_counter, F.col("financial_score"))})
@@ -110,7 +116,7 @@ def score(articles: DataFrame, rules: Rules, headline: str = "headline", body: s
     named = lambda c: F.transform(c, lambda g: F.struct(g["name"].alias("name"), g["terms"].alias("terms")))
     return scored.withColumns(
         {
-            "rules_version": F.lit(rules.version),
+            "rules_version": F.lit(version),
             "financial_label": financial_label(f),
             "pr_label": pr_label(p),
             "gate_decision": gate_decision(f, p, n_counter, strong),
@@ -119,7 +125,7 @@ def score(articles: DataFrame, rules: Rules, headline: str = "headline", body: s
             "matched_pr_terms": named(F.col("_p")),
             "reasons": reasons(F.col("institutions"), F.col("_f"), F.col("_p"), F.col("pr_counter_signals")),
         }
-    ).drop("_h", "_b", "_c", "_hw", "_bw", "_cw", "_f", "_p")
+    ).drop("_f", "_p")
 
 
 def required_fields_failure(headline: Column, body: Column, url: Column) -> Column:

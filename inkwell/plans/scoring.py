@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions import text
-from inkwell.operators import rollup, scoring, selection
-from inkwell.session import table
+from inkwell.operators import lexicon, rollup, scoring, selection
+from inkwell.session import materialize, table
 from inkwell.sources.rules import DEMO, STRONG_GROUPS, Group, Rules
 
 
@@ -70,7 +70,20 @@ def stage1_full(spark, sf_dir):
     return rows.join(labels, F.col("doc_id") == F.col("labelled"), "left").drop("labelled").withColumn("human_label", F.coalesce("given", F.lit(""))).drop("given")
 
 
-QUERIES = {f.__name__: f for f in (term_match, group_score, institution_detect, gate_decision, reasons_text, gate_counts, review_merge, stage1_full)}
+def lexicon_groups(spark, sf_dir):
+    """Documents scored with a table of terms: all words, and pairs of words, of the benchmark's texts, in groups by length."""
+    b = table(spark, sf_dir, "benchmark").select(text.matching_form(F.col("text")).alias("form")).withColumn("chunks", F.split("form", " "))
+    pairs = F.zip_with("chunks", F.slice("chunks", F.lit(2), F.size("chunks")), lambda x, y: F.concat(F.regexp_extract(x, "([a-z0-9]+)$", 1), F.lit(" "), F.regexp_extract(F.coalesce(y, F.lit("")), "^([a-z0-9]+)", 1)))
+    two = F.filter(pairs, lambda t: t.rlike("^[a-z0-9]+ [a-z0-9]+$"))
+    words = b.select(F.explode(F.concat(F.regexp_extract_all("form", F.lit("([a-z0-9]+)"), F.lit(1)), two)).alias("term")).distinct()
+    n = F.length("term")
+    terms = words.select(F.lit("financial").alias("kind"), F.concat(F.lit("g"), n % 5).alias("group"), (n % 5).cast("int").alias("group_ord"), F.lit(0).alias("term_ord"), "term", (1 + n % 3).cast("double").alias("weight"), F.lit(25.0).alias("max_score"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("headline"), F.col("text").alias("article_text"))
+    held = materialize(terms, "terms")
+    return lexicon.group_rows(lexicon.matches(d, held), held).select(F.col("key").alias("doc_id"), "group", F.size("terms").cast("long").alias("n_terms"), F.sha2(F.array_join("terms", "|"), 256).alias("terms_sha256"), "score")
+
+
+QUERIES = {f.__name__: f for f in (term_match, group_score, lexicon_groups, institution_detect, gate_decision, reasons_text, gate_counts, review_merge, stage1_full)}
 
 
 def _q(s: str) -> str:
@@ -137,7 +150,20 @@ s AS (
 
 _CHAIN = "WITH " + oracle(DEMO)
 
+_FORM = r"trim(regexp_replace(regexp_replace(translate(lower({}), '’‘–—', '''''--'), '[^a-z0-9%+\-''. ]+', ' ', 'g'), ' +', ' ', 'g'))"
+_WORDS_AND_PAIRS = r"""list_concat(regexp_extract_all(f, '[a-z0-9]+'), list_filter(list_transform(list_zip(c, c[2:]),
+         lambda x: regexp_extract(x[1], '[a-z0-9]+$') || ' ' || regexp_extract(coalesce(x[2], ''), '^[a-z0-9]+')), lambda x: regexp_matches(x, '^[a-z0-9]+ [a-z0-9]+$')))"""
+
 ORACLES = {
+    "lexicon_groups": f"""
+WITH t AS (SELECT DISTINCT unnest({_WORDS_AND_PAIRS}) AS term FROM (SELECT f, string_split(f, ' ') AS c FROM (SELECT {_FORM.format("text")} AS f FROM benchmark))),
+d AS (
+  SELECT doc_id, head, f, string_split(f, ' ') AS c
+  FROM (SELECT doc_id, true AS head, {_FORM.format("split_part(text, chr(10), 1)")} AS f FROM documents UNION ALL SELECT doc_id, false, {_FORM.format("text")} FROM documents)),
+m AS (SELECT doc_id, term, bool_or(head) AS head FROM (SELECT doc_id, head, unnest({_WORDS_AND_PAIRS}) AS term FROM d) JOIN t USING (term) GROUP BY doc_id, term)
+SELECT doc_id, 'g' || length(term) % 5 AS "group", count(*) AS n_terms, sha256(string_agg(term, '|' ORDER BY term)) AS terms_sha256,
+       least(sum((1 + length(term) % 3)::DOUBLE * CASE WHEN head THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END), 25.0::DOUBLE) AS score
+FROM m GROUP BY 1, 2""",
     "term_match": _CHAIN + f"""
 SELECT d.doc_id, coalesce(string_agg(term, '|' ORDER BY term), '') AS terms FROM d LEFT JOIN terms ON {_HAS.format("b", "term")} GROUP BY d.doc_id""",
     "group_score": _CHAIN + " SELECT doc_id, grp AS group_name, terms, score FROM groups WHERE kind = 'financial'",
