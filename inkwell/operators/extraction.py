@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions import html, markup, text
 
 
-def with_facts(pages: DataFrame, url: str = "url", markup_col: str = "html", *more: str) -> DataFrame:
+def with_facts(pages: DataFrame, url: str = "url", markup_col: str = "html", *more: str, now: Column | None = None) -> DataFrame:
     """pages with headline, subheadline, author, published_at and canonical_url.
 
     A page is read once; the JSON-LD items are shared by all fields. more:
-    further parts of the page (markup.parsed) that become columns.
+    further parts of the page (markup.parsed) that become columns. now: what
+    relative dates are relative to; without it they are none.
     """
     parts = pages.withColumn("_page", markup.parsed(F.col(markup_col), *html.PARTS, *more))
     parts = parts.withColumn("_items", html.json_items(F.col("_page.scripts")))
@@ -21,7 +22,7 @@ def with_facts(pages: DataFrame, url: str = "url", markup_col: str = "html", *mo
         "headline": html.headline_of(p, i),
         "subheadline": html.subheadline_of(p, i),
         "author": html.author_of(p, i),
-        "published_at": html.published_of(p, i),
+        "published_at": html.published_of(p, i, now),
         "canonical_url": html.canonical_of(p, i, F.col(url)),
     }
     return parts.withColumns(facts | {m: p[m] for m in more}).drop("_page", "_items")
@@ -29,7 +30,8 @@ def with_facts(pages: DataFrame, url: str = "url", markup_col: str = "html", *mo
 
 def extract_articles(pages: DataFrame, source_name: str, section_name: str, retrieved_at: str | None = None) -> DataFrame:
     """Whole records of pages with url, final_url and html."""
-    found = with_facts(pages, "final_url", "html", "body").withColumnRenamed("body", "article_text")
+    at = F.lit(retrieved_at).cast("timestamp") if retrieved_at else F.current_timestamp()
+    found = with_facts(pages, "final_url", "html", "body", now=at).withColumnRenamed("body", "article_text")
     now = F.lit(retrieved_at) if retrieved_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss+00:00")
     return found.select(
         F.lit(source_name).alias("source_name"),

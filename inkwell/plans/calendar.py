@@ -67,6 +67,21 @@ def backoff_schedule(spark, sf_dir):
     return spark.range(1, 3).select(F.col("id").alias("attempt")).select("attempt", dates.retry_delay(a).alias("delay_seconds"))
 
 
+def date_wordings(spark, sf_dir):
+    """Dates of orders as pages word them, read at six in the morning of the order's day."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    day = F.to_date("o_orderdate")
+    now = F.timestamp_seconds(F.unix_seconds(day.cast("timestamp")) + 6 * 3600 + 10 * 60 + 5)
+    d = F.date_add(day, F.pmod(k, F.lit(300)).cast("int") * -1)
+    nth = F.concat(F.dayofmonth(d), F.when(F.dayofmonth(d).isin(1, 21, 31), "st").when(F.dayofmonth(d).isin(2, 22), "nd").when(F.dayofmonth(d).isin(3, 23), "rd").otherwise("th"))
+    said = [
+        F.concat(k % 50, F.lit(" hours ago")), F.concat(F.lit("about "), k % 30 + 1, F.lit(" months ago")), F.concat(F.lit("Yesterday at "), k % 12 + 1, F.lit(":05 PM")), F.date_format(d, "EEEE"),
+        F.concat(F.date_format(d, "MMM "), nth, F.date_format(d, ", yyyy")), F.date_format(d, "d MMMM"), F.concat(F.date_format(d, "yyyy/M/d"), F.lit(" 21:40 UTC")), F.concat(k % 100, F.lit(" comments")),
+    ]
+    wording = F.element_at(F.array(*said), (F.pmod(k, F.lit(8)) + 1).cast("int"))
+    return o.select("o_orderkey", wording.alias("wording"), dates.parse_date(wording, now).alias("parsed"))
+
+
 def wide_range_join(spark, sf_dir):
     """Orders in windows of 1 to 400 days, one a supplier: how many, and the first and last."""
     k = F.col("s_suppkey")
@@ -77,11 +92,23 @@ def wide_range_join(spark, sf_dir):
     return found.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("orders"), F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"), F.count_distinct("o_orderkey").alias("distinct_orders"))
 
 
-QUERIES = {f.__name__: f for f in (date_window, window_dates, window_range_join, wide_range_join, listing_gate, pagination_stop, available_dates, cron_next_fire, backoff_schedule)}
+QUERIES = {f.__name__: f for f in (date_window, window_dates, window_range_join, date_wordings, wide_range_join, listing_gate, pagination_stop, available_dates, cron_next_fire, backoff_schedule)}
 
 _DAYS = "d AS (SELECT DISTINCT o_orderdate::DATE AS run_day FROM orders), w AS (SELECT run_day, run_day - CASE WHEN isodow(run_day) = 1 THEN 3 WHEN isodow(run_day) < 6 THEN 1 ELSE 0 END::INTEGER AS start_day FROM d)"
 
 ORACLES = {
+    "date_wordings": """
+WITH o AS (
+  SELECT o_orderkey AS k, o_orderdate::DATE AS day, o_orderdate::DATE::TIMESTAMP + INTERVAL '11 hours 40 minutes 5 seconds' AS here, o_orderdate::DATE - (o_orderkey % 300)::INT AS d FROM orders),
+w AS (
+  SELECT *, CASE k % 8 WHEN 0 THEN k % 50 || ' hours ago' WHEN 1 THEN 'about ' || k % 30 + 1 || ' months ago' WHEN 2 THEN 'Yesterday at ' || k % 12 + 1 || ':05 PM' WHEN 3 THEN strftime(d, '%A')
+                 WHEN 4 THEN strftime(d, '%b ') || day(d) || CASE WHEN day(d) IN (1, 21, 31) THEN 'st' WHEN day(d) IN (2, 22) THEN 'nd' WHEN day(d) IN (3, 23) THEN 'rd' ELSE 'th' END || strftime(d, ', %Y')
+                 WHEN 5 THEN strftime(d, '%-d %B') WHEN 6 THEN strftime(d, '%Y/%-m/%-d 21:40 UTC') ELSE k % 100 || ' comments' END AS wording,
+         CASE k % 8 WHEN 0 THEN here - to_hours(k % 50) WHEN 1 THEN here - to_months((k % 30 + 1)::INT) WHEN 2 THEN (day - 1)::TIMESTAMP + to_hours((k % 12 + 1) % 12 + 12) + INTERVAL 5 MINUTE
+                 WHEN 3 THEN (day - CASE WHEN (day - d) % 7 = 0 THEN 7 ELSE (day - d) % 7 END::INT)::TIMESTAMP WHEN 4 THEN d::TIMESTAMP
+                 WHEN 5 THEN d::TIMESTAMP WHEN 6 THEN d::TIMESTAMP + INTERVAL '21 hours 40 minutes' + INTERVAL '5 hours 30 minutes' END AS moment
+  FROM o)
+SELECT k AS o_orderkey, wording, strftime(moment, '%Y-%m-%dT%H:%M:%S') || '+05:30' AS parsed FROM w""",
     "wide_range_join": """
 WITH s AS (SELECT s_suppkey, DATE '1992-01-01' + (s_suppkey * 611 % 2500)::INT AS low, (s_suppkey * 37 % 400)::INT AS width FROM supplier)
 SELECT s_suppkey, count(*) AS orders, min(o_orderkey) AS first, max(o_orderkey) AS last, count(DISTINCT o_orderkey) AS distinct_orders

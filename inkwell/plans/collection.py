@@ -40,13 +40,13 @@ LISTINGS = {
 _NEAR = {"dates": html.links_with_dates, "excerpts": html.links_with_excerpts, "cards": html.links_with_cards}
 
 
-def discover(section_pages: DataFrame, listing: Listing) -> DataFrame:
-    """page, pos, url, headline, published_at_hint, excerpt: the article links of section pages (page, html)."""
+def discover(section_pages: DataFrame, listing: Listing, now: str | None = None) -> DataFrame:
+    """page, pos, url, headline, published_at_hint, excerpt: the article links of section pages (page, html); now: as in dates.parse_date."""
     each = section_pages.select("page", F.posexplode(_NEAR[listing.links](F.col("html"))).alias("pos", "l"))
     url = urls.normalize_url(urls.absolute_url(F.lit(listing.base), F.col("l.href")))
     found = each.select("page", F.col("pos").cast("long").alias("pos"), url.alias("url"), text.collapse(F.col("l.text")).alias("headline"), F.col("l.date").alias("near"), "l.excerpt")
     kept = found.where(urls.domain_matches(F.col("url"), listing.domain) & urls.path(F.col("url")).rlike(listing.pattern) & (F.length("headline") >= listing.least_headline))
-    hint = dates.parse_free_text(F.col("near"))
+    hint = dates.parse_date(F.col("near"), F.lit(now).cast("timestamp") if now else None)
     if listing.date_in_path:
         in_path = dates.hint_from_path(urls.path(F.col("url")))
         hint = in_path if listing.links == "excerpts" else F.coalesce(hint, in_path)
@@ -177,7 +177,7 @@ def collect_stored(candidates: DataFrame, pages: DataFrame, state_root: str, sou
 def _run(source_key: str, section_pages: DataFrame, state_of: Callable[[DataFrame], DataFrame], run_day: str, now: str, raw_path: str, staged_path: str, pages: DataFrame | None,
          fetch: Callable[[DataFrame], DataFrame] = readers.fetch_pages, listing: Listing | None = None) -> tuple[DataFrame, DataFrame]:
     listing = listing or LISTINGS[source_key]
-    found = materialize(required(discover(section_pages, listing), listing, run_day), "candidates")
+    found = materialize(required(discover(section_pages, listing, now), listing, run_day), "candidates")
     pages_of = lambda due: materialize(fetch(due).select("url", "final_url", "html"), "pages") if pages is None else pages
     return _stored(found, pages_of, state_of, source_key, "business", run_day, now, raw_path, staged_path)
 
