@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of documents. What a stage returns is written as
 Parquet and read again as the next one's docs.
+
+Defined cases: a null or empty text has no letters, so language ID lets it go;
+of rows that repeat a text one stays, the smallest id, null ids last; rows that
+repeat an id stay or go by their own texts; null sources are one source of the
+mix, and null labels and languages teach nothing; extra columns travel to the
+last stage; an empty table gives no rows.
 """
 
 from __future__ import annotations
