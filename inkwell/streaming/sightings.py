@@ -2,43 +2,23 @@
 
 Batches of sightings arrive as files or from a log. The re-fetch gate is state
 by key: the time of the last fetch, which a skipped sighting doesn't reset.
-Version state is the content hash and the version by URL. Both run under
-Trigger.AvailableNow for scheduled runs or continuously.
+Version state is the content hash and the version by URL. Both are foreachBatch
+functions and run under Trigger.AvailableNow for scheduled runs or continuously.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from inkwell.operators.versions import fetch_chain
+from inkwell.operators.versions import fetch_chain, with_changes
 
 LAST = "key string, at timestamp"
 FETCHED = "key string, at timestamp, fetched boolean"
 VERSIONED = "key string, at timestamp, content_hash string, status string, version_number long"
-
-
-def fetch_gate(sightings: DataFrame, key: str, at: str, hours: float = 6.0) -> DataFrame:
-    """key, at, fetched for a stream of sightings; a batch's sightings of a key are taken in order of time."""
-    gap = pd.Timedelta(hours=hours)
-
-    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = pd.Timestamp(state.get[0], unit="us") if state.exists else None
-        rows = pd.concat(batches).sort_values("at")
-        done = []
-        for t in rows["at"]:
-            go = last is None or t - last >= gap
-            last = t if go else last
-            done.append(go)
-        state.update((int((last - pd.Timestamp(0)) // pd.Timedelta(microseconds=1)),))
-        yield pd.DataFrame({"key": k[0], "at": rows["at"].to_numpy(), "fetched": done})
-
-    named = sightings.select(F.col(key).cast("string").alias("key"), F.col(at).cast("timestamp").alias("at"))
-    return named.groupBy("key").applyInPandasWithState(step, FETCHED, "last long", "append", GroupStateTimeout.NoTimeout)
+HELD = "key string, hash_before string, version_before long"
 
 
 def gate_each(folder: str, key: str, at: str, hours: float = 6.0) -> Callable[[DataFrame, int], None]:
@@ -62,23 +42,28 @@ def gate_each(folder: str, key: str, at: str, hours: float = 6.0) -> Callable[[D
     return each
 
 
-def versions(fetches: DataFrame, key: str, at: str, hash_col: str = "content_hash") -> DataFrame:
-    """Change status and version number for a stream of fetches."""
+def versions_each(folder: str, key: str, at: str, hash_col: str = "content_hash") -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function: change status and version number of a batch's fetches go to folder/out/batch=N, each key's last hash and version to folder/state-0 or -1.
+
+    The batch's fetches of a key are ranked in order of time by Spark and begin
+    with what the batch before left, so no key is held whole; as in gate_each, a
+    batch that comes again gives the same rows once more. Fetches without key or
+    time are left out.
+    """
 
-    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held, version = state.get if state.exists else (None, 0)
-        rows = pd.concat(batches).sort_values("at")
-        status, numbers = [], []
-        for h in rows["content_hash"]:
-            status.append("NEW" if held is None else "CHANGED" if h != held else "UNCHANGED")
-            version += status[-1] != "UNCHANGED"
-            held = h
-            numbers.append(version)
-        state.update((held, version))
-        yield pd.DataFrame({"key": k[0], "at": rows["at"].to_numpy(), "content_hash": rows["content_hash"].to_numpy(), "status": status, "version_number": numbers})
+    def each(batch: DataFrame, number: int) -> None:
+        read = batch.sparkSession.read
+        named = batch.select(F.col(key).cast("string").alias("key"), F.col(at).cast("timestamp").alias("at"), F.col(hash_col).alias("content_hash")).where("key is not null and at is not null")
+        held = read.schema(HELD).parquet(f"{folder}/state-{(number - 1) % 2}") if number else None
+        to = f"{folder}/out/batch={number}"
+        with_changes(named, "key", ["at", "content_hash"], before=held).write.mode("overwrite").parquet(to)
+        last = read.schema(VERSIONED).parquet(to).groupBy("key").agg(F.max_by(F.struct("content_hash", "version_number"), F.struct("at", "content_hash")).alias("l"))
+        state = last.select("key", F.col("l.content_hash").alias("hash_before"), F.col("l.version_number").alias("version_before"))
+        if held is not None:
+            state = state.unionByName(held.join(state.select("key"), "key", "left_anti"))
+        state.write.mode("overwrite").parquet(f"{folder}/state-{number % 2}")
 
-    named = fetches.select(F.col(key).cast("string").alias("key"), F.col(at).cast("timestamp").alias("at"), F.col(hash_col).alias("content_hash"))
-    return named.groupBy("key").applyInPandasWithState(step, VERSIONED, "content_hash string, version long", "append", GroupStateTimeout.NoTimeout)
+    return each
 
 
 def seen_counts(sightings: DataFrame, key: str, at: str, late: str = "1 day", every: str = "1 hour") -> DataFrame:

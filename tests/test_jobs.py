@@ -192,19 +192,27 @@ def test_streams(spark, tmp_path):
     source = str(tmp_path / "in")
     spark.createDataFrame(rows[:3], schema).coalesce(1).write.parquet(source)
 
-    def drain(make, name):
+    gate, versions = sightings.gate_each(str(tmp_path / "gate"), "k", "t"), sightings.versions_each(str(tmp_path / "versions"), "k", "t")
+
+    def drain(each, name, schema_of):
         stream = spark.readStream.schema(schema).parquet(source)
-        q = make(stream).writeStream.format("parquet").option("path", str(tmp_path / name)).option("checkpointLocation", str(tmp_path / f"{name}-state")).outputMode("append").trigger(availableNow=True).start()
-        q.awaitTermination(120)
-        return spark.read.parquet(str(tmp_path / name)).collect()
-
-    drain(lambda s: sightings.fetch_gate(s, "k", "t"), "gate")
-    drain(lambda s: sightings.versions(s, "k", "t"), "versions")
-    spark.createDataFrame(rows[3:], schema).coalesce(1).write.mode("append").parquet(source)
-    gate = drain(lambda s: sightings.fetch_gate(s, "k", "t"), "gate")
-    assert sorted((r["at"].hour, r.fetched) for r in gate) == [(0, True), (3, False), (6, True), (8, False), (13, True)]
-    numbers = drain(lambda s: sightings.versions(s, "k", "t"), "versions")
-    assert sorted((r["at"].hour, r.status, r.version_number) for r in numbers) == [(0, "NEW", 1), (3, "UNCHANGED", 1), (6, "CHANGED", 2), (8, "UNCHANGED", 2), (13, "CHANGED", 3)]
+        stream.writeStream.foreachBatch(each).option("checkpointLocation", str(tmp_path / f"{name}-progress")).trigger(availableNow=True).start().awaitTermination(120)
+        return spark.read.schema(schema_of).parquet(str(tmp_path / name / "out")).collect()
+
+    drain(gate, "gate", sightings.FETCHED)
+    drain(versions, "versions", sightings.VERSIONED)
+    # the streams go on where they ended, from their stored state
+    spark.createDataFrame(rows[3:] + [(None, start, "x"), ("v", None, "x"), ("w", start, "y")], schema).coalesce(1).write.mode("append").parquet(source)
+    got = drain(gate, "gate", sightings.FETCHED)
+    assert sorted((r["key"], r["at"].hour, r.fetched) for r in got) == [("u", 0, True), ("u", 3, False), ("u", 6, True), ("u", 8, False), ("u", 13, True), ("w", 0, True)]
+    numbers = drain(versions, "versions", sightings.VERSIONED)
+    assert sorted((r["key"], r["at"].hour, r.status, r.version_number) for r in numbers) == [("u", 0, "NEW", 1), ("u", 3, "UNCHANGED", 1), ("u", 6, "CHANGED", 2), ("u", 8, "UNCHANGED", 2), ("u", 13, "CHANGED", 3), ("w", 0, "NEW", 1)]
+    held = spark.read.schema(sightings.HELD).parquet(str(tmp_path / "versions" / "state-1")).collect()
+    assert sorted((r["key"], r.hash_before, r.version_before) for r in held) == [("u", "a", 3), ("w", "y", 1)]
+    # a batch that comes again after a failure gives its rows once more
+    versions(spark.createDataFrame(rows[3:], schema), 1)
+    again = spark.read.schema(sightings.VERSIONED).parquet(str(tmp_path / "versions" / "out")).where("key = 'u'").collect()
+    assert sorted((r["at"].hour, r.version_number) for r in again) == [(0, 1), (3, 1), (6, 2), (8, 2), (13, 3)]
 
 
 def test_gate_of_batches(spark, tmp_path):
