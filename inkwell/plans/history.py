@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions import dates, text
-from inkwell.operators import selection, validation, versions
+from inkwell.operators import chain, selection, validation, versions
 from inkwell.session import shared_dir, stream, table
 from inkwell.streaming import sightings
 
@@ -69,6 +69,13 @@ def recheck_chain(spark, sf_dir):
     return chain.groupBy("user_id").agg(F.count_if("fetched").alias("fetches"), F.count(F.lit(1)).alias("sightings"), F.max(F.when(F.col("fetched"), F.col("ts"))).cast("timestamp_ntz").alias("last_fetch"))
 
 
+def recheck_chain_hot_keys(spark, sf_dir):
+    """The fetches of few keys with very many sightings, the types of events, each walked block by block."""
+    seen = table(spark, sf_dir, "events").select("event_type", "ts")
+    walked = chain.fetch_chain_of_all(seen, "event_type", "ts", 6.0, hot_rows=100)
+    return walked.where("fetched").select("event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
 def stream_fetch_gate(spark, sf_dir):
     """The re-fetch chain as a stream: all events that are there, state by user."""
     events = stream(spark, sf_dir, "events")
@@ -109,7 +116,7 @@ def article_identities(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        change_detection, version_counter, intake_status, latest_version, state_snapshot, state_merge, recheck_gate_stateless, recheck_chain, stream_fetch_gate, target_date_match, match_method_counts, article_identities,
+        change_detection, version_counter, intake_status, latest_version, state_snapshot, state_merge, recheck_gate_stateless, recheck_chain, recheck_chain_hot_keys, stream_fetch_gate, target_date_match, match_method_counts, article_identities,
     )
 }
 
@@ -149,6 +156,12 @@ SELECT u.user_id, CASE WHEN c.ts IS NULL THEN 'NEW' WHEN u.user_id % 10 = 3 THEN
        WHEN epoch_us(TIMESTAMP '2024-01-30 12:00:00') - epoch_us(c.ts) >= 21600000000 THEN 'RECHECK' ELSE 'RECENTLY_FETCHED' END AS reason
 FROM u LEFT JOIN c ON u.user_id = c.user_id""",
     "recheck_chain": _CHAIN + " SELECT n.user_id, fetches, s.sightings, last_fetch FROM n JOIN s ON n.user_id = s.user_id",
+    "recheck_chain_hot_keys": """
+WITH RECURSIVE f AS (
+  SELECT event_type, min(ts) AS ts FROM events WHERE event_type IS NOT NULL GROUP BY event_type
+  UNION ALL
+  SELECT f.event_type, min(e.ts) AS ts FROM f JOIN events e ON e.event_type = f.event_type AND e.ts >= f.ts + INTERVAL 6 HOUR GROUP BY f.event_type)
+SELECT event_type, ts FROM f""",
     "stream_fetch_gate": _CHAIN + " SELECT n.user_id, fetches, s.sightings FROM n JOIN s ON n.user_id = s.user_id",
     "target_date_match": f"WITH {_METHOD} SELECT conv_id, turn, method FROM m",
     "match_method_counts": f"""
