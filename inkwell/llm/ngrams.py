@@ -11,7 +11,10 @@ link when their sets' Jaccard similarity reaches num / den.
    name the same part are joined, by a star, to one family. No link leaves a
    family, and a family holds hardly more than near copies. A task folds
    repeated parts before the shuffle: of a part it sends its first text, and
-   writes the links of the others to that one as they are.
+   writes the links of the others to that one as they are. Parts chain texts of
+   little in common to families that grow faster than the input; where it costs
+   less, a family of several leaves is dealt out by its parts instead, of those
+   with the same texts one. A link shares a part, so none is lost.
 3. R-tree: in a family, the hashes of a set fall into GROUPS groups; the counts
    by group are its point. The points are packed into a tree whose nodes hold
    the largest counts and the range of sizes below. Two nodes, or two points,
@@ -41,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import LOWER_TABLE, filter_of, may_hold, named_rows, only, out, place, texts, without_rows
+from inkwell.llm.common import LOWER_TABLE, SEEDS, filter_of, may_hold, named_rows, only, out, place, texts, without_rows
 from inkwell.llm.graph import components
 from inkwell.session import materialize, ship, table
 
@@ -275,8 +278,8 @@ def _parts(d: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
 
 def _stars(parts: DataFrame) -> DataFrame:
-    """a, b: the documents that name a part, each with the first of them."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """part, a, b: the documents that name a part, each with the first of them."""
+    schema = pa.schema([("part", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
         last = centre = None
@@ -285,7 +288,7 @@ def _stars(parts: DataFrame) -> DataFrame:
                 continue
             linked = batch.filter(batch.column(2).is_valid())
             if linked.num_rows:
-                yield out(schema, {"a": linked.column(1), "b": linked.column(2)})
+                yield out(schema, {"part": linked.column(0), "a": linked.column(1), "b": linked.column(2)})
             batch = batch.filter(batch.column(2).is_null())
             if not batch.num_rows:
                 continue
@@ -299,22 +302,55 @@ def _stars(parts: DataFrame) -> DataFrame:
             last, centre = part[-1], mine[-1]
             far = mine != doc
             if far.any():
-                once = np.unique(np.stack([doc[far], mine[far]], 1), axis=0)
-                yield out(schema, {"a": once[:, 0], "b": once[:, 1]})
+                yield out(schema, {"part": part[far], "a": doc[far], "b": mine[far]})
 
     dealt_by = F.when(F.col("other").isNull(), F.col("part")).otherwise(F.col("doc_id"))
-    return parts.repartition(dealt_by).sortWithinPartitions("part", "doc_id").mapInArrow(run, "a long, b long")
+    return parts.repartition(dealt_by).sortWithinPartitions("part", "doc_id").mapInArrow(run, "part long, a long, b long")
+
+
+def _leaves(members: DataFrame, *keys: str) -> DataFrame:
+    """Leaves of bounded size of each group of members (with n, their hashes), and the hashes that their join moves."""
+    leaves = F.greatest(F.ceil(F.count(F.lit(1)) / LEAF_POINTS), F.ceil(F.sum("n") / LEAF_HASHES)).cast("long")
+    return materialize(members.groupBy(*keys).agg(leaves.alias("leaves"), F.sum("n").alias("all")).withColumn("cost", F.col("leaves") * F.col("all")), "leaves")
+
+
+def _groups(families: DataFrame, stars: DataFrame, by_id: DataFrame, sizes: DataFrame) -> DataFrame:
+    """family, leaves, node: groups of bounded leaves that hold both ends of every link.
+
+    A group is a family, or a part that several of a large family's nodes name.
+    """
+    members = materialize(families.join(sizes, "node").select(F.col("label").alias("family"), "node", "n"), "members")
+    cut = _leaves(members, "family")
+    whole = members.join(cut, "family").select("family", "leaves", "node")
+    large = materialize(cut.where("leaves > 1").select("family", "cost"), "large")
+    if large.isEmpty():
+        return whole
+    theirs = members.join(large, "family").join(by_id, "node").select(F.col("doc_id").alias("doc"), F.col("family").alias("of"), "node", "n")
+    named = stars.select("part", F.explode(F.array("a", "b")).alias("doc")).join(theirs, "doc")
+    named = materialize(named.select("of", "part", "node", "n").distinct(), "named")
+    # parts that the same nodes name are one group
+    nodes = [F.sum(F.xxhash64("node", F.lit(seed)).cast("decimal(20,0)")).alias(f"nodes_{seed}") for seed in SEEDS]
+    told = named.groupBy("of", "part").agg(F.count(F.lit(1)).alias("k"), *nodes).where("k > 1")
+    once = told.groupBy("of", "k", *[f"nodes_{seed}" for seed in SEEDS]).agg(F.min("part").alias("part"))
+    groups = materialize(named.join(once.select("of", "part"), ["of", "part"]), "groups")
+    parts = _leaves(groups, "of", "part")
+    costs = parts.groupBy("of").agg(F.sum("cost").alias("by_parts"))
+    dealt = materialize(large.withColumnRenamed("family", "of").join(costs, "of").where("by_parts < cost").select("of"), "dealt")
+    by_part = groups.join(dealt, "of").join(parts, ["of", "part"]).select(F.xxhash64("of", "part").alias("family"), "leaves", "node")
+    return whole.join(dealt.withColumnRenamed("of", "family"), "family", "left_anti").unionByName(by_part)
 
 
 def _sets(members: DataFrame, n: int) -> DataFrame:
-    """family, leaves, doc_id, hashes (binary) of the members' texts."""
-    schema = pa.schema([("family", pa.int64()), ("leaves", pa.int64()), ("doc_id", pa.int64()), ("hashes", pa.binary())])
+    """family, leaves, doc_id, hashes (binary) of the members' texts, once for each of a member's groups."""
+    groups = pa.list_(pa.struct([("family", pa.int64()), ("leaves", pa.int64())]))
+    schema = pa.schema([("groups", groups), ("doc_id", pa.int64()), ("hashes", pa.binary())])
 
     def run(batches):
         for part, all_texts in texts(batches):
-            yield out(schema, {"family": part.column(0), "leaves": part.column(1), "doc_id": part.column(2), "hashes": [ngram_set(t, n).tobytes() for t in all_texts]})
+            yield out(schema, {"groups": part.column(0).cast(groups), "doc_id": part.column(1), "hashes": [ngram_set(t, n).tobytes() for t in all_texts]})
 
-    return members.select("family", "leaves", "doc_id", "text").mapInArrow(run, "family long, leaves long, doc_id long, hashes binary")
+    sets = members.select("groups", "doc_id", "text").mapInArrow(run, "groups array<struct<family: long, leaves: long>>, doc_id long, hashes binary")
+    return sets.select(F.explode("groups").alias("g"), "doc_id", "hashes").select("g.family", "g.leaves", "doc_id", "hashes")
 
 
 def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -380,15 +416,14 @@ def _components(d: DataFrame, n: int, num: int, den: int) -> DataFrame:
     nodes = materialize(plain.join(first, "digest", "left").select("doc_id", "n_ngrams", F.coalesce(copied, "doc_id").alias("node")), "nodes")
     by_id = nodes.where("n_ngrams > 0").select("doc_id", "node").distinct()
 
-    stars = materialize(_stars(_parts(d, n, num, den)), "stars").distinct()
+    stars = materialize(_stars(_parts(d, n, num, den)), "stars")
     at_a = by_id.select(F.col("doc_id").alias("a"), F.col("node").alias("na"))
     at_b = by_id.select(F.col("doc_id").alias("b"), F.col("node").alias("nb"))
-    families = components(stars.join(at_a, "a").join(at_b, "b"), "na", "nb")
+    families = components(stars.select("a", "b").distinct().join(at_a, "a").join(at_b, "b"), "na", "nb")
 
     sizes = nodes.where("doc_id = node and n_ngrams > 0").groupBy("node").agg(F.max("n_ngrams").alias("n"))
-    members = families.join(sizes, "node")
-    cut = members.groupBy("label").agg(F.greatest(F.ceil(F.count(F.lit(1)) / LEAF_POINTS), F.ceil(F.sum("n") / LEAF_HASHES)).cast("long").alias("leaves"))
-    members = materialize(members.join(cut, "label").select(F.col("node").alias("doc_id"), F.col("label").alias("family"), "leaves"), "members")
+    groups = _groups(families, stars, by_id, sizes).groupBy("node").agg(F.collect_list(F.struct("family", "leaves")).alias("groups"))
+    members = materialize(groups.select(F.col("node").alias("doc_id"), "groups"), "members")
     held, words = filter_of(members, "doc_id")
     their_texts = d.where(may_hold(F.col("doc_id"), held, words)).join(members, "doc_id")
     found = _links(_sets(their_texts, n), num, den).unionByName(_of_one_id(by_id))

@@ -113,6 +113,18 @@ def test_large_families_are_cut_into_leaves(spark, monkeypatch):
     assert found(ngrams.jaccard_components(documents(spark, rows).repartition(4), 3, 90, 100)) == plain(rows, 3, 90, 100)
 
 
+def test_a_chain_of_unlike_texts_moves_in_proportion(spark, monkeypatch):
+    """Texts that share parts with their neighbours alone are one family; each meets its neighbours, not all leaves."""
+    monkeypatch.setattr(ngrams, "LEAF_POINTS", 4)
+    links, moved = ngrams._links, []
+    monkeypatch.setattr(ngrams, "_links", lambda sets, *a: moved.append(sets.selectExpr("sum(leaves)").first()[0]) or links(sets, *a))
+    words = [f"w{k}" for k in range(1700)]
+    rows = [(k, " ".join(words[k * 20 : k * 20 + 60])) for k in range(80)]
+    rows += [(400 + k, " ".join([*words[k * 20 : k * 20 + 59], "other"])) for k in range(0, 80, 7)] + [(800, rows[50][1])]
+    assert found(ngrams.jaccard_components(documents(spark, rows).repartition(4), 3, 70, 100)) == plain(rows, 3, 70, 100)
+    assert moved[0] < 12 * len(rows)  # a text went to each of 23 leaves and more before
+
+
 @pytest.mark.parametrize("num", [60, 80, 90])
 def test_linked_sets_share_a_part(num):
     rng, ranges = np.random.default_rng(1), ngrams.Ranges(num, 100)
