@@ -1,8 +1,7 @@
 """Exact dedup by a log-structured merge index, in DataFrame operations.
 
-1. Log: every row is digested where it lies; its number, id, digest and check
-   values (length and a second hash of all its bytes) are written. No text
-   moves.
+1. Log: every row is digested where it lies; its number, id and digest are
+   written. No text moves.
 2. Memtables and runs: the log's tasks are dealt to RUNS runs. A task folds its
    equal digests to the least place and a count before anything leaves it; a run
    merges its tasks and is written sorted by digest, with Parquet's page bounds
@@ -12,9 +11,10 @@
 4. Lookup: each row of the log finds its digest among those that several rows
    hold. `lookup` asks runs or index for a few digests, and reads what their
    filters cannot rule out.
-5. Byte verification: a digest under which all rows agree in length and second
-   hash is taken for equal bytes. Where they differ, the rows' texts move, and
-   only these, and are grouped by their whole bytes.
+5. Byte verification: the digests of several rows make a Bloom filter that rules
+   out most other rows where they lie. The whole bytes of what is left, hits all
+   of them, are compared: a task folds equal ones, and one text of each moves.
+   Where a digest stands for several texts, its rows are grouped by their bytes.
 
 Defined cases: null counts as empty, so nulls and empty texts are one group;
 texts are equal when identical after each run of blanks became one space; of
@@ -31,7 +31,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import BLANKS, named_rows, only, place, without_rows
+from inkwell.llm.common import BLANKS, filter_of, may_hold, named_rows, only, place, without_rows
 from inkwell.session import materialize, shared_dir, table
 
 #: Runs that the log's tasks are dealt to.
@@ -63,22 +63,25 @@ def _sorted_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_log(d: DataFrame) -> DataFrame:
-    """row, doc_id, digest, second, bytes, run of every row of row, doc_id, text."""
-    norm = d.select("row", "doc_id", normalised(F.col("text")).alias("norm"))
+    """row, doc_id, digest, run of every row of row, doc_id, text."""
     run = F.spark_partition_id() % RUNS
-    return materialize(norm.select("row", "doc_id", digest_of(F.col("norm")).alias("digest"), F.xxhash64("norm").alias("second"), F.octet_length("norm").alias("bytes"), run.alias("run")), "log")
+    return materialize(_digested(d).select("row", "doc_id", "digest", run.alias("run")), "log")
+
+
+def _digested(d: DataFrame) -> DataFrame:
+    """row, doc_id, norm, digest."""
+    norm = d.select("row", "doc_id", normalised(F.col("text")).alias("norm"))
+    return norm.withColumn("digest", digest_of(F.col("norm")))
 
 
 def _folded(entries: DataFrame, *keys: str) -> DataFrame:
-    """Entries of equal keys as one: the least place, all rows, and the range of the check values."""
-    lows = [F.min(c).alias(c) for c in ("first", "second_low", "bytes_low")]
-    highs = [F.max(c).alias(c) for c in ("second_high", "bytes_high")]
-    return entries.groupBy(*keys).agg(F.sum("rows").alias("rows"), *lows, *highs)
+    """Entries of equal keys as one: the least place and all rows."""
+    return entries.groupBy(*keys).agg(F.sum("rows").alias("rows"), F.min("first").alias("first"))
 
 
 def flush_runs(log: DataFrame) -> DataFrame:
     """The runs: one row a run and digest."""
-    entries = log.select("run", "digest", place(F.col("doc_id"), F.col("row")).alias("first"), F.lit(1).cast("long").alias("rows"), *[F.col(c).alias(f"{c}_{end}") for c in ("second", "bytes") for end in ("low", "high")])
+    entries = log.select("run", "digest", place(F.col("doc_id"), F.col("row")).alias("first"), F.lit(1).cast("long").alias("rows"))
     return _sorted_table(_folded(entries, "run", "digest"), "runs")
 
 
@@ -99,7 +102,7 @@ def _decided(d: DataFrame) -> DataFrame:
     # written, so that the join's sides are plain exchanges and Spark may split a hot digest
     several = materialize(index.where("rows > 1"), "several")
     found = _said(log.join(several.select("digest", "first", "rows"), "digest", "left"))
-    odd = several.where("second_low <> second_high or bytes_low <> bytes_high").select("digest")
+    odd = _unlike(d, several)
     return found if odd.isEmpty() else found.join(odd, "digest", "left_anti").unionByName(_by_bytes(d, odd))
 
 
@@ -109,10 +112,17 @@ def _said(rows: DataFrame) -> DataFrame:
     return rows.select("row", "doc_id", keep_id.alias("keep_id"), F.coalesce("rows", F.lit(1)).cast("long").alias("group_size"), kept.alias("kept"), "digest")
 
 
+def _unlike(d: DataFrame, several: DataFrame) -> DataFrame:
+    """The digests of several under which whole texts differ: each hit is compared byte for byte."""
+    held, words = filter_of(several, "digest")
+    hits = _digested(d).select("digest", "norm").where(may_hold(F.col("digest"), held, words))
+    counted = hits.distinct().groupBy("digest").agg(F.count(F.lit(1)).alias("texts"))
+    return materialize(counted.where("texts > 1").select("digest"), "unlike")
+
+
 def _by_bytes(d: DataFrame, odd: DataFrame) -> DataFrame:
     """The rows of digests that stand for several texts, decided by their whole texts."""
-    texts = d.select("row", "doc_id", normalised(F.col("text")).alias("norm")).withColumn("digest", digest_of(F.col("norm")))
-    mine = materialize(texts.join(odd, "digest", "left_semi"), "odd")
+    mine = materialize(_digested(d).join(odd, "digest", "left_semi"), "odd")
     groups = mine.groupBy("norm").agg(F.min(place(F.col("doc_id"), F.col("row"))).alias("first"), F.count(F.lit(1)).alias("rows"))
     return _said(mine.join(groups, "norm"))
 

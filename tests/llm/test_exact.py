@@ -49,6 +49,20 @@ def test_rows_with_equal_digests_and_other_bytes(spark, monkeypatch):
     assert got == [r[:4] for r in plain(rows)]
 
 
+def test_hits_are_compared_by_their_bytes(spark, monkeypatch):
+    """Texts that agree in digest, length and every other hash still are told apart."""
+
+    class Blind:
+        def __getattr__(self, name):
+            return (lambda *columns: F.lit(0).cast("long")) if name == "xxhash64" else getattr(F, name)
+
+    monkeypatch.setattr(exact, "F", Blind())
+    monkeypatch.setattr(exact, "digest_of", lambda norm: F.unhex(F.lpad(F.length(norm).cast("string"), 8, "0")))
+    rows = [(1, "aa"), (2, "ab"), (3, "aa"), (4, "abc"), (5, "abc"), (6, "z"), (7, "ab")]
+    got = [r[:4] for r in found(exact.dedup_exact(documents(spark, rows)))]
+    assert got == [r[:4] for r in plain(rows)]
+
+
 def test_rows_that_stay_keep_their_columns(spark):
     d = documents(spark, ROWS, ("_gone", "digest"))
     kept = exact.keep_first(d)
