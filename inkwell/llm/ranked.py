@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,7 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import WORD_TABLE, only, out, texts
-from inkwell.session import materialize, ship, table
+from inkwell.session import materialize, shared_dir, ship, table
 
 TOP = 10
 #: A block ends with so many documents or so many bytes of text.
@@ -119,7 +120,12 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         if block.ids:
             yield block.row()
 
-    return materialize(only(docs, doc_id=id_col, text=text_col).mapInArrow(run, INDEX), "impact_index")
+    spark = docs.sparkSession
+    path = f"{shared_dir(spark)}/inkwell/impact_index-{uuid.uuid4().hex}"
+    blocks = only(docs, doc_id=id_col, text=text_col).mapInArrow(run, INDEX)
+    # a row group each: neither writer nor reader decodes more than a block at once, and files of many blocks are dealt to several tasks
+    blocks.write.option("parquet.block.row.count.limit", "1").parquet(path)
+    return spark.read.schema(INDEX).parquet(path)
 
 
 def queries_of(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:

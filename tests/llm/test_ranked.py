@@ -119,3 +119,17 @@ def test_long_products_stay_exact():
     sizes = np.array([0, 7, 3_000_000_000])
     n, words = 90_000_000_000, 10**13
     assert ranked.lengths(sizes, n, words).tolist() == [10 + 90 * s * n // words for s in sizes.tolist()]
+
+
+def test_row_groups_of_the_index_hold_one_block(spark):
+    """A reader decodes a row group's blocks at once, however many a task has written."""
+    import pyarrow.parquet as pq
+
+    # each text fills a block
+    docs = spark.range(4).selectExpr("id AS doc_id", "concat('w', id, repeat(' word', 3400000)) AS text").coalesce(1)
+    index = ranked.build_index(docs)
+    files = [pq.ParquetFile(f.removeprefix("file://")) for f in index.inputFiles()]
+    groups = [f.metadata.row_group(g).num_rows for f in files for g in range(f.metadata.num_row_groups)]
+    assert sum(groups) == 4 and max(groups) == 1
+    items = spark.createDataFrame([(1, "w2 w9")], "item_id long, text string")
+    assert [r.doc_id for r in ranked.search_index(index, ranked.queries_of(items)).collect()] == [2]
