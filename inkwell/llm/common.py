@@ -73,15 +73,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def texts(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Slices of each batch, bounded in rows and bytes, with the texts as bytes (None for null)."""
+def texts(batches: Iterator[pa.RecordBatch], column: str = "text", rows: int | None = None) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of each batch, bounded in rows (ROWS, if not told) and bytes, with the texts as bytes (None for null)."""
     for batch in batches:
         whole = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
         ends = np.cumsum(pc.fill_null(pc.binary_length(whole), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         at = 0
         while at < batch.num_rows:
             fit = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BYTES, "right"))
-            to = min(at + ROWS, max(fit, at + 1))
+            to = min(at + (rows or ROWS), max(fit, at + 1))
             yield batch.slice(at, to - at), whole.slice(at, to - at).to_pylist()
             at = to
 

@@ -20,8 +20,8 @@ gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
-import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -41,8 +41,12 @@ from inkwell.session import ship, shared_dir, table
 SEGMENT = 1 << 22
 #: Bytes of a long text that are turned to ids at once.
 PIECE = 1 << 22
-#: Pre-tokens that a worker remembers in each of two generations, and the longest of them in bytes.
-CACHE, LONGEST = 400_000, 64
+#: Texts that are turned to ids at once, of PIECE bytes at most: of more texts, fewer pre-tokens are looked up again.
+ROWS = 1 << 14
+#: Pre-tokens that a worker remembers (twice as many before the ones used last stay), and bytes of one with its length.
+CACHE, WIDTH = 400_000, 24
+#: Unknown pre-tokens that the library's model is asked for in one call.
+TOGETHER = 64
 END = 2
 
 # Classes of Latin-1 characters in the tokenizer's pattern: others, letters, numbers, blanks.
@@ -96,12 +100,67 @@ def pieces(text: bytes, size: int = PIECE) -> Iterator[bytes]:
     yield text[at:]
 
 
+class _Memory:
+    """Short words and their ids: found by a hash, compared by all bytes. Of too many, the ones used last stay."""
+
+    def __init__(self):
+        self.hashes, self.places = np.zeros(1, np.uint64), np.zeros(1, np.int64)  # ascending, and where the word of each stands
+        self.words = np.zeros((1, WIDTH // 8), np.uint64)  # the first is no word
+        self.n, self.first, self.used, self.now = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64), 0
+        self.ids = np.empty(0, "<u4")
+
+    @staticmethod
+    def rows(lengths: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words that stand one behind the other as rows of WIDTH bytes, the last their length, and which are short enough."""
+        short = lengths < WIDTH
+        rows = np.zeros((len(lengths), WIDTH), np.uint8)
+        rows[(np.arange(WIDTH) < lengths[:, None]) & short[:, None]] = text if short.all() else text[np.repeat(short, lengths)]
+        rows[:, -1] = np.minimum(lengths, 255)
+        return rows.view(np.uint64), short
+
+    @staticmethod
+    def _hashed(rows: np.ndarray) -> np.ndarray:
+        h = np.zeros(len(rows), np.uint64)
+        for column in rows.T:
+            h = (h ^ column) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        return h
+
+    def find(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each word, and whether it is the word's."""
+        h = self._hashed(rows)
+        order = np.argsort(h)
+        at = np.empty(len(h), np.int64)
+        at[order] = np.searchsorted(self.hashes, h[order])
+        at = self.places.take(at, mode="clip")
+        known = (self.words.take(at, 0) == rows).all(1)
+        self.now += 1
+        self.used[at[known]] = self.now
+        return at, known
+
+    def add(self, rows: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        """New words; of two with one hash the first stays, the other remains unknown."""
+        h, which = np.unique(self._hashed(rows), return_index=True)
+        at = np.searchsorted(self.hashes, h)
+        new = self.hashes.take(at, mode="clip") != h
+        self.hashes, self.places = np.insert(self.hashes, at[new], h[new]), np.insert(self.places, at[new], which[new] + len(self.n))
+        self.words, self.n, self.ids = np.concatenate([self.words, rows]), np.concatenate([self.n, n]), np.concatenate([self.ids, ids])
+        self.used = np.append(self.used, np.full(len(n), self.now))
+        if len(self.n) > 2 * CACHE:
+            keep = np.zeros(len(self.n), bool)
+            keep[np.argpartition(-self.used, CACHE)[:CACHE]] = True
+            stay = keep[self.places]
+            self.hashes, self.places = self.hashes[stay], (np.cumsum(keep) - 1)[self.places[stay]]
+            self.words, self.ids, self.n, self.used = self.words[keep], self.ids[np.repeat(keep, self.n)], self.n[keep], self.used[keep]
+        self.first = np.cumsum(self.n) - self.n
+
+
 class Tokenizer:
     """Ids by the tokenizers library, as it is loaded.
 
     Texts in Latin-1 that hold no added token are split here, all texts of a
     batch at once; each distinct pre-token then asks the library's model once
-    for a while. Any other text goes to the library whole.
+    for a while, many in one call. Any other text goes to the library whole.
     """
 
     def __init__(self, path: str):
@@ -109,31 +168,45 @@ class Tokenizer:
 
         self.library = Library.from_file(path)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.memory = _Memory()
         # byte-level alphabet: bytes that print stand for themselves, the others for code points from 256 on
-        prints = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-        others = [b for b in range(256) if b not in set(prints)]
-        self.alphabet = {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(others)}
-
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        """The ids of distinct pre-tokens in Latin-1."""
-        found = list(map(self.young.get, words))
-        for k, ids in enumerate(found):
-            if ids is None:
-                found[k] = ids = self._made(words[k])
-                if len(words[k]) <= LONGEST:
-                    self.young[words[k]] = ids
-        if len(self.young) > CACHE:
-            self.old, self.young = self.young, {}
-        return found
-
-    def _made(self, word: bytes) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            mapped = word.decode("latin-1").encode().decode("latin-1").translate(self.alphabet)
-            ids = struct.pack(f"<{len(t := self.library.model.tokenize(mapped))}I", *[x.id for x in t])
-        return ids
+        others = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+        self.alphabet = np.arange(256, dtype="<u2")
+        self.alphabet[others] = 256 + np.arange(len(others))
+        self.joint, self.joint_id = self._joint()
+
+    def _joint(self) -> tuple[bytes | None, int]:
+        """A byte of ASCII that no merge of the model holds, and its id: merges don't reach from one side of it to the other."""
+        model = json.loads(self.library.to_str())["model"]
+        if model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
+            merged = set("".join(map("".join, model["merges"])))
+            for b, c in enumerate(map(chr, self.alphabet[:128].tolist())):
+                if c not in merged and c in model["vocab"]:
+                    return bytes([b]), model["vocab"][c]
+        return None, -1
+
+    def _made(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pre-tokens by the library's model, many in one call with the joint behind each, and how many each has."""
+        ids: list[int] = []
+        for a in range(0, len(words), TOGETHER):
+            some = words[a : a + TOGETHER]
+            joined = self.joint and self.joint.join([*some, b""])
+            if joined and joined.count(self.joint) == len(some):
+                ids += self._asked(joined)
+                continue
+            for word in some:  # the joint within a word ends nothing
+                ids += [-2 if x == self.joint_id else x for x in self._asked(word)]
+                ids.append(self.joint_id)
+        made = np.array(ids, np.int64)
+        ends = np.flatnonzero(made == self.joint_id)
+        made = np.delete(made, ends)
+        made[made == -2] = self.joint_id
+        return made.astype("<u4"), np.diff(ends, prepend=-1) - 1
+
+    def _asked(self, text: bytes) -> list[int]:
+        """What the library's model makes of a text in Latin-1."""
+        mapped = self.alphabet[np.frombuffer(text.decode("latin-1").encode(), np.uint8)].tobytes().decode("utf-16-le")
+        return [x.id for x in self.library.model.tokenize(mapped)]
 
     def encode_batch(self, many: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one behind the other, each with the end id, and how many each has."""
@@ -161,17 +234,28 @@ class Tokenizer:
         offsets = np.append(starts, len(joined)).astype(np.int32)
         words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]).dictionary_encode()
         _, cuts, distinct = words.dictionary.buffers()
-        cuts, distinct = np.frombuffer(cuts, np.int32)[: len(words.dictionary) + 1].tolist(), distinct.to_pybytes()
-        known = self._ids([distinct[a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True)])
+        size = len(words.dictionary)
+        cuts, distinct = np.frombuffer(cuts, np.int32)[: size + 1], np.frombuffer(distinct, np.uint8)
+        rows, short = _Memory.rows(np.diff(cuts), distinct[: cuts[-1]])
+        memory = self.memory
+        at, known = memory.find(rows)
+        unknown = np.flatnonzero(~known)
+        whole = distinct.tobytes()
+        made, n_made = self._made([whole[a:z] for a, z in zip(cuts[unknown].tolist(), cuts[unknown + 1].tolist(), strict=True)])
+        # what is remembered, what is new, the end id
+        pool = np.concatenate([memory.ids, made, tail])
+        first, counts = np.append(memory.first.take(at), len(pool) - len(tail)), np.append(memory.n.take(at), len(tail))
+        first[unknown], counts[unknown] = len(memory.ids) + np.cumsum(n_made) - n_made, n_made
+        kept = short[unknown]
+        memory.add(rows[unknown[kept]], made[np.repeat(kept, n_made)], n_made[kept])
         at_wall = np.searchsorted(starts, walls)
         which = words.indices.to_numpy().astype(np.int64)
-        which[at_wall] = len(known)
-        pool = np.frombuffer(b"".join(known) + tail.tobytes(), "<u4")
-        counts = np.array([len(x) >> 2 for x in known] + [len(tail)])
-        first = np.cumsum(counts) - counts
-        n = counts[which]
+        which[at_wall] = size
+        n = counts.take(which)
         ends = np.cumsum(n)
-        ids = pool[np.arange(ends[-1]) + np.repeat(first[which] - (ends - n), n)]
+        at = np.repeat((first.take(which) - (ends - n)).astype(np.int32), n)
+        at += np.arange(len(at), dtype=np.int32)
+        ids = pool.take(at)
         return ids, np.diff(ends[at_wall], prepend=0)
 
 
@@ -231,7 +315,7 @@ def write_ids(docs: DataFrame, path: str, to: str, end: int = END, id_col: str =
 
     def run(batches):
         t, segment = tokenizer(path), _Segment(TaskContext.get().partitionId())
-        for batch, all_texts in texts(batches):
+        for batch, all_texts in texts(batches, rows=ROWS):
             doc_ids = batch.column(0).to_pylist()
             for a, z in _runs([len(x or b"") for x in all_texts]):
                 if z - a == 1:

@@ -75,6 +75,46 @@ def test_small_memory_changes_nothing(monkeypatch):
         assert flat(t, [s]) == [library.encode(s, add_special_tokens=False).ids]
 
 
+class Counted:
+    """A library whose model counts its calls."""
+
+    def __init__(self, library):
+        self.library, self.model, self.calls = library, self, 0
+
+    def tokenize(self, text):
+        self.calls += 1
+        return self.library.model.tokenize(text)
+
+
+def test_the_model_is_asked_for_many_words_at_once():
+    library, t = Tokenizer.from_file(PATH), idfiles.Tokenizer(PATH)
+    t.library = counted = Counted(t.library)
+    words = ["".join(np.array(list("abcdeéßÿ"))[np.random.default_rng(k).integers(0, 8, 12)]) for k in range(2000)]
+    expected = [library.encode(s, add_special_tokens=False).ids for s in (" ".join(words), "x " + " ".join(words[::-1]))]
+    assert flat(t, [" ".join(words)]) == expected[:1]
+    assert counted.calls <= 100
+    assert flat(t, ["x " + " ".join(words[::-1])]) == expected[1:]
+    assert counted.calls <= 110
+
+
+def test_words_with_the_joint_and_models_without_one(monkeypatch):
+    library, t = Tokenizer.from_file(PATH), idfiles.Tokenizer(PATH)
+    joint = t.joint.decode()
+    many = [joint, f"a{joint}b {joint}{joint} c", f"{joint} word " * 200, "plain words", "w" * 70 + f" {'é' * 11} {'é' * 12} {'x' * 22} {'x' * 23} {'x' * 24} {'x' * 300}"]
+    expected = [library.encode(s, add_special_tokens=False).ids for s in many]
+    assert flat(t, many) == expected == flat(t, many)
+    alone = idfiles.Tokenizer(PATH)
+    alone.joint = None
+    assert flat(alone, many) == expected
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(idfiles._Memory, "_hashed", staticmethod(lambda rows: rows[:, 0] % np.uint64(3)))
+    library, t = Tokenizer.from_file(PATH), idfiles.Tokenizer(PATH)
+    for s in [*texts(20), *texts(20)]:
+        assert flat(t, [s]) == [library.encode(s, add_special_tokens=False).ids]
+
+
 def test_pieces_of_a_long_text():
     library = Tokenizer.from_file(PATH)
     for s in ["It's a long text, with  numbers 12 and é marks...\nlines <|endoftext|> too " * 40, "nocut" * 50, "", "a b"]:
