@@ -1,4 +1,4 @@
-"""Join of points and ranges of any width, as an equi-join on dyadic cells.
+"""Points in ranges of any width, as an equi-join on dyadic cells: all pairs, or what each range holds.
 
 A range of whole numbers falls into disjoint cells [k * 2^l, (k + 1) * 2^l), two
 a level at most; a point lies in one cell a level. So each point meets a range
@@ -8,7 +8,7 @@ hash or sort, splitting hot cells as it does for any key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.session import materialize
@@ -45,10 +45,44 @@ def join_ranges(points: DataFrame, ranges: DataFrame, at: str, low: str, high: s
     nothing. Columns of both sides are kept; their names must differ, but for `on`.
     """
     keys = on or []
-    spelt = materialize(ranges.withColumn("_c", F.explode(cells(F.col(low), F.col(high)))).select("*", F.col("_c.level").alias("_level"), F.col("_c.cell").alias("_cell")).drop("_c"), "ranges")
-    used = sorted(r[0] for r in spelt.select("_level").distinct().collect())  # LEVELS rows at most
-    if not used:
-        used = [0]
-    mine = F.explode(F.array(*[F.struct(F.lit(v).alias("_level"), F.shiftright(F.col(at).cast("long"), v).alias("_cell")) for v in used]))
-    placed = points.where(F.col(at).isNotNull()).withColumn("_p", mine).select("*", "_p._level", "_p._cell").drop("_p")
+    spelt = _spelt(ranges, low, high)
+    placed = _placed(points.where(F.col(at).isNotNull()), at, spelt)
     return placed.join(spelt, [*keys, "_level", "_cell"]).drop("_level", "_cell")
+
+
+def fold_ranges(points: DataFrame, ranges: DataFrame, at: str, low: str, high: str, value: str) -> DataFrame:
+    """ranges with what they hold: n points, the least, the most and n_distinct of their values; ranges without a point go.
+
+    No pair is made: points are folded by place, places by cell, and a range adds
+    up its cells. A value counts once a range: each of its places names the place
+    before it, and those whose place before lies inside as well are taken off
+    again. So after one fold of the points, work follows the places, the pairs of
+    places that a value stands on in turn, and the different ranges.
+    """
+    places = points.where(F.col(at).isNotNull()).groupBy(F.col(value).alias("_value"), F.col(at).cast("long").alias("_at")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.when(F.col("_value").isNotNull(), F.lag("_at").over(Window.partitionBy("_value").orderBy("_at")))
+    sums = [F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"), F.sum("d").alias("d")]
+    marks = materialize(places.withColumn("_before", before).groupBy("_at", "_before").agg(F.sum("n").alias("n"), F.min("_value").alias("least"), F.max("_value").alias("most"), F.count("_value").alias("d")), "places")
+    spelt = _spelt(ranges.select(F.col(low).cast("long").alias("_low"), F.col(high).cast("long").alias("_high")).distinct(), "_low", "_high")
+    placed, cell, ends = _placed(marks, "_at", spelt), ["_level", "_cell"], ["_low", "_high"]
+    held = spelt.join(placed.groupBy(*cell).agg(*sums), cell).groupBy(*ends).agg(*sums)
+
+    again = placed.where("_before is not null").groupBy(*cell, F.col("_before").alias("_place")).agg(F.sum("d").alias("m"))
+    asked = spelt.select(*cell, F.col("_low").alias("_place")).distinct()
+    inside = F.sum("m").over(Window.partitionBy(*cell).orderBy(F.desc("_place")))  # of the places from this one on
+    told = again.withColumn("_low", F.lit(None).cast("long")).unionByName(asked.withColumns({"m": F.lit(0).cast("long"), "_low": F.col("_place")})).withColumn("m", inside).where("_low is not null")
+    twice = spelt.join(told.select(*cell, "_low", "m"), [*cell, "_low"]).groupBy(*ends).agg(F.sum("m").alias("m"))
+    whole = held.join(twice, ends).select(*ends, "n", "least", "most", (F.col("d") - F.col("m")).alias("n_distinct"))
+    return ranges.join(whole, (F.col(low) == F.col("_low")) & (F.col(high) == F.col("_high"))).drop(*ends)
+
+
+def _spelt(ranges: DataFrame, low: str, high: str) -> DataFrame:
+    """ranges, a row for each of their cells."""
+    return materialize(ranges.withColumn("_c", F.explode(cells(F.col(low), F.col(high)))).select("*", F.col("_c.level").alias("_level"), F.col("_c.cell").alias("_cell")).drop("_c"), "ranges")
+
+
+def _placed(points: DataFrame, at: str, spelt: DataFrame) -> DataFrame:
+    """points, a row for each level that ranges use, with the cell there."""
+    used = sorted(r[0] for r in spelt.select("_level").distinct().collect())  # LEVELS rows at most
+    mine = F.explode(F.array(*[F.struct(F.lit(v).alias("_level"), F.shiftright(F.col(at).cast("long"), v).alias("_cell")) for v in used or [0]]))
+    return points.withColumn("_p", mine).select("*", "_p._level", "_p._cell").drop("_p")

@@ -86,10 +86,11 @@ def wide_range_join(spark, sf_dir):
     """Orders in windows of 1 to 400 days, one a supplier: how many, and the first and last."""
     k = F.col("s_suppkey")
     low = F.unix_date(F.date_add(F.lit("1992-01-01").cast("date"), F.pmod(k * 611, F.lit(2500)).cast("int"))).alias("low")
-    windows = table(spark, sf_dir, "supplier").select("s_suppkey", low, F.pmod(k * 37, F.lit(400)).alias("width")).withColumn("high", F.col("low") + F.col("width"))
+    suppliers = table(spark, sf_dir, "supplier").groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("times"))
+    windows = suppliers.select("s_suppkey", "times", low, F.pmod(k * 37, F.lit(400)).alias("width")).withColumn("high", F.col("low") + F.col("width"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.unix_date(F.to_date("o_orderdate")).alias("day"))
-    found = intervals.join_ranges(orders, windows, "day", "low", "high")
-    return found.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("orders"), F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"), F.count_distinct("o_orderkey").alias("distinct_orders"))
+    found = intervals.fold_ranges(orders, windows, "day", "low", "high", "o_orderkey")
+    return found.select("s_suppkey", (F.col("n") * F.col("times")).alias("orders"), F.col("least").alias("first"), F.col("most").alias("last"), F.col("n_distinct").alias("distinct_orders"))
 
 
 QUERIES = {f.__name__: f for f in (date_window, window_dates, window_range_join, date_wordings, wide_range_join, listing_gate, pagination_stop, available_dates, cron_next_fire, backoff_schedule)}

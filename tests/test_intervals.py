@@ -33,3 +33,28 @@ def test_random_windows_of_any_width(spark):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert intervals.join_ranges(p, r.where("false"), "at", "low", "high", ["k"]).collect() == []
+
+
+def test_what_ranges_hold(spark):
+    """Folds against all pairs: values on several places, twice on one, none; the same range twice; ranges without points."""
+    rng = random.Random(3)
+    ranges = [(i, a, a + w) for i, (a, w) in enumerate((rng.randrange(-60, 60), rng.choice([0, 1, 3, 30, 99, 4000, -5])) for _ in range(120))] + [(900, 3, 20), (901, 3, 20), (902, None, 5), (903, 5, None), (904, 9000, 9001)]
+    points = [(rng.choice([None, *range(40)]), rng.choice([5, rng.randrange(-90, 90)])) for _ in range(400)] + [(7, None), (500, 3), (500, 3)]
+    want = {}
+    for i, low, high in ranges:
+        held = [v for v, at in points if None not in (low, high, at) and low <= at <= high]
+        named = [v for v in held if v is not None]
+        if held:
+            want[i] = (len(held), min(named, default=None), max(named, default=None), len(set(named)))
+    p, r = spark.createDataFrame(points, "v long, at long").repartition(3), spark.createDataFrame(ranges, "r long, low long, high long")
+    got = intervals.fold_ranges(p, r, "at", "low", "high", "v")
+    assert got.columns == ["r", "low", "high", "n", "least", "most", "n_distinct"]
+    assert {x.r: (x.n, x.least, x.most, x.n_distinct) for x in got.collect()} == want and got.count() == len(want)
+    assert intervals.fold_ranges(p, r.where("false"), "at", "low", "high", "v").collect() == [] == intervals.fold_ranges(p.where("false"), r, "at", "low", "high", "v").collect()
+
+
+def test_windows_of_suppliers_make_no_pairs(spark, monkeypatch):
+    from inkwell.plans import calendar
+
+    monkeypatch.delattr(intervals, "join_ranges")
+    assert calendar.wide_range_join(spark, "/root/testdata/sf0.001").count()
