@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions import html, markup, text
 
 
-def with_facts(pages: DataFrame, url: str = "url", markup_col: str = "html", *more: str, now: Column | None = None) -> DataFrame:
+def with_facts(pages: DataFrame, url: str = "url", markup_col: str = "html", *more: str, now: Column | None = None, known: Collection[str] | None = None) -> DataFrame:
     """pages with headline, subheadline, author, published_at and canonical_url.
 
     A page is read once; the JSON-LD items are shared by all fields. more:
     further parts of the page (markup.parsed) that become columns. now: what
-    relative dates are relative to; without it they are none.
+    relative dates are relative to; without it they are none. known: the
+    character references that are decoded (markup.decoder).
     """
-    parts = pages.withColumn("_page", markup.parsed(F.col(markup_col), *html.PARTS, *more))
+    parts = pages.withColumn("_page", markup.parsed(F.col(markup_col), *html.PARTS, *more, known=known))
     parts = parts.withColumn("_items", html.json_items(F.col("_page.scripts")))
     p, i = F.col("_page"), F.col("_items")
     facts = {
