@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Collection
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -92,8 +93,9 @@ def anchors(html: Column) -> Column:
     return markup.parsed(html, "anchors")["anchors"]
 
 
-def page_title(html: Column) -> Column:
-    return markup.parsed(html, "title")["title"]
+def page_title(html: Column, known: Collection[str] | None = None) -> Column:
+    """known: as in markup.decoder."""
+    return markup.parsed(html, "title", known=known)["title"]
 
 
 def probe_words(html: Column, most: int = 200) -> Column:
