@@ -98,9 +98,9 @@ def page_title(html: Column, known: Collection[str] | None = None) -> Column:
     return markup.parsed(html, "title", known=known)["title"]
 
 
-def probe_words(html: Column, most: int = 200) -> Column:
-    """The first words of a page's visible text, without scripts, styles and titles."""
-    return F.array_join(F.slice(text.words(markup.parsed(html, "shown")["shown"]), 1, most), " ")
+def probe_words(html: Column, most: int = 200, known: Collection[str] | None = None) -> Column:
+    """The first words of a page's visible text, without scripts, styles and titles; known: as in markup.decoder."""
+    return F.array_join(F.slice(text.words(markup.parsed(html, "shown", known=known)["shown"]), 1, most), " ")
 
 
 def access_class(status: Column) -> Column:

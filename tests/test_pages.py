@@ -20,7 +20,7 @@ def cut(spark, tmp_path_factory):
     return d
 
 
-@pytest.mark.parametrize("name", ["headline_cascade", "odd_markup", "page_facts", "page_probe"])
+@pytest.mark.parametrize("name", ["headline_cascade", "odd_markup", "page_facts", "page_probe", "probe_words"])
 def test_cut_titles(spark, cut, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{cut}/pages.parquet/*.parquet'")
