@@ -70,14 +70,19 @@ def author_of(page: Column, items: Column) -> Column:
 
 
 def published_of(page: Column, items: Column, now: Column | None = None) -> Column:
-    """The first candidate that parses: metadata, JSON-LD, time tags; else a date in the text. now: what relative dates are relative to."""
+    """The first candidate that parses: metadata, JSON-LD, time tags; else a date in the text, which is searched only then. now: what relative dates are relative to."""
     metas = page["metas"]
     named = [meta_content(metas, "property", p) for p in DATE_PROPERTIES] + [meta_content(metas, "name", n) for n in DATE_NAMES]
     listed = F.transform(items, lambda v: F.try_variant_get(v, "$.datePublished", "string"))
     timed = F.flatten(F.transform(page["times"], lambda t: F.array(t["datetime"], t["text"])))
     in_text = F.transform(F.array(page["text"]), lambda s: F.array(*[dates.first_date_text(s, (p,)) for p in (dates.WITH_WEEKDAY, dates.DAY_FIRST, dates.MONTH_FIRST)]))[0]
-    candidates = F.array_distinct(F.filter(F.concat(F.array(*named), listed, timed, in_text), lambda c: c.isNotNull() & (c != "")))
-    return F.get(F.filter(F.transform(candidates, lambda c: dates.parse_date(c, now)), lambda d: d.isNotNull()), 0)
+
+    def first(candidates: Column) -> Column:
+        """One after another; what follows the first that parses is not read."""
+        filled = F.array_distinct(F.filter(candidates, lambda c: c.isNotNull() & (c != "")))
+        return F.aggregate(filled, F.lit(None).cast("string"), lambda found, c: F.coalesce(found, dates.parse_date(c, now)))
+
+    return F.coalesce(first(F.concat(F.array(*named), listed, timed)), first(in_text))
 
 
 def canonical_of(page: Column, items: Column, final_url: Column) -> Column:

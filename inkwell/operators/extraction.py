@@ -7,7 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.functions import html, markup, text
+from inkwell.functions import html, markup
 
 
 def with_facts(pages: DataFrame, url: str = "url", markup_col: str = "html", *more: str, now: Column | None = None, known: Collection[str] | None = None) -> DataFrame:
@@ -34,7 +34,7 @@ def with_facts(pages: DataFrame, url: str = "url", markup_col: str = "html", *mo
 def extract_articles(pages: DataFrame, source_name: str, section_name: str, retrieved_at: str | None = None) -> DataFrame:
     """Whole records of pages with url, final_url and html."""
     at = F.lit(retrieved_at).cast("timestamp") if retrieved_at else F.current_timestamp()
-    found = with_facts(pages, "final_url", "html", "body", now=at).withColumnRenamed("body", "article_text")
+    found = with_facts(pages, "final_url", "html", "body", "words", "hash", now=at).withColumnRenamed("body", "article_text")
     now = F.lit(retrieved_at) if retrieved_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss+00:00")
     return found.select(
         F.lit(source_name).alias("source_name"),
@@ -47,8 +47,8 @@ def extract_articles(pages: DataFrame, source_name: str, section_name: str, retr
         "author",
         "published_at",
         "article_text",
-        text.word_count(F.col("article_text")).alias("word_count"),
+        F.col("words").alias("word_count"),
         now.alias("retrieved_at"),
-        text.content_hash(F.col("article_text")).alias("content_hash"),
+        F.col("hash").alias("content_hash"),
         F.lit("httpx").alias("fetch_method"),
     )

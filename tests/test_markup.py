@@ -117,3 +117,22 @@ def test_columns_of_a_page(spark):
     a, b = (r[0] for r in d.select(markup.parsed(F.col("html"), "title", "h1", "links", "times", "shown", "scripts", "metas")).collect())
     assert (a.title, a.h1, a.shown) == ("T", None, "2 x") and a.links[0].rel == ["a", "canonical"] and a.times[0].text == "x"
     assert (b.title, b.h1, b.shown, b.links, b.metas) == (None, None, "", [], [])
+
+
+def test_words_and_hash_of_a_body(spark):
+    """Words and hash taken while the page is read are those of the column functions, also between odd blanks."""
+    from inkwell.functions import text
+
+    pages = ["", None, "<p> </p>", "<p>one</p>", "<p>a\u00a0b&nbsp;c\u2003 d\x1ce\x85f\u200bg</p><p>h &amp; \u3000</p><li>i<p>j", "<h2>\U0001f600 x</h2>\n<p>y\x0bz&#xD800;&#0;</p>"]
+    pages += [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()]
+    p = markup.parsed(F.col("html"), "body", "words", "hash")
+    rows = spark.createDataFrame([(x,) for x in pages], "html string").select(p.alias("p")).select("p.*", text.word_count(F.col("p.body")).alias("n"), text.content_hash(F.col("p.body")).alias("h")).collect()
+    assert len(rows) == len(pages) and all((r.words, r.hash) == (r.n, r.h) for r in rows)
+    assert [r.words for r in rows[:5]] == [0, 0, 0, 1, 9]
+
+
+def test_extraction_needs_no_pattern_over_whole_texts(spark):
+    """Words are counted and hashed where a page is read."""
+    d = spark.createDataFrame([("http://a/", "<p>x")], "final_url string, html string").withColumn("url", F.col("final_url"))
+    plan = extraction.extract_articles(d, "S", "T")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "sha2" not in plan
